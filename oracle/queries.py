@@ -229,5 +229,29 @@ WHERE o.product_id IS NULL OR n.product_id IS NULL OR o.unit_price_usd IS DISTIN
     "expect_enforced": f"SELECT {as_doubles(*_RAW_ITEM_DOUBLES)} FROM order_items_bronze",
 }
 
+_RAW_PRODUCTS = "* EXCLUDE (load_seq) REPLACE (CAST(unit_price_usd AS DOUBLE) AS unit_price_usd)"
+
+_BODIES.update(
+    {
+        "bronze_full_load": f"SELECT {_RAW_PRODUCTS}, 'full_load' AS load_type FROM products_bronze",
+        "bronze_full_load_all": _union(
+            [f"SELECT '{e}' AS entity, 'full_load' AS load_type, count(*) AS row_count FROM {e}_bronze"
+             for e in ("customers", "orders", "order_items", "products", "payments", "reviews", "risk_support", "sessions", "shipping")]
+        ),
+        "bronze_stream": "SELECT *, 'incremental' AS load_type FROM orders_bronze",
+        "bronze_schema_evolution": """
+SELECT * REPLACE (CAST(session_duration_minutes AS DOUBLE) AS session_duration_minutes,
+    CASE WHEN traffic_source IN ('view', 'click') THEN abandoned_cart_before END AS abandoned_cart_before),
+  CASE WHEN traffic_source NOT IN ('view', 'click') THEN 'ref-' || customer_id END AS referrer_code, 'incremental' AS load_type
+FROM sessions_bronze""",
+        "bronze_fan_in": """
+SELECT * EXCLUDE (load_seq), CASE WHEN load_seq = 0 THEN 'full_load' ELSE 'incremental' END AS load_type FROM risk_support_bronze""",
+        # Empty text does not survive a CSV file: it reads back as NULL.
+        "scd1_stream": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
+        "compacted_orders": "SELECT * FROM orders_bronze",
+        "stored_daily_sales": _BODIES["agg_daily_sales"],
+    }
+)
+
 ORACLE: dict[str, str] = {name: with_tables(body, {"wide_orders": _WIDE_ORDERS}) for name, body in _BODIES.items()}
 ORACLE["agg_daily_sales_upserted"] = with_tables(_BODIES["agg_daily_sales"], _UPSERTED)

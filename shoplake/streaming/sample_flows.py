@@ -1 +1,148 @@
-QUERIES = {}
+"""Landing and streaming flows run over the sample entities: CSV files out, the lake's flows in, the landed table back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shoplake.config import ENTITIES, full_load_path, staging_path
+from shoplake.functions.shape import publish
+from shoplake.session import scratch_dir
+from shoplake.sources.lake import Lake, compact
+from shoplake.sources.sample_views import raw_entity
+from shoplake.streaming.flows import compact_current, current, ingest, upsert
+
+
+class Trial:
+    """A lake in a new scratch folder, with the folders its source files arrive in."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        base = scratch_dir(spark, "flow")
+        self.lake = Lake(spark, f"{base}/lake")
+        self.full, self.landing = f"{base}/full", f"{base}/landing"
+
+    def raw(self, entity: str) -> DataFrame:
+        return raw_entity(self.spark, self.sf_dir, entity)
+
+    @staticmethod
+    def _csv(df: DataFrame, path: str, mode: str) -> None:
+        # Blanks at the ends of values are part of the sample's dirt.
+        df.write.mode(mode).options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+
+    def send_full(self, entity: str, df: DataFrame) -> None:
+        self._csv(df, full_load_path(self.full, entity), "overwrite")
+
+    def send(self, entity: str, df: DataFrame) -> None:
+        self._csv(df, staging_path(self.landing, entity), "append")
+
+
+def _landed(df: DataFrame) -> DataFrame:
+    return publish(df.withColumnRenamed("_load_type", "load_type"))
+
+
+def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backfill products; the second call must not load them again."""
+    t = Trial(spark, sf_dir)
+    t.send_full("products", t.raw("products").drop("load_seq"))
+    t.lake.backfill("products", t.full)
+    t.lake.backfill("products", t.full)
+    return _landed(t.lake.bronze("products"))
+
+
+def full_load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backfill every entity and count what arrived."""
+    t = Trial(spark, sf_dir)
+    counts = None
+    for entity in ENTITIES:
+        t.send_full(entity, t.raw(entity).drop("load_seq"))
+        t.lake.backfill(entity, t.full)
+        landed = t.lake.bronze(entity).groupBy(F.lit(entity).alias("entity"), F.col("_load_type").alias("load_type"))
+        part = landed.agg(F.count(F.lit(1)).alias("row_count"))
+        counts = part if counts is None else counts.unionByName(part)
+    return counts
+
+
+def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in two deliveries, by date, with a run after each and one more with nothing new."""
+    t = Trial(spark, sf_dir)
+    orders, turn = t.raw("orders"), F.col("order_date") < F.lit("1998-01-01").cast("date")
+    t.send("orders", orders.filter(turn))
+    ingest(t.lake, t.landing, ["orders"])
+    t.send("orders", orders.filter(~turn))
+    ingest(t.lake, t.landing, ["orders"], files_per_batch=2)
+    ingest(t.lake, t.landing, ["orders"])
+    return _landed(t.lake.bronze("orders"))
+
+
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions whose later files have their columns in another order, one fewer, and a new one."""
+    t = Trial(spark, sf_dir)
+    sessions, early = t.raw("sessions"), F.col("traffic_source").isin("view", "click")
+    t.send("sessions", sessions.filter(early))
+    later = sessions.filter(~early).withColumn("referrer_code", F.concat(F.lit("ref-"), "customer_id"))
+    t.send("sessions", later.select(*sorted(c for c in later.columns if c != "abandoned_cart_before")))
+    ingest(t.lake, t.landing, ["sessions"])
+    return _landed(t.lake.bronze("sessions"))
+
+
+def fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk records: the first version backfilled, later ones streamed, one table out."""
+    t = Trial(spark, sf_dir)
+    records = t.raw("risk_support")
+    t.send_full("risk_support", records.filter("load_seq = 0").drop("load_seq"))
+    t.send("risk_support", records.filter("load_seq > 0").drop("load_seq"))
+    t.lake.backfill("risk_support", t.full)
+    ingest(t.lake, t.landing, ["risk_support"])
+    return _landed(t.lake.bronze("risk_support"))
+
+
+def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments: backfill, then corrections by stream, with a compaction before and after."""
+    t = Trial(spark, sf_dir)
+    payments = t.raw("payments")
+    t.send_full("payments", payments.filter("load_seq = 0").drop("load_seq"))
+    t.lake.backfill("payments", t.full)
+    compact_current(t.lake, "payments")
+    t.send("payments", payments.filter("load_seq = 1").drop("load_seq"))
+    ingest(t.lake, t.landing, ["payments"])
+    upsert(t.lake, "payments")
+    compact_current(t.lake, "payments")
+    upsert(t.lake, "payments")
+    return publish(current(t.lake, "payments"))
+
+
+def compacted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_dir(spark, "compact")
+    raw_entity(spark, sf_dir, "orders").repartition(32).write.parquet(f"{base}/small")
+    compact(spark, f"{base}/small", f"{base}/even", "order_date")
+    return spark.read.parquet(f"{base}/even")
+
+
+def materialized_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to daily sales with every layer stored in between."""
+    import datetime as dt
+
+    t = Trial(spark, sf_dir)
+    entities = ("orders", "order_items", "payments", "shipping")
+    for entity in entities:
+        records = t.raw(entity)
+        t.send_full(entity, records.filter("load_seq = 0").drop("load_seq") if "load_seq" in records.columns else records)
+        t.lake.backfill(entity, t.full)
+        if "load_seq" in records.columns:
+            t.send(entity, records.filter("load_seq = 1").drop("load_seq"))
+    ingest(t.lake, t.landing, entities)
+    t.lake.materialize([*(f"{e}_silver" for e in entities), "fact_orders", "agg_daily_sales"], dt.date(2002, 1, 1))
+    return publish(t.lake.table("agg_daily_sales"))
+
+
+QUERIES = {
+    "bronze_full_load": full_load,
+    "bronze_full_load_all": full_load_all,
+    "bronze_stream": stream,
+    "bronze_schema_evolution": schema_evolution,
+    "bronze_fan_in": fan_in,
+    "scd1_stream": upsert_stream,
+    "compacted_orders": compacted_orders,
+    "stored_daily_sales": materialized_lake,
+}

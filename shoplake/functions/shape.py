@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from shoplake.config import CONTRACTS, METADATA
 
 
-def typed(c: Column, source: str, target: str) -> Column:
-    """Cast that turns malformed values into NULL. Whole numbers may be written as ``12.0``."""
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def typed(name: str, source: str, target: str) -> str:
+    """SQL text of a cast that turns malformed values into NULL. Whole numbers may be written as ``12.0``."""
     if source == target:
-        return c
+        return quoted(name)
     if source == "string" and target == "int":
-        return c.try_cast("double").try_cast("int")
-    return c.try_cast(target)
+        return f"try_cast(try_cast({quoted(name)} AS double) AS int)"
+    return f"try_cast({quoted(name)} AS {target})"
 
 
 def conform(df: DataFrame, entity: str, metadata: bool = True) -> DataFrame:
     """Select an entity's contract columns by name, cast to their types; absent ones become typed NULLs."""
     wanted = {**CONTRACTS[entity], **(METADATA if metadata else {})}
     have = dict(df.dtypes)
-    return df.select(
+    return df.selectExpr(
         *(
-            (typed(F.col(name), have[name], dtype) if name in have else F.lit(None).cast(dtype)).alias(name)
+            f"{typed(name, have[name], dtype) if name in have else f'CAST(NULL AS {dtype})'} AS {quoted(name)}"
             for name, dtype in wanted.items()
         )
     )
@@ -31,9 +34,9 @@ def conform(df: DataFrame, entity: str, metadata: bool = True) -> DataFrame:
 
 def publish(df: DataFrame) -> DataFrame:
     """Reader-facing form: no load metadata, decimals as doubles."""
-    return df.select(
+    return df.selectExpr(
         *(
-            F.col(name).cast("double").alias(name) if dtype.startswith("decimal") else F.col(name)
+            f"CAST({quoted(name)} AS double) AS {quoted(name)}" if dtype.startswith("decimal") else quoted(name)
             for name, dtype in df.dtypes
             if name not in METADATA
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from shoplake.config import CONTRACTS
-from shoplake.functions.shape import typed
+from shoplake.functions.shape import quoted, typed
 
 FULL_LOAD, INCREMENTAL = "full_load", "incremental"
 
@@ -18,15 +19,25 @@ FULL_LOAD, INCREMENTAL = "full_load", "incremental"
 FEW_FILES = 16
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """CSV files under a path (none if it does not exist). Only names are read."""
+def _listing(spark: SparkSession, path: str) -> DataFrame | None:
+    """Names of the non-empty files under a path; None if it does not exist. No content is read."""
     try:
-        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
-    return sorted(row["path"] for row in listing.filter(F.col("length") > 0).select("path").collect())
+    return found.filter(F.col("length") > 0).select("path")
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    found = _listing(spark, path)
+    return [] if found is None else sorted(row["path"] for row in found.collect())
+
+
+def any_files(spark: SparkSession, path: str) -> bool:
+    found = _listing(spark, path)
+    return found is not None and not found.isEmpty()
 
 
 def header(spark: SparkSession, file: str) -> tuple[str, ...]:
@@ -46,30 +57,26 @@ def _read_group(spark: SparkSession, files: Sequence[str], names: Sequence[str])
     return rows.select("*", F.col("_metadata.file_path").alias("_source_file"))
 
 
-def _shape(rows: DataFrame, types: dict[str, str], load_type: str) -> DataFrame:
+def _shape(rows: DataFrame, types: Mapping[str, str], load_type: str) -> DataFrame:
     """Known columns in their types, unknown ones kept as text, then the load metadata."""
     known = [
-        (typed(F.col(f"`{n}`"), "string", t) if n in rows.columns else F.lit(None).cast(t)).alias(n) for n, t in types.items()
+        f"{typed(n, 'string', t) if n in rows.columns else f'CAST(NULL AS {t})'} AS {quoted(n)}" for n, t in types.items()
     ]
-    extra = [F.col(f"`{n}`") for n in rows.columns if n not in types and n != "_source_file"]
-    return rows.select(
-        *known,
-        *extra,
-        F.current_timestamp().alias("_ingestion_timestamp"),
-        "_source_file",
-        F.lit(load_type).alias("_load_type"),
-    )
+    extra = [quoted(n) for n in rows.columns if n not in types and n != "_source_file"]
+    load = ["current_timestamp() AS _ingestion_timestamp", "_source_file", f"'{load_type}' AS _load_type"]
+    return rows.selectExpr(*known, *extra, *load)
 
 
 def by_header(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        groups.setdefault(header(spark, file), []).append(file)
+    with ThreadPoolExecutor(8) as pool:
+        for file, names in zip(files, pool.map(lambda f: header(spark, f), files)):
+            groups.setdefault(names, []).append(file)
     return groups
 
 
 def read_groups(
-    spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]], types: dict[str, str], load_type: str
+    spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]], types: Mapping[str, str], load_type: str
 ) -> DataFrame:
     """One scan per distinct header, put together by column name."""
     parts = [_shape(_read_group(spark, files, names), types, load_type) for names, files in groups.items()]

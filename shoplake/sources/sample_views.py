@@ -7,6 +7,8 @@ share, so a checker can evaluate the same text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,37 +106,51 @@ VERSIONS: dict[str, str] = {
 
 FIRST_LOAD = "TIMESTAMP '2024-01-01 00:00:00'"
 
+Read = Callable[[str], DataFrame]
+
+
+def reader(spark: SparkSession, sf_dir: str) -> Read:
+    """Reads each sample table once."""
+    seen: dict[str, DataFrame] = {}
+
+    def read(name: str) -> DataFrame:
+        if name not in seen:
+            seen[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return seen[name]
 
-def _source(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read
 
+
+def _source(read: Read, entity: str) -> DataFrame:
     if entity == "customers":
-        nations = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return table("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        return read("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     if entity in ("order_items", "reviews"):
-        lines = table("lineitem").join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return lines.join(table("part"), F.col("l_partkey") == F.col("p_partkey")) if entity == "order_items" else lines
+        lines = read("lineitem").join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines.join(read("part"), F.col("l_partkey") == F.col("p_partkey")) if entity == "order_items" else lines
     if entity == "sessions":
-        return table("events")
-    return table("part" if entity == "products" else "orders")
+        return read("events")
+    return read("part" if entity == "products" else "orders")
+
+
+def _versioned(read: Read, entity: str) -> DataFrame:
+    source = _source(read, entity)
+    return source.withColumn("v", F.explode(F.expr(VERSIONS[entity]))) if entity in VERSIONS else source
 
 
-def raw_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+def raw_entity(read: Read, entity: str) -> DataFrame:
     """The entity as its source files would hold it, ``load_seq`` included where rows have versions."""
-    source = _source(spark, sf_dir, entity)
-    if entity in VERSIONS:
-        source = source.withColumn("v", F.explode(F.expr(VERSIONS[entity])))
-    return spark.sql(f"SELECT {SELECTS[entity]} FROM {{source}}", source=source)
+    source = _versioned(read, entity)
+    return source.sparkSession.sql(f"SELECT {SELECTS[entity]} FROM {{source}}", source=source)
 
 
-def bronze_entity(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+def bronze_entity(read: Read, entity: str) -> DataFrame:
     """The entity as landed: with load metadata; version n was loaded on day n."""
-    raw = raw_entity(spark, sf_dir, entity)
-    day = "load_seq" if "load_seq" in raw.columns else "0"
-    return raw.select(
-        *(c for c in raw.columns if c != "load_seq"),
-        F.expr(f"{FIRST_LOAD} + make_dt_interval({day})").alias("_ingestion_timestamp"),
-        F.lit("sample").alias("_source_file"),
-        F.lit("full_load").alias("_load_type"),
+    source = _versioned(read, entity)
+    day = "v" if entity in VERSIONS else "0"
+    landed = source.sparkSession.sql(
+        f"""SELECT {SELECTS[entity]}, {FIRST_LOAD} + make_dt_interval({day}) AS _ingestion_timestamp,
+  'sample' AS _source_file, 'full_load' AS _load_type FROM {{source}}""",
+        source=source,
     )
+    return landed.drop("load_seq")

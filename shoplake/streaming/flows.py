@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,8 +35,15 @@ def _start(rows: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], N
 
 
 def _finish(queries: Iterable[StreamingQuery]) -> None:
-    for query in list(queries):
-        query.awaitTermination()
+    """Wait for all queries, then raise the first failure, if any."""
+    failures = []
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            failures.append(error)
+    if failures:
+        raise failures[0]
 
 
 def start_staging(lake: Lake, entity: str, landing: str, files_per_batch: int = FILES_PER_BATCH) -> StreamingQuery:
@@ -78,7 +86,7 @@ def start_append(lake: Lake, entity: str) -> StreamingQuery:
 
 def ingest(lake: Lake, landing: str, entities: Iterable[str] = INCREMENTAL, files_per_batch: int = FILES_PER_BATCH) -> None:
     """Take in all files that arrived since the last call. Entities without a landing folder are skipped."""
-    present = [e for e in entities if csv.list_files(lake.spark, staging_path(landing, e))]
+    present = [e for e in entities if csv.any_files(lake.spark, staging_path(landing, e))]
     _finish([start_staging(lake, e, landing, files_per_batch) for e in present])
     _finish([start_append(lake, e) for e in present if lake.has(lake.path("staging", e))])
 

@@ -9,7 +9,7 @@ from shoplake.config import ENTITIES, full_load_path, staging_path
 from shoplake.functions.shape import publish
 from shoplake.session import scratch_dir
 from shoplake.sources.lake import Lake, compact
-from shoplake.sources.sample_views import raw_entity
+from shoplake.sources.sample_views import raw_entity, reader
 from shoplake.streaming.flows import compact_current, current, ingest, upsert
 
 
@@ -17,13 +17,13 @@ class Trial:
     """A lake in a new scratch folder, with the folders its source files arrive in."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.read = reader(spark, sf_dir)
         base = scratch_dir(spark, "flow")
         self.lake = Lake(spark, f"{base}/lake")
         self.full, self.landing = f"{base}/full", f"{base}/landing"
 
     def raw(self, entity: str) -> DataFrame:
-        return raw_entity(self.spark, self.sf_dir, entity)
+        return raw_entity(self.read, entity)
 
     @staticmethod
     def _csv(df: DataFrame, path: str, mode: str) -> None:
@@ -114,7 +114,7 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compacted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "compact")
-    raw_entity(spark, sf_dir, "orders").repartition(32).write.parquet(f"{base}/small")
+    raw_entity(reader(spark, sf_dir), "orders").repartition(32).write.parquet(f"{base}/small")
     compact(spark, f"{base}/small", f"{base}/even", "order_date")
     return spark.read.parquet(f"{base}/even")
 

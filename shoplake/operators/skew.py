@@ -79,15 +79,17 @@ def _slice(df: DataFrame, ways: int) -> Column:
     return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(ways)).cast("int")
 
 
-def scatter_join(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+def scatter_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", search: bool = True) -> DataFrame:
     """Left or inner equi-join in which ``key`` may repeat on both sides.
 
     Keys heavy on the left are cut into slices there and copied per slice on the right; keys heavy on the right
-    the other way round, as an inner join, because a heavy right key certainly has its match. Every matching pair meets in exactly
-    one slice.
+    the other way round, as an inner join, because a heavy right key certainly has its match. Every matching pair
+    meets in exactly one slice. ``search=False`` is for inputs known to have no heavy keys.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
+    if not search:
+        return left.join(right, key, how)
     (left_heavy,), (right_heavy,) = heavy_keys(left, key), heavy_keys(right, key)
     left_known = [v for v in left_heavy if v is not None]
     right_known = [v for v in right_heavy if v is not None]

@@ -30,13 +30,15 @@ def _line_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def order_line_totals(items: DataFrame) -> DataFrame:
+def order_line_totals(items: DataFrame, laid_out: bool = False) -> DataFrame:
     """Amounts and counts per order.
 
     A distinct count normally shuffles every line by (order, product) and again by order. Lines of ordinary orders are
     laid out by order once instead, which serves both steps and the join that follows; orders too heavy for
     one task keep the two-step plan.
     """
+    if laid_out:
+        return _line_totals(items)
     (heavy,) = heavy_keys(items, "order_id")
     if not heavy:
         return _line_totals(items.repartition("order_id"))
@@ -45,7 +47,10 @@ def order_line_totals(items: DataFrame) -> DataFrame:
     return usual.unionByName(_line_totals(items.filter(picked)))
 
 
-def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, shipping: DataFrame) -> DataFrame:
+def fact_orders(
+    orders: DataFrame, items: DataFrame, payments: DataFrame, shipping: DataFrame, laid_out: bool = False
+) -> DataFrame:
+    """One row per order. ``laid_out`` says that all inputs are bucketed by order and have no heavy orders."""
     paid = payments.groupBy("order_id").agg(
         newest("payment_method", "payment_status", "fraud_risk_score").alias("_payment"),
         F.sum("total_price_usd").alias("payment_amount"),
@@ -56,7 +61,8 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, shippi
     )
     score = F.col("_payment.fraud_risk_score")
     value = r.or_zero(F.col("order_gross_amount")) + r.or_zero(F.col("shipping_cost"))
-    return enrich(orders, [order_line_totals(items), paid, shipped], "order_id").select(
+    totals = order_line_totals(items, laid_out)
+    return enrich(orders, [totals, paid, shipped], "order_id", heavy=() if laid_out else None).select(
         # keys
         "order_key",
         "order_id",
@@ -94,12 +100,12 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, shippi
     )
 
 
-def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
+def fact_order_items(items: DataFrame, orders: DataFrame, laid_out: bool = False) -> DataFrame:
     context = orders.select("order_id", "order_date", "order_status", "country", "city")
     total, net, quantity = F.col("total_price_usd"), F.col("net_revenue_usd"), F.col("quantity")
     discount_share = F.when(total > 0, r.percent(F.col("discount_amount_usd"), total)).otherwise(F.lit(0))
     per_unit = F.when(quantity > 0, r.ratio(net, quantity)).otherwise(F.lit(0))
-    return scatter_join(items, context, "order_id").select(
+    return scatter_join(items, context, "order_id", search=not laid_out).select(
         "order_id",
         "product_id",
         "customer_id",
@@ -161,10 +167,10 @@ def fact_reviews(reviews: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def fact_shipping(shipping: DataFrame, orders: DataFrame) -> DataFrame:
+def fact_shipping(shipping: DataFrame, orders: DataFrame, laid_out: bool = False) -> DataFrame:
     context = orders.select("order_id", "order_date", "country", "city")
     days, cost = F.col("delivery_days"), F.col("shipping_cost_usd")
-    return scatter_join(shipping, context, "order_id").select(
+    return scatter_join(shipping, context, "order_id", search=not laid_out).select(
         "order_id",
         "customer_id",
         "order_date",

@@ -17,7 +17,10 @@ from shoplake.plans import aggregates, dimensions, facts, silver
 class Table:
     make: Callable[..., DataFrame]
     inputs: tuple[str, ...]
+    # Takes the date that relative columns count to.
     dated: bool = False
+    # Can make use of inputs that are bucketed by order.
+    by_order: bool = False
 
 
 # In build order: a table comes after its inputs.
@@ -27,12 +30,12 @@ TABLES: dict[str, Table] = {
     "dim_products": Table(dimensions.dim_products, ("products_silver",)),
     "dim_date": Table(dimensions.dim_date, ("orders_silver",)),
     "fact_orders": Table(
-        facts.fact_orders, ("orders_silver", "order_items_silver", "payments_silver", "shipping_silver")
+        facts.fact_orders, ("orders_silver", "order_items_silver", "payments_silver", "shipping_silver"), by_order=True
     ),
-    "fact_order_items": Table(facts.fact_order_items, ("order_items_silver", "orders_silver")),
+    "fact_order_items": Table(facts.fact_order_items, ("order_items_silver", "orders_silver"), by_order=True),
     "fact_sessions": Table(facts.fact_sessions, ("sessions_silver",)),
     "fact_reviews": Table(facts.fact_reviews, ("reviews_silver",), dated=True),
-    "fact_shipping": Table(facts.fact_shipping, ("shipping_silver", "orders_silver")),
+    "fact_shipping": Table(facts.fact_shipping, ("shipping_silver", "orders_silver"), by_order=True),
     "agg_daily_sales": Table(aggregates.agg_daily_sales, ("fact_orders",)),
     "agg_customer_metrics": Table(
         aggregates.agg_customer_metrics, ("dim_customers", "fact_orders", "fact_sessions", "fact_reviews"), dated=True
@@ -43,6 +46,18 @@ TABLES: dict[str, Table] = {
 }
 
 
+# Stored in buckets of equal order ids when asked for.
+BUCKETED = ("orders_silver", "order_items_silver", "payments_silver", "shipping_silver")
+
+
+def make(name: str, inputs: list[DataFrame], as_of: dt.date | None = None, laid_out: bool = False) -> DataFrame:
+    table = TABLES[name]
+    options = {"as_of": as_of or dt.date.today()} if table.dated else {}
+    if table.by_order:
+        options["laid_out"] = laid_out
+    return table.make(*inputs, **options)
+
+
 def upserted(entity: str, bronze: DataFrame) -> DataFrame:
     """Bronze rows reduced to the newest per business key, for entities whose files carry corrections.
 
@@ -73,7 +88,5 @@ def build(
             entity = name.removesuffix("_bronze")
             made[name] = upserted(entity, bronze(entity)) if upsert else bronze(entity)
         else:
-            table = TABLES[name]
-            inputs = [build(i, bronze, as_of, upsert, made) for i in table.inputs]
-            made[name] = table.make(*inputs, as_of or dt.date.today()) if table.dated else table.make(*inputs)
+            made[name] = make(name, [build(i, bronze, as_of, upsert, made) for i in TABLES[name].inputs], as_of)
     return made[name]

@@ -225,3 +225,42 @@ def test_compaction(spark, tmp_path):
 
 def test_lake_over_missing_root(spark, tmp_path):
     assert Lake(spark, str(tmp_path / "nowhere")).bronze("orders").count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, full):
+    from conftest import SF
+
+    from shoplake.functions.shape import conform, publish
+    from shoplake.operators import skew
+    from shoplake.plans.medallion import BUCKETED, make
+    from shoplake.sources.sample_views import bronze_entity, reader
+
+    read = reader(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    lake = Lake(spark, str(tmp_path / "lake"), "shop")
+    for entity in ("orders", "order_items", "payments", "shipping"):
+        conform(bronze_entity(read, entity), entity).write.parquet(lake.path("bronze", entity, "full"))
+    facts = ("fact_orders", "fact_order_items", "fact_shipping")
+    lake.materialize([*BUCKETED, *facts])
+    plain = {name: rows(publish(lake.table(name))) for name in facts}
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lake.materialize([*BUCKETED, *facts], buckets=4)
+        for name, inputs in (
+            ("fact_orders", BUCKETED),
+            ("fact_order_items", ("order_items_silver", "orders_silver")),
+            ("fact_shipping", ("shipping_silver", "orders_silver")),
+        ):
+            assert rows(publish(lake.table(name))) == plain[name]
+            made = make(name, [lake.table(i) for i in inputs], laid_out=True)
+            assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+        # A heavy order id keeps its table out of buckets, and drops the old catalog entry.
+        spark.conf.set(skew.MIN_ROWS, "0")
+        spark.conf.set(skew.SHARE, "0")
+        lake.materialize([*BUCKETED, *facts], buckets=4)
+        assert not any(spark.catalog.tableExists(f"shop.{name}") for name in BUCKETED)
+        assert rows(publish(lake.table("fact_shipping"))) == plain["fact_shipping"]
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", skew.MIN_ROWS, skew.SHARE):
+            spark.conf.unset(name)

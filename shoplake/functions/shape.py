@@ -23,7 +23,7 @@ def typed(name: str, source: str, target: str) -> str:
 def conform(df: DataFrame, entity: str, metadata: bool = True) -> DataFrame:
     """Select an entity's contract columns by name, cast to their types; absent ones become typed NULLs."""
     wanted = {**CONTRACTS[entity], **(METADATA if metadata else {})}
-    have = dict(df.dtypes)
+    have = {name.lower(): dtype for name, dtype in df.dtypes}
     return df.selectExpr(
         *(
             f"{typed(name, have[name], dtype) if name in have else f'CAST(NULL AS {dtype})'} AS {quoted(name)}"

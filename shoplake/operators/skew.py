@@ -11,6 +11,7 @@ Thresholds are session settings: ``shoplake.skew.minRows`` (a key with fewer row
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ WAYS = "shoplake.skew.ways"
 
 MAX_HEAVY = 2000
 SKETCH_ITEMS = 16384
+SEEN = 50_000
 
 
 def _setting(df: DataFrame, name: str, default: float) -> float:
@@ -32,14 +34,21 @@ def _setting(df: DataFrame, name: str, default: float) -> float:
 def heavy_keys(df: DataFrame, *keys: Column | str) -> list[list[Any]]:
     """For each key expression, the values (NULL included) that hold too many rows for one task.
 
-    One job for all keys. The frequent-item sketch keeps a fixed number of entries per key, never
-    underestimates a count, and merges without shuffling the keys; at most ``MAX_HEAVY`` values come back.
+    One job for all keys. A frequent-item sketch keeps a fixed number of entries per key, never underestimates a
+    count, and merges without shuffling the keys; at most ``MAX_HEAVY`` values come back. Only statistics are
+    gathered here, so a share of the rows is enough: as many as show a key of ``minRows`` rows ``SEEN`` times, give or
+    take half a percent. Missing or adding a borderline key changes the plan, not the result.
     """
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     names = [f"_key{i}" for i in range(len(columns))]
     sketches = [F.expr(f"approx_top_k({n}, {MAX_HEAVY}, {SKETCH_ITEMS})").alias(n) for n in names]
-    row = df.select(*(c.alias(n) for c, n in zip(columns, names))).agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    limit = max(_setting(df, MIN_ROWS, 5_000_000), _setting(df, SHARE, 1 / MAX_HEAVY) * row["_rows"])
+    min_rows = max(_setting(df, MIN_ROWS, 5_000_000), 1)
+    part = min(1.0, SEEN / min_rows)
+    picked = df.select(*(c.alias(n) for c, n in zip(columns, names)))
+    if part < 1:
+        picked = picked.sample(part, seed=7)
+    row = picked.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
+    limit = max(min_rows * part, _setting(df, SHARE, 1 / MAX_HEAVY) * row["_rows"])
     return [[entry["item"] for entry in row[n] or [] if entry["count"] > limit] for n in names]
 
 
@@ -90,7 +99,8 @@ def scatter_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
         raise ValueError(f"unsupported join type {how!r}")
     if not search:
         return left.join(right, key, how)
-    (left_heavy,), (right_heavy,) = heavy_keys(left, key), heavy_keys(right, key)
+    with ThreadPoolExecutor(2) as pool:
+        (left_heavy,), (right_heavy,) = pool.map(lambda side: heavy_keys(side, key), (left, right))
     left_known = [v for v in left_heavy if v is not None]
     right_known = [v for v in right_heavy if v is not None]
     if not left_heavy and not right_known:

@@ -11,8 +11,17 @@ from shoplake.operators.skew import scatter_join
 
 
 def _sorted(df: DataFrame, *first: Column) -> DataFrame:
-    """Total order: the named sort, then every column, so ties come out the same each time and can be split."""
-    return df.orderBy(*first, *(F.col(c) for c in df.columns))
+    """The named sort, then every column, so that ties come out the same each time.
+
+    Equal rows are told apart by the task they come from, so that even a large group of copies is sorted by
+    several tasks.
+    """
+    ranked = df.withColumn("_task", F.spark_partition_id())
+    return ranked.orderBy(*first, *(F.col(c) for c in df.columns), "_task").drop("_task")
+
+
+def _top(df: DataFrame, limit: int, *first: Column) -> DataFrame:
+    return df.orderBy(*first, *(F.col(c) for c in df.columns)).limit(limit)
 
 
 def high_value_customers(agg_customer_metrics: DataFrame) -> DataFrame:
@@ -31,7 +40,7 @@ def top_products(agg_product_performance: DataFrame, limit: int = 50) -> DataFra
         "positive_review_rate",
         "inventory_turnover_category",
     )
-    return publish(_sorted(picked, F.col("total_revenue").desc_nulls_last()).limit(limit))
+    return publish(_top(picked, limit, F.col("total_revenue").desc_nulls_last()))
 
 
 def recent_sales(agg_daily_sales: DataFrame, limit: int = 30) -> DataFrame:
@@ -44,7 +53,7 @@ def recent_sales(agg_daily_sales: DataFrame, limit: int = 30) -> DataFrame:
         "completion_rate",
         "on_time_delivery_rate",
     )
-    return publish(_sorted(picked, F.col("order_date").desc_nulls_last()).limit(limit))
+    return publish(_top(picked, limit, F.col("order_date").desc_nulls_last()))
 
 
 def fraud_orders(fact_orders: DataFrame, risk_support: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from shoplake.config import CONTRACTS
+from shoplake.config import CONTRACTS, METADATA
 from shoplake.functions.shape import quoted, typed
 
 FULL_LOAD, INCREMENTAL = "full_load", "incremental"
@@ -57,12 +57,17 @@ def _read_group(spark: SparkSession, files: Sequence[str], names: Sequence[str])
     return rows.select("*", F.col("_metadata.file_path").alias("_source_file"))
 
 
+def _extra(names: Sequence[str], types: Mapping[str, str]) -> list[str]:
+    """Columns outside the contract. Names differing only in case are the same column, as elsewhere in Spark."""
+    taken = {*types, *METADATA}
+    return [n for n in names if n.lower() not in taken]
+
+
 def _shape(rows: DataFrame, types: Mapping[str, str], load_type: str) -> DataFrame:
     """Known columns in their types, unknown ones kept as text, then the load metadata."""
-    known = [
-        f"{typed(n, 'string', t) if n in rows.columns else f'CAST(NULL AS {t})'} AS {quoted(n)}" for n, t in types.items()
-    ]
-    extra = [quoted(n) for n in rows.columns if n not in types and n != "_source_file"]
+    have = {n.lower() for n in rows.columns}
+    known = [f"{typed(n, 'string', t) if n in have else f'CAST(NULL AS {t})'} AS {quoted(n)}" for n, t in types.items()]
+    extra = [quoted(n) for n in _extra(rows.columns, types)]
     load = ["current_timestamp() AS _ingestion_timestamp", "_source_file", f"'{load_type}' AS _load_type"]
     return rows.selectExpr(*known, *extra, *load)
 
@@ -112,4 +117,4 @@ def land(
             raise
         rows = read_groups(spark, groups, types, load_type)
         write(rows)
-    return [c for c in rows.columns if c not in types and not c.startswith("_")]
+    return _extra(rows.columns, types)

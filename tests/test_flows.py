@@ -76,6 +76,13 @@ def test_columns_bind_by_name(spark, lake, landing):
     assert (found["O2"].delivery_days, float(found["O2"].shipping_cost_usd), found["O2"].carrier) == (None, 2.25, "fast co")
 
 
+def test_column_names_ignore_case(spark, lake, landing):
+    put(staging_path(landing, "orders"), "a.csv", "Order_ID,CITY,Note\nO1,here,n\n")
+    flows.ingest(lake, landing, ["orders"])
+    row = lake.bronze("orders").first()
+    assert (row.order_id, row.city, row.Note) == ("O1", "here", "n")
+
+
 def test_a_column_may_appear_later(spark, lake, landing):
     folder = staging_path(landing, "orders")
     put(folder, "a.csv", "order_id\nO1\n")

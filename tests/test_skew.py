@@ -30,6 +30,17 @@ def test_small_tables_have_no_heavy_keys(spark):
     assert skew.heavy_keys(lopsided(spark, 300, "a"), "k") == [[]]
 
 
+def test_heavy_keys_from_a_share_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SEEN", 2000)
+    spark.conf.set(skew.MIN_ROWS, "20000")
+    try:
+        key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, 1).otherwise(F.col("id"))
+        df = spark.range(100_000).select(key.alias("k"))
+        assert skew.heavy_keys(df, "k") == [[0]]
+    finally:
+        spark.conf.unset(skew.MIN_ROWS)
+
+
 def test_enrich(spark, heavy):
     left = lopsided(spark, 300, "a")
     one = left.filter("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"))

@@ -249,7 +249,9 @@ SELECT * EXCLUDE (load_seq), CASE WHEN load_seq = 0 THEN 'full_load' ELSE 'incre
         # Empty text does not survive a CSV file: it reads back as NULL.
         "scd1_stream": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
         "compacted_orders": "SELECT * FROM orders_bronze",
+        "bronze_stream_700_files": "SELECT *, 'incremental' AS load_type FROM orders_bronze",
         "stored_daily_sales": _BODIES["agg_daily_sales"],
+        "stored_lake": _BODIES["agg_customer_metrics"],
     }
 )
 

@@ -8,8 +8,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from shoplake.config import ENTITIES, KEYS, LOAD_PATTERN, UPSERT
+from shoplake.config import ENTITIES, HISTORY, KEYS, LOAD_PATTERN, UPSERT
+from shoplake.functions.shape import conform
 from shoplake.operators.dedup import keep_latest
+from shoplake.operators.history import scd2
 from shoplake.plans import aggregates, dimensions, facts, silver
 
 
@@ -23,9 +25,15 @@ class Table:
     by_order: bool = False
 
 
+def versions(entity: str) -> Callable[[DataFrame], DataFrame]:
+    """Builder of an entity's version history, from everything that was ever landed for it."""
+    return lambda bronze: scd2(conform(bronze, entity), KEYS[entity])
+
+
 # In build order: a table comes after its inputs.
 TABLES: dict[str, Table] = {
     **{f"{e}_silver": Table(getattr(silver, e), (f"{e}_bronze",)) for e in ENTITIES},
+    **{f"{e}_history": Table(versions(e), (f"{e}_bronze",)) for e in ENTITIES if LOAD_PATTERN[e] == HISTORY},
     "dim_customers": Table(dimensions.dim_customers, ("customers_silver",), dated=True),
     "dim_products": Table(dimensions.dim_products, ("products_silver",)),
     "dim_date": Table(dimensions.dim_date, ("orders_silver",)),

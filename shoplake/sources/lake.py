@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from shoplake.config import contract_ddl, full_load_path
+from shoplake.operators.quality import observe
 from shoplake.operators.skew import heavy_keys
 from shoplake.plans.medallion import BUCKETED, TABLES, make, upserted
 from shoplake.sources import csv
@@ -104,15 +105,23 @@ class Lake:
         made.write.mode("overwrite").parquet(path)
 
     def materialize(
-        self, names: Iterable[str] = TABLES, as_of: dt.date | None = None, upsert: bool = False, buckets: int = 0
-    ) -> None:
+        self,
+        names: Iterable[str] = TABLES,
+        as_of: dt.date | None = None,
+        upsert: bool = False,
+        buckets: int = 0,
+        expectations: Mapping[str, Mapping[str, str]] | None = None,
+    ) -> dict[str, dict[str, int]]:
         """Recompute and store tables, each from its stored inputs, so that no work is done twice.
 
+        ``expectations`` names rules per table. Rows that break one are counted while the table is written, without a pass of
+        their own; the counts are returned per table, with the row count as ``_rows``.
+
         With ``buckets`` the silver tables that join by order are laid out by order as they are written, in place of a
         shuffle in each of the three facts that read them. A table with a heavy order id is not bucketed: one
         bucket would hold its rows.
         """
-        wanted = set(names)
+        wanted, counts = set(names), {}
         for name, table in TABLES.items():
             if name not in wanted:
                 continue
@@ -124,7 +133,14 @@ class Lake:
                 else:
                     inputs.append(self.table(source))
             laid_out = all(self._is_bucketed(source) for source in table.inputs)
-            self._store(name, make(name, inputs, as_of, laid_out), buckets)
+            made = make(name, inputs, as_of, laid_out)
+            rules = (expectations or {}).get(name)
+            if rules:
+                made, seen = observe(made, rules, name)
+            self._store(name, made, buckets)
+            if rules:
+                counts[name] = seen.get
+        return counts
 
 
 def compact(spark: SparkSession, source: str, target: str, *by: str) -> None:

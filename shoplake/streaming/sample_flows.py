@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,9 @@ from shoplake.sources.sample_views import raw_entity, reader
 from shoplake.streaming.flows import compact_current, current, ingest, upsert
 
 
+AS_OF = dt.date(2002, 1, 1)
+
+
 class Trial:
     """A lake in a new scratch folder, with the folders its source files arrive in."""
 
@@ -119,30 +125,51 @@ def compacted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/even")
 
 
-def materialized_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files to daily sales with every layer stored in between."""
-    import datetime as dt
-
+def many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders arriving as 700 files at once, as many as one entity's folder holds."""
     t = Trial(spark, sf_dir)
-    entities = ("orders", "order_items", "payments", "shipping")
+    t.send("orders", t.raw("orders").repartition(700))
+    ingest(t.lake, t.landing, ["orders"])
+    return _landed(t.lake.bronze("orders"))
+
+
+def _deliver(t: Trial, entities: Iterable[str]) -> None:
+    """First versions as backfill, later ones as incremental files."""
     for entity in entities:
         records = t.raw(entity)
-        t.send_full(entity, records.filter("load_seq = 0").drop("load_seq") if "load_seq" in records.columns else records)
+        versioned = "load_seq" in records.columns
+        t.send_full(entity, records.filter("load_seq = 0").drop("load_seq") if versioned else records)
+        if versioned:
+            t.send(entity, records.filter("load_seq > 0").drop("load_seq"))
         t.lake.backfill(entity, t.full)
-        if "load_seq" in records.columns:
-            t.send(entity, records.filter("load_seq = 1").drop("load_seq"))
     ingest(t.lake, t.landing, entities)
-    t.lake.materialize([*(f"{e}_silver" for e in entities), "fact_orders", "agg_daily_sales"], dt.date(2002, 1, 1))
+
+
+def stored_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to daily sales with every layer stored in between."""
+    t, entities = Trial(spark, sf_dir), ("orders", "order_items", "payments", "shipping")
+    _deliver(t, entities)
+    t.lake.materialize([*(f"{e}_silver" for e in entities), "fact_orders", "agg_daily_sales"], AS_OF)
     return publish(t.lake.table("agg_daily_sales"))
 
 
+def stored_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline: all entities from files through every stored table."""
+    t = Trial(spark, sf_dir)
+    _deliver(t, ENTITIES)
+    t.lake.materialize(as_of=AS_OF)
+    return publish(t.lake.table("agg_customer_metrics"))
+
+
 QUERIES = {
     "bronze_full_load": full_load,
     "bronze_full_load_all": full_load_all,
     "bronze_stream": stream,
+    "bronze_stream_700_files": many_files,
     "bronze_schema_evolution": schema_evolution,
     "bronze_fan_in": fan_in,
     "scd1_stream": upsert_stream,
     "compacted_orders": compacted_orders,
-    "stored_daily_sales": materialized_lake,
+    "stored_daily_sales": stored_daily_sales,
+    "stored_lake": stored_lake,
 }

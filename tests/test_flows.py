@@ -165,7 +165,10 @@ def test_all_entities_flow(spark, lake, landing, full):
     for entity in ENTITIES:
         expected = ["K1", "K2"] if entity in INCREMENTAL else ["K1"]
         assert sorted(r[0] for r in lake.bronze(entity).select(KEYS[entity][0]).collect()) == expected
-    lake.materialize(as_of=dt.date(2024, 6, 1))
+    rules = {"orders_silver": {"has_customer": "customer_id IS NOT NULL", "has_order": "order_id IS NOT NULL"}}
+    counts = lake.materialize(as_of=dt.date(2024, 6, 1), expectations=rules)
+    assert counts == {"orders_silver": {"_rows": 2, "has_customer": 2, "has_order": 0}}
+    assert lake.table("products_history").count() == 2
     assert lake.table("agg_customer_metrics").count() == 1
     assert lake.table("agg_product_performance").count() == 2
     assert lake.table("fact_orders").count() == 2

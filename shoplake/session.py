@@ -25,14 +25,18 @@ def session(app: str = "shoplake", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+_local: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Executors on any machine must reach it, so the location is whatever ``spark.checkpoint.dir`` names; a
-    local temporary folder is chosen, and recorded there, only where nothing is configured.
+    Executors on any machine must reach it, so the location is whatever ``spark.checkpoint.dir`` names. A local
+    temporary folder is made only where nothing is configured, as in a single-machine test.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="shoplake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="shoplake-")
+        _local[context.applicationId] = root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -277,3 +277,22 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, full):
     finally:
         for name in ("spark.sql.autoBroadcastJoinThreshold", skew.MIN_ROWS, skew.SHARE):
             spark.conf.unset(name)
+
+
+def test_scratch_folders(spark):
+    from shoplake.session import scratch_dir
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one != two and one.startswith(shared) and two.startswith(shared)
+
+
+def test_scratch_folder_without_a_configured_one():
+    from types import SimpleNamespace
+
+    from shoplake.session import scratch_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, applicationId="app")
+    bare = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    one, two = scratch_dir(bare, "x"), scratch_dir(bare, "x")
+    assert one != two and os.path.dirname(one) == os.path.dirname(two)

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplake.llm import packing, token_blocks
+from shoplake.llm import chunks, packing, simhash, token_blocks
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,17 @@ def op4_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(packing.pack(table(spark, sf_dir, "documents"), vocabulary, "words", 1))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of every document that occurred before, with the document that keeps it."""
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the component it is linked to at two bits or fewer."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents' ids written in patched frame-of-reference blocks and read back."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +39,8 @@ def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_hilbert_packing": op4_hilbert_packing,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_simhash": op7_simhash,
     "op9_token_blocks": op9_token_blocks,
 }
 ORACLE: dict[str, str] = {}

@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chunks, packing, simhash, token_blocks
+from shoplake.llm import chunks, decontaminate, packing, simhash, token_blocks
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, verbatim or with other numbers, names and units."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), "item_id", "n_windows", "n_item_windows", "reparameterised")
+
+
 def op4_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 ids, in the order of a Hilbert curve over hashed document vectors."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -38,6 +44,7 @@ def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
     "op4_hilbert_packing": op4_hilbert_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chunks, decontaminate, packing, simhash, token_blocks
+from shoplake.llm import chunks, decontaminate, langid, packing, simhash, token_blocks
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,11 +43,18 @@ def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_digests(token_blocks.write_tokens(table(spark, sf_dir, "documents"), vocabulary, "bytes", 0))
 
 
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by a conditional random field over its words."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs)).drop("tie")
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_hilbert_packing": op4_hilbert_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,
     "op9_token_blocks": op9_token_blocks,
+    "op10_language_crf": op10_language_crf,
 }
 ORACLE: dict[str, str] = {}

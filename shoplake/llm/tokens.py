@@ -20,6 +20,10 @@ PIECES = {"bytes": re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+"), "words":
 LONGEST_KEPT = 64
 MOST_KEPT = 400_000
 
+#: Stops at the end of a word that are encoded apart from it.
+_TAIL = ".,;:!?"
+_WHITE_SET = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WHITE}]", c))
+
 #: A word the word vocabulary encodes as one token, to tell pieces apart that are encoded together.
 _MARK = "|"
 
@@ -55,58 +59,91 @@ class Encoder:
         self.style = style
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        if style == "bytes":
-            vocabulary = json.loads(self.tokenizer.to_str())["model"]["vocab"]
-            self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-            for token, number in vocabulary.items():  # a byte-level token is written with one character for each byte
-                self.sizes[number] = len(token)
-        else:
-            (self.mark,) = self._ids(_MARK)
+        self.tails: dict[str, bytes] = {}
+        vocabulary = json.loads(self.tokenizer.to_str())["model"]["vocab"]
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            # A byte-level token is written with one character for each byte; a word's last token is marked.
+            self.sizes[number] = len(token) if style == "bytes" else token.endswith("</w>")
+        self.mark = self._ids(_MARK)[0] if style == "words" else -1
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _once(self, piece: str) -> bytes:
+        return np.array(self._ids(_written(piece) if self.style == "bytes" else piece), "<u4").tobytes()
+
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """The ids of each piece. They are encoded side by side, which is cheaper than one by one, and then parted."""
+        skip = 0
         if self.style == "bytes":
-            written = [_written(p) for p in pieces]
+            # A text's first piece has nothing before it: a line end, one token, is put there and its id left out.
+            written = [f"\n{p[1:]}" if p[0] == "\0" else _written(p) for p in pieces]
+            skip = np.array([4 * (p[0] == "\0") for p in pieces])
             ids = np.array(self._ids("".join(written)), "<u4")
-            lengths = np.cumsum([len(p.encode()) for p in written])
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), lengths) + 1
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode()) for p in written])) + 1
+        elif all(p.lower().isalpha() for p in pieces):
+            ids = np.array(self._ids(" ".join(pieces)), "<u4")
+            ends = np.flatnonzero(self.sizes[ids]) + 1
         else:
             ids = np.array(self._ids(f" {_MARK} ".join(pieces)), "<u4")
             marks = np.append(np.flatnonzero(ids == self.mark), len(ids))
             ids, ends = np.delete(ids, marks[:-1]), marks - np.arange(len(marks))
-        data, ends = ids.tobytes(), (ends * 4).tolist()
-        return {p: data[a:b] for p, a, b in zip(pieces, [0, *ends], ends, strict=False)}
+        if len(ends) != len(pieces):
+            return {p: self._once(p) for p in pieces}
+        data, ends = ids.tobytes(), ends * 4
+        starts = (np.append(0, ends[:-1]) + skip).tolist()
+        return {p: data[a:b] for p, a, b in zip(pieces, starts, ends.tolist(), strict=True)}
 
     def _separable(self, piece: str) -> bool:
-        # Pieces of the byte vocabulary must begin with white space, or they would grow together with their neighbour.
-        return piece[0] != "\0" if self.style == "bytes" else _MARK not in piece
+        if self.style == "words":
+            return _MARK not in piece
+        return piece[0] != "\0" or (len(piece) > 1 and piece[1] not in _WHITE_SET)
+
+    def _meet(self, missing: set[str]) -> dict[str, bytes]:
+        """Learn the short pieces that are missing; the ids of the others are returned, for once."""
+        known, older = self.known, self.older
+        if len(known) > MOST_KEPT:
+            self.older, self.known = known, {}
+            known, older = self.known, known
+        for piece in missing & older.keys():
+            known[piece] = older[piece]
+        missing = missing - known.keys()
+        plain, other, odd, ended = set(), set(), [], []
+        for piece in missing:
+            if len(piece) > LONGEST_KEPT or not self._separable(piece):
+                odd.append(piece)
+                continue
+            core = piece.rstrip(_TAIL)
+            if len(core) < len(piece) and core and core[-1].isalpha():
+                # Letters and the stops after them are encoded apart in both kinds of vocabulary.
+                ended.append((piece, core))
+                if core in known:
+                    continue
+                piece = core
+            (plain if piece.isalpha() else other).add(piece)
+        for some in (list(plain), list(other)):
+            for at in range(0, len(some), 512):
+                known.update(self._learn(some[at : at + 512]))
+        for piece, core in ended:
+            tail = piece[len(core) :]
+            if tail not in self.tails:
+                self.tails[tail] = np.array(self._ids(tail), "<u4").tobytes()
+            known[piece] = known[core] + self.tails[tail]
+        return {p: self._once(p) for p in odd}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces_of(t, self.style) for t in texts]
-        known = self.known
-        missing = set().union(*cut).difference(known)
-        once: dict[str, bytes] = {}
-        if missing:
-            if len(known) > MOST_KEPT:
-                self.older, self.known = known, {}
-                known, missing = self.known, set().union(*cut)
-            for piece in list(missing):
-                if (ids := self.older.get(piece)) is not None:
-                    known[piece] = ids
-                    missing.discard(piece)
-            short, odd = [], []
-            for piece in missing:
-                (short if len(piece) <= LONGEST_KEPT and self._separable(piece) else odd).append(piece)
-            for at in range(0, len(short), 512):
-                known.update(self._learn(short[at : at + 512]))
-            for piece in odd:
-                once[piece] = np.array(self._ids(_written(piece) if self.style == "bytes" else piece), "<u4").tobytes()
-        if not once:
-            return [b"".join([known[p] for p in pieces]) for pieces in cut]
-        return [b"".join([known[p] if p in known else once[p] for p in pieces]) for pieces in cut]
+        get = self.known.get
+        found = [[get(p) for p in pieces] for pieces in cut]
+        lacking = [k for k, ids in enumerate(found) if None in ids]
+        if lacking:
+            missing = {p for k in lacking for p, ids in zip(cut[k], found[k], strict=True) if ids is None}
+            once = self._meet(missing)
+            known, older = self.known, self.older
+            for k in lacking:
+                found[k] = [ids or known.get(p) or once.get(p) or older.get(p, b"") for p, ids in zip(cut[k], found[k], strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}

@@ -120,11 +120,11 @@ def pack(docs: DataFrame, tokenizer: str, style: str, end_id: int) -> DataFrame:
     keys = ["curve_key", "doc_id", "tie"]
     ordered = encoded.repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = cut(mapped(ordered, _placed, PLACED), "packing-order")
-    # A row per writing task; what lies before each is the only thing that crosses tasks.
+    # A row per writing task, whatever the documents: what lies before each is the only thing that crosses tasks.
     sizes = placed.groupBy("shard").agg(F.sum("n_ids").alias("size"))
     before = F.expr("sum(size) OVER (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
     bases = sizes.select("shard", F.coalesce(before, F.lit(0)).cast("long").alias("base"))
-    line = placed.join(bases, "shard").withColumn("line_start", F.col("base") + F.col("shard_start"))
+    line = placed.join(F.broadcast(bases), "shard").withColumn("line_start", F.col("base") + F.col("shard_start"))
     return line.select("doc_id", "n_ids", "ids", "line_start", "curve_key")
 
 

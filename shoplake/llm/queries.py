@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chunks, decontaminate, langid, packing, simhash, token_blocks
+from shoplake.llm import chunks, decontaminate, langid, packing, simhash, token_blocks, toxicity
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "item_id", "n_windows", "n_item_windows", "reparameterised")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by its nearest labelled examples, with those as evidence."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("tie")
+
+
 def op4_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 ids, in the order of a Hilbert curve over hashed document vectors."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -51,6 +57,7 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_hilbert_packing": op4_hilbert_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash": op7_simhash,

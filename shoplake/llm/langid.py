@@ -125,10 +125,13 @@ class Field:
         emit[slot] = np.exp(scores - scores.max(axis=1, keepdims=True))
         real[slot] = True
         move = np.exp(self.transitions - self.transitions.max())
+        # A text's first word has no transition before it.
+        moves = np.broadcast_to(move, (n, k, k)).copy()
+        moves[first_block[blocks > 0]] = np.eye(k)
         product = np.broadcast_to(np.eye(k), (n, k, k)).copy()
         for t in range(BLOCK):
             some = real[:, t]
-            following = (product[some] @ move) * emit[some, t][:, None, :]
+            following = (product[some] @ (move if t else moves[some])) * emit[some, t][:, None, :]
             product[some] = following / following.sum(axis=(1, 2), keepdims=True)
         ahead, behind = np.full((n, k), 1.0 / k), np.full((n, k), 1.0 / k)
         most = int(blocks.max(initial=0))
@@ -145,7 +148,7 @@ class Field:
         forward = np.empty((BLOCK, n, k))
         message = ahead
         for t in range(BLOCK):
-            following = (message @ move) * emit[:, t]
+            following = (message @ move if t else np.einsum("ni,nij->nj", message, moves)) * emit[:, t]
             following /= following.sum(axis=1, keepdims=True)
             message = np.where(real[:, t, None], following, message)
             forward[t] = message

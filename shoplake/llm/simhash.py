@@ -205,7 +205,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> Da
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """doc_id, tie, fp and component_id of every row: the smallest doc_id reachable over links of ``distance`` bits or fewer.
+    """doc_id, tie, fp, root and component_id of every row. ``root`` is the component's smallest fingerprint, component_id the smallest doc_id reachable over links of ``distance`` bits or fewer.
 
     Words, shingles and bits are as the contract has them (A-Z lower-cased; white space is blank and \\x09-\\x0D). A NULL or empty
     text has fingerprint zero and is linked like any other. Equal fingerprints are one node, so a group of copies of any size
@@ -217,8 +217,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     roots = cut(components(links(prints.select("fp"), distance)), "simhash-roots")
     grouped = prints.join(roots, prints.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = cut(grouped.join(smallest, "root").select("fp", "component_id"), "simhash-named")
-    return rows.join(named, "fp").select("doc_id", "tie", "fp", "component_id")
+    named = cut(grouped.join(smallest, "root").select("fp", "root", "component_id"), "simhash-named")
+    return rows.join(named, "fp").select("doc_id", "tie", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -228,7 +228,7 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
     """
     rows = cut(near_duplicates(docs, shingle, distance), "simhash-components")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie")
-    first = rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")).agg(F.min(order).alias("x"), F.count("*").alias("n"))
+    first = rows.groupBy("root").agg(F.min(order).alias("x"))
     kept = cut(first.select(F.col("x.doc_id").alias("_doc"), F.col("x.tie").alias("_tie")), "simhash-kept")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key() == F.col("_tie"))
     out = docs.join(kept, same, "left_semi")

@@ -67,7 +67,9 @@ def write_segment(ids: np.ndarray, counts: np.ndarray, percentile: float = PERCE
     """A segment of the documents whose ids lie one after the other in ``ids``."""
     n_blocks = -(-len(ids) // BLOCK)
     pad = n_blocks * BLOCK - len(ids)
-    table = np.append(ids, np.repeat(ids[-1:], pad)).astype("<u4").reshape(n_blocks, BLOCK)
+    # What fills up the last block is its own minimum, which takes no bits.
+    filler = ids[len(ids) - len(ids) % BLOCK :].min(initial=2**32 - 1) if pad else 0
+    table = np.append(ids, np.full(pad, filler, "<u4")).astype("<u4").reshape(n_blocks, BLOCK)
     lows = table.min(axis=1, initial=2**32 - 1) if n_blocks else np.zeros(0, "<u4")
     table = table - lows[:, None].astype("<u4")
     kth = min(BLOCK - 1, int(BLOCK * percentile / 100))

@@ -1,0 +1,122 @@
+"""Encoding, packing and the token store, against the tokenizer itself."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from cases import docs, no_docs, prose  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from shoplake.llm import packing, token_blocks
+from shoplake.llm.tokens import encoder
+
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
+TOOLS = {}
+
+
+def plain(path, text):
+    if path not in TOOLS:
+        TOOLS[path] = Tokenizer.from_file(path)
+        TOOLS[path].encode_special_tokens = True
+    return TOOLS[path].encode(text or "", add_special_tokens=False).ids
+
+
+ODD = ["", " ", "\n", "a  b", " a", "a ", "a\n\nb c.\nd", "it's 12 345", "x\x1cy \x85z", "<|endoftext|> a", "ΑΣ. ΣΑΣ", "é ́x", "a | b| |c", "\0a b\0 c", "İ ıI"]
+
+
+@pytest.mark.parametrize(("path", "style"), [(BYTES, "bytes"), (WORDS, "words")])
+def test_encoder_gives_the_tokenizers_ids(path, style):
+    texts = [*ODD, prose(3, 500), "y" * 5000 + " z. w!"]
+    for _ in range(2):  # learned, then remembered
+        for text, ids in zip(texts, encoder(path, style).encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain(path, text), repr(text[:40])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aAé. ,'s\n\t|1\0\x1c ́ß"), max_size=30), max_size=4))
+def test_encoder_on_any_text(texts):
+    for path, style in ((BYTES, "bytes"), (WORDS, "words")):
+        for text, ids in zip(texts, encoder(path, style).encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain(path, text)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=3000), st.sampled_from([50.0, 90.0, 99.0, 100.0]))
+def test_segment_round_trip(values, percentile):
+    counts = np.array([len(values) // 3, len(values) - len(values) // 3], np.int64)
+    stored = token_blocks.Segment(token_blocks.write_segment(np.array(values, "<u4"), counts, percentile))
+    assert stored.ids().tolist() == values
+    assert stored.document(1).tolist() == values[counts[0] :]
+
+
+def test_outliers_are_exceptions():
+    values = np.array([7] * 5000 + [2**31] * 3, "<u4")
+    data = token_blocks.write_segment(values, np.array([5003]))
+    assert len(data) < 1500
+    assert token_blocks.Segment(data).ids().tolist() == values.tolist()
+
+
+def test_store(spark, docs):
+    stored = token_blocks.write_tokens(docs, BYTES, "bytes", 0)
+    found = sorted((tuple(r) for r in token_blocks.token_digests(stored).collect()), key=lambda r: r[1])
+    assert len(found) == docs.count()
+    place = 0
+    assert [r[0] for r in found] == sorted((r[0] for r in found), key=lambda i: (i is not None, i))
+    expected = sorted((i is None, i or 0, zlib.crc32(np.array([*plain(BYTES, t), 0], "<u4").tobytes())) for i, t in docs.select("doc_id", "text").collect())
+    assert sorted((i is None, i or 0, crc) for i, _, _, crc in found) == expected
+    for _, start, n, _ in found:
+        assert start == place
+        place += n
+    got = {r.doc_id: list(r.ids) for r in token_blocks.read_documents(stored, [9, 6, 999]).collect()}
+    assert got == {6: [0], 9: [*plain(BYTES, prose(9, 20_000)), 0]}
+
+
+def test_pieces_are_gapless_and_whole(docs):
+    packed = packing.pack(docs, WORDS, "words", 1)
+    rows = packing.pieces(packed).collect()
+    by_sequence, by_document = {}, {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+        by_document.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+    for name, parts in by_sequence.items():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at == 2048 or name == max(by_sequence)
+    whole = np.array([*plain(WORDS, prose(9, 20_000)), 1], "<u4")
+    parts = sorted(by_document[9, len(whole)], key=lambda r: r.start)
+    assert [r.ids_crc32 for r in parts] == [zlib.crc32(whole[r.start : r.start + r.length].tobytes()) for r in parts]
+    assert sum(r.length for r in rows) == sum(len(plain(WORDS, t)) + 1 for (t,) in docs.select("text").collect())
+    made = packing.sequences(packed, pad_id=0).orderBy("sequence_id").collect()
+    assert [len(r.ids) for r in made[:-1]] == [8192] * (len(made) - 1)
+    assert len(made[-1].ids) in (8192, 4 * made[-1].n_ids)
+
+
+def test_hilbert_neighbours_are_near():
+    """Every cell of a small cube is met once, and consecutive cells touch."""
+    for dims, levels in ((2, 4), (3, 3), (4, 2)):
+        side = 1 << levels
+        cells = np.stack([g.ravel() for g in np.meshgrid(*[np.arange(side)] * dims, indexing="ij")], axis=1)
+        keys = packing.hilbert_key((cells + 0.5) / side, levels)
+        assert sorted(keys) == list(range(side**dims))
+        assert (np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_like_documents_are_near_on_the_curve():
+    draw = random.Random(1)
+    kinds = [[draw.randrange(50_000) for _ in range(60)] for _ in range(2)]
+    ids = [np.array([draw.choice(kinds[k % 2]) for _ in range(300)]) for k in range(40)]
+    order = np.argsort(packing.hilbert_key(packing.project(ids, packing.directions())))
+    assert (np.diff(order % 2) != 0).sum() <= 6
+
+
+def test_empty_tables(no_docs):
+    assert token_blocks.token_digests(token_blocks.write_tokens(no_docs, BYTES, "bytes", 0)).count() == 0
+    packed = packing.pack(no_docs, WORDS, "words", 1)
+    assert packing.pieces(packed).count() == 0
+    assert packing.sequences(packed, 0).count() == 0

@@ -159,6 +159,10 @@ FROM sessions_bronze GROUP BY ALL HAVING count(*) > 1""",
 SELECT count(*) AS total_rows, count(DISTINCT customer_id) + max(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS distinct_keys
 FROM customers_bronze""",
     "range_violations": _union([f"SELECT '{n}' AS rule, count(*) FILTER ({r}) AS row_count FROM products_bronze" for n, r in _RANGES.items()]),
+    "range_violation_rows": "SELECT product_id, concat_ws(',', "
+    + ", ".join(f"CASE WHEN {r} THEN '{n}' END" for n, r in _RANGES.items())
+    + ") AS broken_rules FROM products_bronze WHERE "
+    + " OR ".join(f"coalesce({r}, FALSE)" for r in _RANGES.values()),
     "retained_in_range": """
 SELECT 'age' AS rule, count(*) AS row_count FROM customers_bronze WHERE age IS NULL OR (age >= 10 AND age <= 100)
 UNION ALL SELECT 'customer_loyalty_score', count(*) FROM customers_bronze
@@ -226,6 +230,9 @@ WHERE o.product_id IS NULL OR n.product_id IS NULL OR o.unit_price_usd IS DISTIN
     ),
     "expect_drop": f"SELECT {as_doubles(*_RAW_ITEM_DOUBLES)} FROM order_items_bronze WHERE " + " AND ".join(f"({r})" for r in _EXPECTATIONS.values()),
     "expect_fail": f"SELECT {as_doubles(*_RAW_ITEM_DOUBLES)} FROM order_items_bronze",
+    "expect_fail_caught": _union(
+        [f"SELECT '{n}' AS expectation, f AS failed_rows FROM (SELECT count(*) FILTER (NOT coalesce({r}, FALSE)) AS f FROM order_items_bronze) WHERE f > 0" for n, r in _EXPECTATIONS.items()]
+    ),
     "expect_enforced": f"SELECT {as_doubles(*_RAW_ITEM_DOUBLES)} FROM order_items_bronze",
 }
 
@@ -248,6 +255,13 @@ FROM sessions_bronze""",
 SELECT * EXCLUDE (load_seq), CASE WHEN load_seq = 0 THEN 'full_load' ELSE 'incremental' END AS load_type FROM risk_support_bronze""",
         # Empty text does not survive a CSV file: it reads back as NULL.
         "scd1_stream": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
+        "scd1_stream_one_batch": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
+        "scd1_stream_late_backfill": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
+        "scd2_stream": f"SELECT product_id, unit_price_usd, __end_date IS NULL AS is_current FROM ({_PRODUCT_VERSIONS})",
+        "bronze_rescued": """
+SELECT order_id, product_id, CASE WHEN CAST(product_id AS BIGINT) % 4 >= 2 THEN rating END AS rating,
+  CASE CAST(product_id AS BIGINT) % 4 WHEN 0 THEN '{"rating":"' || rating || '.5"}' WHEN 1 THEN '{"rating":"five"}' END AS rescued
+FROM reviews_bronze""",
         "compacted_orders": "SELECT * FROM orders_bronze",
         "bronze_stream_700_files": "SELECT *, 'incremental' AS load_type FROM orders_bronze",
         "stored_daily_sales": _BODIES["agg_daily_sales"],

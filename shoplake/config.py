@@ -113,11 +113,16 @@ CONTRACTS: dict[str, dict[str, str]] = {
     },
 }
 
-# Written by every load path, full or incremental.
+# Written by every load path, full or incremental. When and where a row was written orders changes of one key; what could not be
+# kept in the contract's types is rescued as JSON text.
 METADATA: dict[str, str] = {
     "_ingestion_timestamp": "timestamp",
     "_source_file": "string",
     "_load_type": "string",
+    "_changed_at": "timestamp",
+    "_source_block": "bigint",
+    "_source_row": "bigint",
+    "_rescued": "string",
 }
 
 # The business key of each entity.

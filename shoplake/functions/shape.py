@@ -12,14 +12,23 @@ def quoted(name: str) -> str:
 
 
 def typed(name: str, source: str, target: str) -> str:
-    """SQL text of a cast that turns malformed values into NULL. Whole numbers may be written as ``12.0``."""
+    """SQL text of a cast that turns malformed values into NULL. Whole numbers may be written as ``12.0``; a fraction in a
+    column of whole numbers is malformed, never cut off."""
     if source == target:
         return quoted(name)
-    if source == "string" and target == "int":
-        return f"try_cast(try_cast({quoted(name)} AS double) AS int)"
+    if target == "int" and source != "bigint":
+        number = f"try_cast({quoted(name)} AS double)"
+        return f"IF({number} = floor({number}), try_cast({number} AS int), NULL)"
     return f"try_cast({quoted(name)} AS {target})"
 
 
+def lossy(name: str, target: str) -> str:
+    """SQL text of whether ``typed`` changes or drops what a text column holds."""
+    made = typed(name, "string", target)
+    changed = f"coalesce(try_cast({quoted(name)} AS decimal(38,12)) <> CAST({made} AS decimal(38,12)), FALSE)" if target.startswith(("int", "decimal")) else "FALSE"
+    return f"trim({quoted(name)}) <> '' AND ({made} IS NULL OR {changed})"
+
+
 def conform(df: DataFrame, entity: str, metadata: bool = True) -> DataFrame:
     """Select an entity's contract columns by name, cast to their types; absent ones become typed NULLs."""
     wanted = {**CONTRACTS[entity], **(METADATA if metadata else {})}

@@ -3,17 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INGESTED = "_ingestion_timestamp"
+CHANGED = "_changed_at"
+PLACE = ("_source_file", "_source_block", "_source_row")
+
+
+def change_time(columns: Sequence[str], ts: str = INGESTED) -> Column:
+    """When a row's source was written, or loaded where that is not known."""
+    return F.coalesce(CHANGED, ts) if ts == INGESTED and CHANGED in columns else F.col(ts)
+
+
+def change_order(columns: Sequence[str], ts: str = INGESTED) -> list[Column]:
+    """What tells later changes from earlier ones: change time, load time, place in the source, then every other column.
+
+    Source files of one instant are ordered by name, shorter ones first, so that a counter in the name need not be padded.
+    """
+    lead = [change_time(columns, ts)] + [F.col(c) for c in (ts, INGESTED) if c in columns]
+    for name in (c for c in PLACE if c in columns):
+        lead += [F.length(name)] * (name == "_source_file") + [F.col(name)]
+    return lead + [F.col(c) for c in columns if c not in {ts, INGESTED, *PLACE}]
 
 
 def newest_first(columns: Sequence[str], ts: str = INGESTED) -> list[Column]:
-    """Load time, then source file, then every other column, all descending with NULLs last."""
-    lead = [c for c in (ts, "_source_file") if c in columns]
-    return [F.col(c).desc_nulls_last() for c in lead + [c for c in columns if c not in lead]]
+    """``change_order``, all descending with NULLs last."""
+    return [c.desc_nulls_last() for c in change_order(columns, ts)]
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], ts: str = INGESTED) -> DataFrame:
@@ -23,6 +41,12 @@ def keep_latest(df: DataFrame, keys: Sequence[str], ts: str = INGESTED) -> DataF
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def keep_latest_known(df: DataFrame, keys: Sequence[str], ts: str = INGESTED) -> DataFrame:
+    """The newest row of each complete key. Rows without one cannot be matched and are all kept."""
+    complete = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+    return keep_latest(df.filter(complete), keys, ts).unionByName(df.filter(~complete))
+
+
 def newest(*columns: str, ts: str = INGESTED) -> Column:
     """Aggregate: the named columns, as a struct, of the group's newest row (a missing load time is oldest)."""
     return F.max(F.struct(ts, *columns))

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.operators.dedup import INGESTED, keep_latest
+from shoplake.config import METADATA
+from shoplake.operators.dedup import CHANGED, INGESTED, change_order, change_time, keep_latest_known, newest_first
 from shoplake.operators.skew import cut_points, heavy_keys, is_any, key_code, time_range
 
 START, END = "__start_date", "__end_date"
@@ -16,8 +17,8 @@ PIECES = 64
 
 
 def scd1(base: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str = INGESTED) -> DataFrame:
-    """Upsert: after both inputs are put together the newest row of each key wins."""
-    return keep_latest(base.unionByName(changes, allowMissingColumns=True), keys, ts)
+    """Upsert: after both inputs are put together the newest row of each key wins. Rows without a complete key all stay."""
+    return keep_latest_known(base.unionByName(changes, allowMissingColumns=True), keys, ts)
 
 
 def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
@@ -53,14 +54,17 @@ def _from_neighbour(
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None = None, ts: str = INGESTED) -> DataFrame:
-    """Version history of each key, from its full change log.
+    """Version history of each key, from its full change log. A change counts from when its source was written, or loaded where
+    that is not known, so how many files one batch takes in makes no difference.
 
     Of several changes at one instant the last counts (the others would be versions of zero length), and a change that
     leaves every tracked column as it was adds no version. A version starts at its own time and ends where the
     next one starts; NULL means it is current. Late changes are placed by their own time, so feeding the whole
     log again (or the log of the touched keys) splits the interval they fall into.
     """
-    tracked = list(tracked or [c for c in changes.columns if c not in {*keys, ts, "_source_file", "_load_type"}])
+    tracked = list(tracked or [c for c in changes.columns if c not in {*keys, ts, *METADATA}])
+    if ts == INGESTED and CHANGED in changes.columns:
+        changes, ts = changes.withColumn(CHANGED, change_time(changes.columns)), CHANGED
     usual, heavy = _split(changes, keys)
     result = _versions(usual, keys, tracked, ts)
     if heavy is not None:
@@ -74,8 +78,8 @@ def _as_version(df: DataFrame, ts: str, end: Column) -> DataFrame:
 
 def _versions(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
     # All three windows share one shuffle and one sort.
-    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in {*keys, ts}]
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_first(), *rest)
+    order = change_order([c for c in df.columns if c not in keys], ts)
+    w = Window.partitionBy(*keys).orderBy(*(c.asc_nulls_first() for c in order))
     state = F.struct(*tracked)
     last_of_instant = F.lead(F.lit(True)).over(w).isNull() | ~F.lead(ts).over(w).eqNullSafe(F.col(ts))
     kept = df.withColumn("_last", last_of_instant).filter("_last").drop("_last")
@@ -103,10 +107,9 @@ def _versions_in_ranges(df: DataFrame, keys: Sequence[str], tracked: Sequence[st
 
 def _last_of_instant(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     names = [*keys, ts]
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in names]
-    if not rest:
+    if not set(df.columns) - set(names):
         return df.distinct()
-    rank = F.row_number().over(Window.partitionBy(*names).orderBy(*rest))
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(*newest_first([c for c in df.columns if c not in keys], ts)))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 

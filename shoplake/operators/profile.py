@@ -81,6 +81,13 @@ def rule_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return _tall(df, {name: F.count_if(rule) for name, rule in rules.items()}, "rule", "row_count")
 
 
+def rule_rows(df: DataFrame, rules: Mapping[str, Column | str]) -> DataFrame:
+    """The rows that meet any of the rules, with the names of those they meet, in order, as ``broken_rules``."""
+    met = {name: F.coalesce(F.expr(rule) if isinstance(rule, str) else rule, F.lit(False)) for name, rule in rules.items()}
+    names = F.concat_ws(",", *(F.when(rule, F.lit(name)) for name, rule in met.items()))
+    return df.withColumn("broken_rules", names).filter(F.col("broken_rules") != "")
+
+
 def column_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of each column, as one row per column."""
     types = dict(df.dtypes)

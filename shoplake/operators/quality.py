@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 
 class ExpectationError(ValueError):
-    """Rows break a rule that must hold."""
+    """Rows break a rule that must hold. ``failed_rows`` has their number per rule."""
+
+    def __init__(self, failed_rows: Mapping[str, int]):
+        super().__init__("; ".join(f"{rule}: {n} rows" for rule, n in failed_rows.items()))
+        self.failed_rows = dict(failed_rows)
 
 
 def _holds(rule: Column | str) -> Column:
@@ -48,9 +52,9 @@ def expect_or_drop(df: DataFrame, rules: Mapping[str, Column | str]) -> tuple[Da
 
 def expect_or_fail(df: DataFrame, rules: Mapping[str, Column | str]) -> DataFrame:
     """Fail: counts first, and raises before any row is handed on."""
-    broken = [r for r in violations(df, rules).collect() if r["failed_rows"]]
+    broken = {r["expectation"]: r["failed_rows"] for r in violations(df, rules).collect() if r["failed_rows"]}
     if broken:
-        raise ExpectationError("; ".join(f"{r['expectation']}: {r['failed_rows']} rows" for r in broken))
+        raise ExpectationError(broken)
     return df
 
 

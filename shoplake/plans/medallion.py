@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from shoplake.config import ENTITIES, HISTORY, KEYS, LOAD_PATTERN, UPSERT
 from shoplake.functions.shape import conform
-from shoplake.operators.dedup import keep_latest
+from shoplake.operators.dedup import keep_latest_known
 from shoplake.operators.history import scd2
 from shoplake.plans import aggregates, dimensions, facts, silver
 
@@ -74,8 +74,7 @@ def upserted(entity: str, bronze: DataFrame) -> DataFrame:
     keys = KEYS[entity]
     if LOAD_PATTERN[entity] != UPSERT or not set(keys) <= set(bronze.columns):
         return bronze
-    complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-    return keep_latest(bronze.filter(complete), keys).unionByName(bronze.filter(f"NOT ({complete})"))
+    return keep_latest_known(bronze, keys)
 
 
 def build(

@@ -31,12 +31,14 @@ _local: dict[str, str] = {}
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    Executors on any machine must reach it, so the location is whatever ``spark.checkpoint.dir`` names. A local
-    temporary folder is made only where nothing is configured, as in a single-machine test.
+    Executors on any machine must reach it, so the location is whatever ``spark.checkpoint.dir`` names. Only a local master, whose
+    tasks share the driver's disk, may leave it unset and gets a temporary folder; elsewhere that is an error.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = _local.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="shoplake-")
         _local[context.applicationId] = root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -11,10 +11,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from shoplake.config import CONTRACTS, METADATA
-from shoplake.functions.shape import quoted, typed
+from shoplake.functions.shape import lossy, quoted, typed
 
 FULL_LOAD, INCREMENTAL = "full_load", "incremental"
 
+# A line with more or fewer fields than its header is kept whole here while it is read.
+MALFORMED = "_malformed_line"
+
 # Up to this many files have their headers looked up one by one.
 FEW_FILES = 16
 
@@ -44,23 +47,43 @@ def header(spark: SparkSession, file: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", "true").csv(file).columns)
 
 
-def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.1) -> StructType:
-    """Column types guessed from a share of the rows, to be fixed as the schema of later reads."""
+def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
+    """Column types inferred from all rows, to be fixed as the schema of later reads. A smaller share is quicker and may miss values."""
     return spark.read.options(header="true", inferSchema="true", samplingRatio=str(sampling_ratio)).csv(path).schema
 
 
 def _read_group(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
     # enforceSchema=false makes every task compare its file's header with these names, so a mismatch
     # stops the job instead of shifting values into the wrong columns.
-    schema = StructType([StructField(n, StringType()) for n in names])
-    rows = spark.read.options(header="true", enforceSchema="false").schema(schema).csv(list(files))
-    return rows.select("*", F.col("_metadata.file_path").alias("_source_file"))
+    schema = StructType([StructField(n, StringType()) for n in [*names, MALFORMED]])
+    options = {"header": "true", "enforceSchema": "false", "columnNameOfCorruptRecord": MALFORMED}
+    rows = spark.read.options(**options).schema(schema).csv(list(files))
+    # Tasks read a block from its start, so block and row put the rows of a file in order.
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_modification_time").alias("_changed_at"),
+        F.col("_metadata.file_block_start").alias("_source_block"),
+        row.alias("_source_row"),
+    )
 
 
 def _extra(names: Sequence[str], types: Mapping[str, str]) -> list[str]:
     """Columns outside the contract. Names differing only in case are the same column, as elsewhere in Spark."""
-    taken = {*types, *METADATA}
-    return [n for n in names if n.lower() not in taken]
+    taken, extra = {*types, *METADATA, MALFORMED}, []
+    for name in names:
+        if name.lower() not in taken:
+            taken.add(name.lower())
+            extra.append(name)
+    return extra
+
+
+def _rescued(types: Mapping[str, str], have: set[str]) -> str:
+    """SQL text: what the types or the header have no place for, as JSON of column names and texts; NULL if nothing."""
+    found = [f"'{n}', IF({lossy(n, t)}, {quoted(n)}, NULL)" for n, t in types.items() if n in have and t != "string"]
+    found.append(f"'{MALFORMED}', {quoted(MALFORMED)}")
+    return f"nullif(to_json(map_filter(map({', '.join(found)}), (k, v) -> v IS NOT NULL)), '{{}}')"
 
 
 def _shape(rows: DataFrame, types: Mapping[str, str], load_type: str) -> DataFrame:
@@ -69,6 +92,7 @@ def _shape(rows: DataFrame, types: Mapping[str, str], load_type: str) -> DataFra
     known = [f"{typed(n, 'string', t) if n in have else f'CAST(NULL AS {t})'} AS {quoted(n)}" for n, t in types.items()]
     extra = [quoted(n) for n in _extra(rows.columns, types)]
     load = ["current_timestamp() AS _ingestion_timestamp", "_source_file", f"'{load_type}' AS _load_type"]
+    load += ["_changed_at", "_source_block", "_source_row", f"{_rescued(types, have)} AS _rescued"]
     return rows.selectExpr(*known, *extra, *load)
 
 

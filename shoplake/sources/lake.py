@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from shoplake.config import contract_ddl, full_load_path
+from shoplake.functions.shape import quoted
 from shoplake.operators.quality import observe
 from shoplake.operators.skew import heavy_keys
 from shoplake.plans.medallion import BUCKETED, TABLES, make, upserted
@@ -53,10 +54,17 @@ class Lake:
         if not self.has(path):
             return []
         noted = self.spark.read.schema("column_name string").option("recursiveFileLookup", "true").parquet(path)
-        return sorted(r["column_name"] for r in noted.distinct().collect())
+        # Names that differ in case only are one column, as elsewhere in Spark.
+        first = noted.groupBy(F.lower("column_name").alias("n")).agg(F.min("column_name").alias("column_name"))
+        return sorted(r["column_name"] for r in first.collect())
 
     def bronze_schema(self, entity: str) -> str:
-        return ", ".join([contract_ddl(entity), *(f"`{c}` string" for c in self.extra_columns(entity))])
+        return ", ".join([contract_ddl(entity), *(f"{quoted(c)} string" for c in self.extra_columns(entity))])
+
+    def rescued(self, entity: str) -> DataFrame:
+        """Per load and source file, the rows that held something their types or header had no place for."""
+        found = self.bronze(entity).filter("_rescued IS NOT NULL")
+        return found.groupBy("_load_type", "_source_file").agg(F.count(F.lit(1)).alias("rescued_rows"))
 
     def backfill(self, entity: str, base: str) -> bool:
         """Load the entity's full CSV file (or folder) once; later calls do nothing.

@@ -8,6 +8,7 @@ first attempt. A flow that reads another's output is started only after that one
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplake.config import INCREMENTAL, KEYS, staging_path
-from shoplake.operators.dedup import keep_latest
+from shoplake.operators.dedup import keep_latest_known
 from shoplake.sources import csv
 from shoplake.sources.lake import Lake
 
@@ -104,46 +105,54 @@ def upsert(lake: Lake, entity: str) -> None:
 
     def batch(rows: DataFrame, number: int) -> None:
         target = lake.path("current", entity, "changes", f"batch_id={number}")
-        keep_latest(rows, KEYS[entity]).write.mode("overwrite").parquet(target)
+        keep_latest_known(rows, KEYS[entity]).write.mode("overwrite").parquet(target)
 
     query = _start(_stream_folder(lake, entity, source), lake.path("checkpoints", entity, "upsert"), batch, f"{entity}_upsert")
     _finish([query])
 
 
-def _snapshot(lake: Lake, entity: str) -> tuple[int, int]:
-    """Number of the newest complete snapshot and the last batch it contains; -1 where there is none."""
+def _snapshot(lake: Lake, entity: str) -> tuple[int, int, bool]:
+    """Number of the newest complete snapshot, the last batch in it (-1 where there is none), and whether it has the backfill."""
     marks = lake.path("current", entity, "done")
     if not lake.has(marks):
-        return -1, -1
-    found = lake.spark.read.schema("version int, last_batch int").option("recursiveFileLookup", "true").parquet(marks)
+        return -1, -1, False
+    found = lake.spark.read.schema("version int, last_batch int, backfilled boolean").option("recursiveFileLookup", "true").parquet(marks)
     newest = found.orderBy(F.col("version").desc()).first()
-    return newest["version"], newest["last_batch"]
+    return newest["version"], newest["last_batch"], bool(newest["backfilled"])
+
+
+def _backfilled(lake: Lake, entity: str) -> bool:
+    """Whether a complete backfill is there; its mark is written last."""
+    return lake.has(lake.path("bronze", entity, "full_loaded"))
 
 
 def _merged(lake: Lake, entity: str) -> DataFrame:
-    version, last_batch = _snapshot(lake, entity)
+    version, last_batch, with_full = _snapshot(lake, entity)
     schema = lake.bronze_schema(entity)
-    base = lake.path("bronze", entity, "full") if version < 0 else lake.path("current", entity, "base", f"version={version}")
     changes = lake.path("current", entity, "changes")
     parts = []
-    if lake.has(base):
-        parts.append(lake.spark.read.schema(schema).parquet(base))
+    if version >= 0:
+        parts.append(lake.spark.read.schema(schema).parquet(lake.path("current", entity, "base", f"version={version}")))
+    # A backfill may arrive after a snapshot was taken.
+    if not with_full and _backfilled(lake, entity):
+        parts.append(lake.spark.read.schema(schema).parquet(lake.path("bronze", entity, "full")))
     if lake.has(changes):
         later = lake.spark.read.schema(f"{schema}, batch_id int").parquet(changes).filter(F.col("batch_id") > last_batch)
         parts.append(later.drop("batch_id"))
     if not parts:
         return lake.spark.createDataFrame([], schema)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
 
 
 def current(lake: Lake, entity: str) -> DataFrame:
-    """One row per key: the newest of the last snapshot and the changes since."""
-    return keep_latest(_merged(lake, entity), KEYS[entity])
+    """One row per key: the newest of the last snapshot and what came since. Rows without a complete key all stay."""
+    return keep_latest_known(_merged(lake, entity), KEYS[entity])
 
 
 def compact_current(lake: Lake, entity: str) -> None:
     """Fold the changes into a new snapshot. Readers move on once its mark, written last, is there."""
-    version, last_batch = _snapshot(lake, entity)
+    version, last_batch, _ = _snapshot(lake, entity)
+    backfilled = _backfilled(lake, entity)
     changes = lake.path("current", entity, "changes")
     if lake.has(changes):
         # The batch number is a folder name, so this reads no data.
@@ -151,5 +160,5 @@ def compact_current(lake: Lake, entity: str) -> None:
         last_batch = last_batch if newest is None else max(newest, last_batch)
     version += 1
     current(lake, entity).write.mode("overwrite").parquet(lake.path("current", entity, "base", f"version={version}"))
-    mark = lake.spark.createDataFrame([(version, last_batch)], "version int, last_batch int").coalesce(1)
+    mark = lake.spark.createDataFrame([(version, last_batch, backfilled)], "version int, last_batch int, backfilled boolean").coalesce(1)
     mark.write.mode("overwrite").parquet(lake.path("current", entity, "done", f"version={version}"))

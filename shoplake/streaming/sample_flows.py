@@ -8,8 +8,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.config import ENTITIES, full_load_path, staging_path
+from shoplake.config import ENTITIES, KEYS, full_load_path, staging_path
 from shoplake.functions.shape import publish
+from shoplake.operators.history import END, scd2
 from shoplake.session import scratch_dir
 from shoplake.sources.lake import Lake, compact
 from shoplake.sources.sample_views import raw_entity, reader
@@ -118,6 +119,51 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(current(t.lake, "payments"))
 
 
+def versions_in_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products: both versions arrive as files of one batch, the second written later; their history keeps both."""
+    t = Trial(spark, sf_dir)
+    products = t.raw("products")
+    for version in (0, 1):
+        t.send("products", products.filter(F.col("load_seq") == version).drop("load_seq"))
+    ingest(t.lake, t.landing, ["products"])
+    history = scd2(t.lake.bronze("products"), KEYS["products"])
+    return publish(history).select("product_id", "unit_price_usd", F.col(END).isNull().alias("is_current"))
+
+
+def corrections_in_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments: records and their corrections arrive as files of one batch."""
+    t = Trial(spark, sf_dir)
+    payments = t.raw("payments")
+    for version in (0, 1):
+        t.send("payments", payments.filter(F.col("load_seq") == version).drop("load_seq"))
+    ingest(t.lake, t.landing, ["payments"])
+    upsert(t.lake, "payments")
+    return publish(current(t.lake, "payments"))
+
+
+def late_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments: corrections are streamed and folded into a snapshot before the older backfill is loaded."""
+    t = Trial(spark, sf_dir)
+    payments = t.raw("payments")
+    t.send_full("payments", payments.filter("load_seq = 0").drop("load_seq"))
+    t.send("payments", payments.filter("load_seq = 1").drop("load_seq"))
+    ingest(t.lake, t.landing, ["payments"])
+    upsert(t.lake, "payments")
+    compact_current(t.lake, "payments")
+    t.lake.backfill("payments", t.full)
+    return publish(current(t.lake, "payments"))
+
+
+def rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews, some with a rating that is no whole number: the column is NULL and the text is kept."""
+    t = Trial(spark, sf_dir)
+    turn, rating = F.col("product_id").cast("long") % 4, F.col("rating").cast("string")
+    odd = F.when(turn == 0, F.concat(rating, F.lit(".5"))).when(turn == 1, F.lit("five")).otherwise(rating)
+    t.send("reviews", t.raw("reviews").withColumn("rating", odd))
+    ingest(t.lake, t.landing, ["reviews"])
+    return t.lake.bronze("reviews").select("order_id", "product_id", "rating", F.col("_rescued").alias("rescued"))
+
+
 def compacted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "compact")
     raw_entity(reader(spark, sf_dir), "orders").repartition(32).write.parquet(f"{base}/small")
@@ -168,7 +214,11 @@ QUERIES = {
     "bronze_stream_700_files": many_files,
     "bronze_schema_evolution": schema_evolution,
     "bronze_fan_in": fan_in,
+    "bronze_rescued": rescued,
     "scd1_stream": upsert_stream,
+    "scd1_stream_one_batch": corrections_in_one_batch,
+    "scd1_stream_late_backfill": late_backfill,
+    "scd2_stream": versions_in_one_batch,
     "compacted_orders": compacted_orders,
     "stored_daily_sales": stored_daily_sales,
     "stored_lake": stored_lake,

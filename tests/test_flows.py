@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shoplake.config import ENTITIES, INCREMENTAL, KEYS, staging_path
+from shoplake.config import ENTITIES, INCREMENTAL, KEYS, METADATA, full_load_path, staging_path
 from shoplake.sources import csv
 from shoplake.sources.lake import Lake, compact
 from shoplake.streaming import flows
@@ -121,7 +121,7 @@ def test_nothing_arrived(spark, lake, landing):
     flows.upsert(lake, "orders")
     assert lake.bronze("orders").count() == 0
     assert flows.current(lake, "orders").count() == 0
-    assert lake.bronze("orders").columns[-3:] == ["_ingestion_timestamp", "_source_file", "_load_type"]
+    assert lake.bronze("orders").columns[-len(METADATA) :] == list(METADATA)
 
 
 def test_header_only_and_empty_files(spark, lake, landing):

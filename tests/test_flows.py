@@ -1,6 +1,7 @@
 """Landing, streaming, replay and storage."""
 
 import datetime as dt
+import json
 import os
 import shutil
 
@@ -9,6 +10,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shoplake.config import ENTITIES, INCREMENTAL, KEYS, METADATA, full_load_path, staging_path
+from shoplake.operators.dedup import keep_latest
+from shoplake.operators.history import END, START, scd2
+from shoplake.plans import silver
+from shoplake.plans.facts import fact_reviews
+from shoplake.plans.medallion import upserted
 from shoplake.sources import csv
 from shoplake.sources.lake import Lake, compact
 from shoplake.streaming import flows
@@ -292,7 +298,83 @@ def test_scratch_folder_without_a_configured_one():
 
     from shoplake.session import scratch_dir
 
-    context = SimpleNamespace(getCheckpointDir=lambda: None, applicationId="app")
+    context = SimpleNamespace(getCheckpointDir=lambda: None, applicationId="app", master="local[2]")
     bare = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
     one, two = scratch_dir(bare, "x"), scratch_dir(bare, "x")
     assert one != two and os.path.dirname(one) == os.path.dirname(two)
+    context.master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(bare, "x")
+
+
+def write_at(folder, name, text, seconds):
+    put(folder, name, text)
+    os.utime(os.path.join(folder, name), (1_700_000_000 + seconds,) * 2)
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+def test_versions_do_not_depend_on_batches(spark, tmp_path, landing, files_per_batch):
+    """Three versions of one product in files whose names do not sort in the order they were written."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    folder = staging_path(landing, "products")
+    for k, name in enumerate(["p_9.csv", "p_10.csv", "a.csv"]):
+        write_at(folder, name, f"product_id,unit_price_usd\nP,{30 - k}\n", k)
+    flows.ingest(lake, landing, ["products"], files_per_batch=files_per_batch)
+    bronze = lake.bronze("products")
+    versions = scd2(bronze, KEYS["products"]).orderBy(START).collect()
+    assert [float(v.unit_price_usd) for v in versions] == [30, 29, 28]
+    assert [v[END] is None for v in versions] == [False, False, True]
+    assert float(keep_latest(bronze, ["product_id"]).first().unit_price_usd) == 28
+
+
+def test_files_of_one_instant_are_ordered_by_counter(spark, lake, landing):
+    folder = staging_path(landing, "products")
+    for name, price in (("p_10.csv", 10), ("p_9.csv", 9)):
+        write_at(folder, name, f"product_id,unit_price_usd\nP,{price}\nP,{price}.5\n", 0)
+    flows.ingest(lake, landing, ["products"])
+    assert float(keep_latest(lake.bronze("products"), ["product_id"]).first().unit_price_usd) == 10.5
+
+
+def test_what_does_not_fit_is_rescued(spark, lake, landing):
+    folder = staging_path(landing, "order_items")
+    put(folder, "a.csv", "order_id,quantity,total_price_usd,cost_usd\nO1,2.7,$12.00,1.123456\nO2,3.0,7,1.5\nO3,1,1,1,EXTRA\n")
+    flows.ingest(lake, landing, ["order_items"])
+    found = {r.order_id: r for r in lake.bronze("order_items").collect()}
+    assert found["O1"].quantity is None and found["O1"].total_price_usd is None
+    assert json.loads(found["O1"]._rescued) == {"quantity": "2.7", "total_price_usd": "$12.00", "cost_usd": "1.123456"}
+    assert found["O2"].quantity == 3 and found["O2"]._rescued is None
+    assert "EXTRA" in found["O3"]._rescued and found["O3"].quantity == 1
+    assert [r.rescued_rows for r in lake.rescued("order_items").collect()] == [2]
+
+
+def test_extra_columns_in_another_case(spark, lake, landing):
+    folder = staging_path(landing, "orders")
+    put(folder, "a.csv", "order_id,Note\nO1,x\n")
+    flows.ingest(lake, landing, ["orders"])
+    put(folder, "b.csv", "order_id,note,odd`name\nO2,y,z\n")
+    flows.ingest(lake, landing, ["orders"])
+    bronze = lake.bronze("orders")
+    assert {(r.order_id, r.Note) for r in bronze.collect()} == {("O1", "x"), ("O2", "y")}
+    assert "odd`name" in bronze.columns
+
+
+def test_late_backfill_and_rows_without_a_key_stay(spark, lake, tmp_path, landing):
+    full = str(tmp_path / "full")
+    os.makedirs(full)
+    put(full, "orders.csv", "order_id,city\nO1,old\nO2,old\n,no key\n")
+    put(staging_path(landing, "orders"), "a.csv", "order_id,city\nO1,new\n,no key\n,other\n")
+    flows.ingest(lake, landing, ["orders"])
+    flows.upsert(lake, "orders")
+    flows.compact_current(lake, "orders")
+    lake.backfill("orders", full)
+    expected = [("", "no key"), ("", "no key"), ("", "other"), ("O1", "new"), ("O2", "old")]
+    for _ in range(2):
+        assert sorted((r.order_id or "", r.city) for r in flows.current(lake, "orders").collect()) == expected
+        assert rows(flows.current(lake, "orders")) == rows(upserted("orders", lake.bronze("orders")))
+        flows.compact_current(lake, "orders")
+
+
+def test_a_rating_between_bands_is_not_rated(spark):
+    bronze = spark.createDataFrame([("R1", "4.5"), ("R2", "4")], "order_id string, rating string")
+    found = {r.order_id: r.rating_category for r in fact_reviews(silver.reviews(bronze), dt.date(2024, 1, 1)).collect()}
+    assert found["R1"] == "not_rated" and found["R2"] != "not_rated"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,9 +16,12 @@ from shoplake.config import contract_ddl, full_load_path
 from shoplake.functions.shape import quoted
 from shoplake.operators.quality import observe
 from shoplake.operators.skew import heavy_keys
-from shoplake.plans.medallion import BUCKETED, TABLES, make, upserted
+from shoplake.plans.medallion import BUCKETED, TABLES, Table, make, upserted
 from shoplake.sources import csv
 
+#: Tables that are written at the same time.
+SIDE_BY_SIDE = 4
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -96,21 +100,46 @@ class Lake:
     def _is_bucketed(self, name: str) -> bool:
         return bool(self.database) and self.spark.catalog.tableExists(f"{self.database}.{name}")
 
+    def version(self, name: str) -> int:
+        """Number of a table's newest complete version; -1 where there is none."""
+        marks = self.path("tables", name, "done")
+        if not self.has(marks):
+            return -1
+        found = self.spark.read.schema("version int").option("recursiveFileLookup", "true").parquet(marks)
+        newest = found.agg(F.max("version")).first()[0]
+        return -1 if newest is None else newest
+
     def table(self, name: str) -> DataFrame:
         if self._is_bucketed(name):
             return self.spark.table(f"{self.database}.{name}")
-        return self.spark.read.parquet(self.path("tables", name))
+        version = self.version(name)
+        if version < 0:
+            raise ValueError(f"table {name} is not stored yet")
+        return self.spark.read.parquet(self.path("tables", name, f"version={version}"))
 
     def _store(self, name: str, made: DataFrame, buckets: int) -> None:
-        path = self.path("tables", name)
-        if self.database and name in BUCKETED:
-            # External table: only the catalog entry goes.
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")
-            if buckets and not heavy_keys(made, "order_id")[0]:
-                laid_out = made.repartition(buckets, "order_id").write.mode("overwrite").bucketBy(buckets, "order_id")
-                laid_out.sortBy("order_id").option("path", path).saveAsTable(f"{self.database}.{name}", format="parquet")
-                return
-        made.write.mode("overwrite").parquet(path)
+        """Write a new version beside the old one. Readers move on once its mark, written last, is there.
+
+        A job that fails leaves the old version as it was. A bucketed version is a table of its own in the catalog, and the
+        table's name a view of the newest.
+        """
+        version = self.version(name) + 1
+        path = self.path("tables", name, f"version={version}")
+        bucketed = bool(self.database and name in BUCKETED and buckets and not heavy_keys(made, "order_id")[0])
+        if bucketed:
+            entry = f"{self.database}.{name}__{version}"
+            # An external table: only what a failed attempt left in the catalog goes.
+            self.spark.sql(f"DROP TABLE IF EXISTS {entry}")
+            laid_out = made.repartition(buckets, "order_id").write.mode("overwrite").bucketBy(buckets, "order_id")
+            laid_out.sortBy("order_id").option("path", path).saveAsTable(entry, format="parquet")
+        else:
+            made.write.mode("overwrite").parquet(path)
+        mark = self.spark.createDataFrame([(version,)], "version int").coalesce(1)
+        mark.write.mode("overwrite").parquet(self.path("tables", name, "done", f"version={version}"))
+        if bucketed:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {entry}")
+        elif self.database and self._is_bucketed(name):
+            self.spark.sql(f"DROP VIEW {self.database}.{name}")
 
     def materialize(
         self,
@@ -120,7 +149,8 @@ class Lake:
         buckets: int = 0,
         expectations: Mapping[str, Mapping[str, str]] | None = None,
     ) -> dict[str, dict[str, int]]:
-        """Recompute and store tables, each from its stored inputs, so that no work is done twice.
+        """Recompute and store tables, each from its stored inputs, so that no work is done twice. Tables that do not need each
+        other are made side by side.
 
         ``expectations`` names rules per table. Rows that break one are counted while the table is written, without a pass of
         their own; the counts are returned per table, with the row count as ``_rows``.
@@ -130,9 +160,10 @@ class Lake:
         bucket would hold its rows.
         """
         wanted, counts = set(names), {}
-        for name, table in TABLES.items():
-            if name not in wanted:
-                continue
+
+        def run(name: str, table: Table, before: list[Future]) -> None:
+            for stored in before:
+                stored.result()
             inputs = []
             for source in table.inputs:
                 if source.endswith("_bronze"):
@@ -148,6 +179,15 @@ class Lake:
             self._store(name, made, buckets)
             if rules:
                 counts[name] = seen.get
+
+        # A table is handed in after its inputs, so what a worker waits for has always been begun.
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            jobs: dict[str, Future] = {}
+            for name, table in TABLES.items():
+                if name in wanted:
+                    jobs[name] = pool.submit(run, name, table, [jobs[i] for i in table.inputs if i in jobs])
+        for job in jobs.values():
+            job.result()
         return counts
 
 

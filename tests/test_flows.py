@@ -378,3 +378,18 @@ def test_a_rating_between_bands_is_not_rated(spark):
     bronze = spark.createDataFrame([("R1", "4.5"), ("R2", "4")], "order_id string, rating string")
     found = {r.order_id: r.rating_category for r in fact_reviews(silver.reviews(bronze), dt.date(2024, 1, 1)).collect()}
     assert found["R1"] == "not_rated" and found["R2"] != "not_rated"
+
+
+def test_a_failed_job_leaves_the_old_version(spark, lake, landing):
+    put(staging_path(landing, "products"), "a.csv", "product_id,brand\nP,old\n")
+    flows.ingest(lake, landing, ["products"])
+    lake.materialize(["products_silver"])
+    before = lake.table("products_silver").collect()
+    with pytest.raises(Exception, match="on purpose"):
+        lake._store("products_silver", lake.table("products_silver").withColumn("x", F.raise_error(F.lit("on purpose"))), 0)
+    assert lake.version("products_silver") == 0
+    assert lake.table("products_silver").collect() == before
+    lake.materialize(["products_silver"])
+    assert lake.version("products_silver") == 1
+    with pytest.raises(ValueError, match="not stored"):
+        lake.table("fact_orders")

@@ -171,6 +171,7 @@ def amount_audit(items: DataFrame, less_discount: bool = False) -> DataFrame:
     def off(stored: str, computed: str, tolerance: str) -> Column:
         return F.count_if(F.abs(F.col(stored) - F.col(computed)) > F.lit(tolerance).cast("decimal(4,2)"))
 
+    # Names of the audit's counts.
     return amount_checks(items, less_discount).agg(
         off("total_price_usd", "calc_total", "0.01").alias("total_price_mismatch"),
         off("profit_usd", "calc_profit", "0.01").alias("profit_mismatch"),

@@ -112,6 +112,7 @@ def payments(bronze: DataFrame) -> DataFrame:
 
 
 def reviews(bronze: DataFrame) -> DataFrame:
+    # Moods, statuses and devices that are kept as they are, here and below.
     sentiment = r.one_of(r.tidy(F.col("review_sentiment")), ("positive", "negative", "neutral"), "unknown")
     return _project(
         conform(bronze, "reviews"),

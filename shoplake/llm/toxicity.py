@@ -22,17 +22,19 @@ from shoplake.llm.decontaminate import lowered
 from shoplake.llm.langid import _LETTER, held_out
 
 #: Bounds of the labelled sample: documents of each label, and characters of a sampled document.
-EXAMPLES_EACH = 2500
+EXAMPLES_EACH = 2000
 SAMPLE_CHARS = 20_000
 
 BEGINNINGS = (4, 5)  # bytes of a word's beginning that are a term
 LEAST_EXAMPLES = 4  # examples a term must be in
 LEAST_CHI2 = 12.0
+LEAST_LIFT = 4.0  # how much more often toxic examples have a term: words that longer texts simply have more of stay out
 MOST_TERMS = 2000
 BLOCK = 32
 NEAREST = 15
 PRIOR = 2.0  # pseudo-votes at the base rate
 DECISION = 0.3
+SOME = 100  # texts of the sample that are taken apart at a time
 SLOTS = 20  # bits of the first look-up of terms
 
 
@@ -60,6 +62,11 @@ class Vocabulary:
         self.first = np.zeros(1 << SLOTS, bool)
         self.first[(self.hashes >> np.uint64(64 - SLOTS)).astype(np.int64)] = True
 
+    def vectors_of_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``vectors`` of many texts, some at a time, so that no more than the entries is held for all."""
+        parts = [(at, *self.vectors(texts[at : at + SOME])) for at in range(0, len(texts), SOME)]
+        return tuple(np.concatenate([p[0] + p[1] if k == 1 else p[k] for p in parts]) for k in (1, 2, 3))
+
     def vectors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Non-zero entries of the texts' unit TF-IDF vectors: text, term, weight; sorted by text and term."""
         of, hashes = term_hashes(texts)
@@ -76,19 +83,28 @@ class Vocabulary:
         return text, term, weight / norm[text]
 
 
+def _present(texts: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
+    """The terms that occur in each text, once: text number from ``first`` on, and hash."""
+    of, hashes = term_hashes(texts)
+    order = np.lexsort((hashes, of))
+    of, hashes = of[order], hashes[order]
+    new = np.concatenate([[True], (of[1:] != of[:-1]) | (hashes[1:] != hashes[:-1])])[: len(of)]
+    return (of[new] + first).astype(np.int32), hashes[new]
+
+
 def learn_vocabulary(texts: list[bytes], toxic: np.ndarray, rate: np.ndarray) -> Vocabulary:
     """Terms whose presence goes with a label by a chi-squared test over the examples; ``rate``: documents each stands for."""
-    of, hashes = term_hashes(texts)
+    pairs = [_present(texts[at : at + SOME], at) for at in range(0, len(texts), SOME)]
+    of, hashes = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
     terms, term = np.unique(hashes, return_inverse=True)
-    pairs = np.unique(of * len(terms) + term) if len(terms) else np.zeros(0, np.int64)
-    of, term = pairs // max(1, len(terms)), pairs % max(1, len(terms))
     bad = np.bincount(term, toxic[of], len(terms))
     all_of = np.bincount(term, minlength=len(terms)).astype(float)
     n, n_bad = float(len(texts)), float(toxic.sum())
     good, n_good = all_of - bad, n - n_bad
     with np.errstate(all="ignore"):
         chi2 = n * (bad * (n_good - good) - good * (n_bad - bad)) ** 2 / (all_of * (n - all_of) * n_bad * n_good)
-    chosen = np.flatnonzero((all_of >= LEAST_EXAMPLES) & (np.nan_to_num(chi2) >= LEAST_CHI2) & (bad * n_good > good * n_bad))
+    lifted = (bad + 0.5) * n_good >= LEAST_LIFT * (good + 0.5) * n_bad
+    chosen = np.flatnonzero((all_of >= LEAST_EXAMPLES) & (np.nan_to_num(chi2) >= LEAST_CHI2) & lifted)
     chosen = np.sort(chosen[np.argsort(-chi2[chosen], kind="stable")[:MOST_TERMS]])
     documents = rate.sum()
     idf = np.log(1.0 + documents / (1.0 + np.bincount(term, rate[of], len(terms))[chosen])) if len(chosen) else np.zeros(0)
@@ -188,7 +204,7 @@ def train(names: list[int], texts: list[str], toxic: list[int], rate: list[float
     if not len(data):
         rates, bad, data, names = np.ones(1), np.zeros(1), [b""], [-1]
     vocabulary = learn_vocabulary(data, bad, rates)
-    text, term, weight = vocabulary.vectors(data)
+    text, term, weight = vocabulary.vectors_of_all(data)
     index = BlockMaxIndex(text, term, weight, len(data), len(vocabulary.hashes))
     base = float(rates @ bad / rates.sum())
     made = Model(vocabulary, index, np.array(names), bad, rates, base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
@@ -200,9 +216,10 @@ def train(names: list[int], texts: list[str], toxic: list[int], rate: list[float
     order = np.argsort(votes, kind="stable")
     where, group = np.unique(votes[order], return_inverse=True)
     mass = np.bincount(group, rates[order])
-    share = np.bincount(group, rates[order] * bad[order]) / mass
-    # Half a document each way keeps scores off 0 and 1 and smooths values that few examples share.
-    share = (share * mass + base) / (mass + 1.0)
+    share = _monotone(np.bincount(group, rates[order] * bad[order]) / mass, mass)
+    # Half a document each way keeps scores off 0 and 1 and damps steps that few examples make.
+    step = np.cumsum(np.concatenate([[0], np.diff(share) > 0]))
+    share = ((np.bincount(step, share * mass) + base) / (np.bincount(step, mass) + 1.0))[step]
     made.votes, made.chances = where, np.clip(_monotone(share, mass), 0.0, 1.0)
     return made
 
@@ -216,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples_each: int = EXAMPLES_EACH)
     """Learn from about ``examples_each`` labelled documents of each label, picked by a hash, that are not held out.
 
     ``labels`` needs doc_id and toxic (0 or 1); rows with NULL in either, or that contradict each other, are not used, nor
-    are texts that are NULL or over ``SAMPLE_CHARS`` characters.
+    are texts that are NULL or over ``SAMPLE_CHARS`` characters. Of equal texts the first by doc_id counts.
     """
     clear = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~_is_held_out())
     clear = clear.groupBy(F.col("doc_id").cast("long").alias("_doc")).agg(F.min("toxic").alias("_toxic"), F.max("toxic").alias("_most")).filter("_toxic = _most")
@@ -225,7 +242,13 @@ def fit(docs: DataFrame, labels: DataFrame, examples_each: int = EXAMPLES_EACH)
     most = [min(space, space * examples_each // max(1, sizes.get(t, 1))) for t in (0, 1)]
     picked = clear.filter(F.pmod(F.xxhash64("_doc"), F.lit(space)) < F.when(F.col("_toxic") == 1, most[1]).otherwise(most[0])).select("_doc", "_toxic")
     usable = docs.filter(F.char_length("text") <= SAMPLE_CHARS).select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    rows = sorted({(r["_doc"], r["text"], r["_toxic"]) for r in usable.join(picked, "_doc").select("_doc", "text", "_toxic").collect()})
+    found_rows = sorted((r["_doc"], r["text"], r["_toxic"]) for r in usable.join(F.broadcast(picked), "_doc").select("_doc", "text", "_toxic").collect())
+    # The picked numbers are few by construction, so the texts are filtered where they are read, without a shuffle.
+    # Copies of one text are one example, so that a group of them does not make all its words telling.
+    once: dict[str, tuple[int, str, int]] = {}
+    for row in found_rows:
+        once.setdefault(row[1], row)
+    rows = sorted(once.values())
     found = [max(1, sum(r[2] == t for r in rows)) for t in (0, 1)]
     return train([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [sizes.get(r[2], 1) / found[r[2]] for r in rows])
 

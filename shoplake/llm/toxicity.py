@@ -27,12 +27,12 @@ SAMPLE_CHARS = 20_000
 
 BEGINNINGS = (4, 5)  # bytes of a word's beginning that are a term
 LEAST_EXAMPLES = 4  # examples a term must be in
-LEAST_CHI2 = 12.0
+LEAST_CHI2 = 24.0
 LEAST_LIFT = 4.0  # how much more often toxic examples have a term: words that longer texts simply have more of stay out
 MOST_TERMS = 2000
 BLOCK = 32
 NEAREST = 15
-PRIOR = 2.0  # pseudo-votes at the base rate
+PRIOR = 0.3  # pseudo-votes at the base rate, so that few far neighbours say little
 DECISION = 0.3
 SOME = 100  # texts of the sample that are taken apart at a time
 SLOTS = 20  # bits of the first look-up of terms
@@ -167,7 +167,7 @@ class Model:
 
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         weight = cosine * cosine * self.rate[near]
-        pull = PRIOR * float(self.rate.mean()) * 0.01
+        pull = PRIOR * float(self.rate.mean())
         return float((weight @ self.toxic[near] + pull * self.base) / (weight.sum() + pull))
 
     def chance(self, vote: float) -> float:

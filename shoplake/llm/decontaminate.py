@@ -4,7 +4,8 @@ Texts and benchmark items are turned into templates: numbers, names and units gi
 lower-cased. Windows of ``WINDOW`` template tokens are hash-joined. A document's windows on one item must line up
 (the same distance between their places), and the slots that the placeholders left must be filled consistently: what stands in
 one slot value's place stands in all of them. So a question that comes back with other numbers or names is found like a
-verbatim copy, and a chance meeting of placeholders is not.
+verbatim copy, and a chance meeting of placeholders is not. A capitalised word that opens a sentence may be a name or not;
+windows that hold such words are compared in both readings.
 """
 
 from __future__ import annotations
@@ -33,6 +34,20 @@ UNITS = (
     "l ml liter liters litre litres s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years "
     "usd eur gbp dollar dollars euro euros cent cents percent kmh mph hz khz mhz ghz kb mb gb tb w kw mw v a c f k"
 ).split()
+#: Numbers as words, with the figures they stand for.
+NUMBER_WORDS = {
+    word: str(value)
+    for value, word in [
+        *enumerate(
+            "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+        ),
+        *((10 * k, word) for k, word in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)),
+        (100, "hundred"),
+        (1000, "thousand"),
+        (1_000_000, "million"),
+        (1_000_000_000, "billion"),
+    ]
+}
 NUMBER, NAME, UNIT = 1, 2, 3
 
 _WORD, _DIGIT, _UPPER = (np.zeros(256, bool) for _ in range(3))
@@ -67,13 +82,21 @@ def _word_hash(words: list[str]) -> np.ndarray:
 
 
 _UNIT_HASHES = np.sort(_word_hash(UNITS))
+_SPELLED = _word_hash(list(NUMBER_WORDS))
+_FIGURES = _word_hash(list(NUMBER_WORDS.values()))[np.argsort(_SPELLED)]
+_SPELLED.sort()
+
+
+#: The codes of placeholders, by kind.
+_MARKS = np.array([0, 0x1D3F5A77C1, 0x2E9B6C88D3, 0x3FA77D99E5], np.uint64)
 
 
 class Templates:
     """The template tokens of many texts.
 
     ``of``: text number of each token; ``start``, ``end``: its bytes in ``data``; ``kind``: 0 for a word, else the placeholder;
-    ``code``: what templates are compared by; ``exact``: a hash of the lower-cased token.
+    ``code``: what templates are compared by; ``exact``: a hash of the lower-cased token; ``value``: the same with numbers in figures;
+    ``opens``: whether it is a word that may be a name, as it is capitalised where a sentence begins.
     """
 
     def __init__(self, texts: list[bytes]):
@@ -89,12 +112,16 @@ class Templates:
         self.offsets = offsets
         self.exact = spans_hash(BYTE_CODES[small], start, end)
         if not len(start):
-            self.kind, self.code = np.zeros(0, np.int64), self.exact
+            self.kind, self.code, self.value, self.opens = np.zeros(0, np.int64), self.exact, self.exact, np.zeros(0, bool)
             return
         numeric = np.concatenate([[0], np.cumsum(_DIGIT[data] | _INSIDE[data])])
         all_digits = _DIGIT[data[start]] & (numeric[end] - numeric[start] == end - start)
+        at = np.minimum(np.searchsorted(_SPELLED, self.exact), len(_SPELLED) - 1)
+        spelled = _SPELLED[at] == self.exact
+        self.value = np.where(spelled, _FIGURES[at], self.exact)
+        number = all_digits | spelled
         after_number = np.zeros(len(start), bool)
-        after_number[1:] = all_digits[:-1] & (self.of[1:] == self.of[:-1]) & (start[1:] - end[:-1] <= 1)
+        after_number[1:] = number[:-1] & (self.of[1:] == self.of[:-1]) & (start[1:] - end[:-1] <= 1)
         at = np.minimum(np.searchsorted(_UNIT_HASHES, self.exact), len(_UNIT_HASHES) - 1)
         unit = after_number & (_UNIT_HASHES[at] == self.exact)
         second = np.minimum(start + 1, len(data) - 1)
@@ -106,15 +133,18 @@ class Templates:
         # Text in capitals throughout has no names to tell apart.
         shouted = _UPPER[data[second]] & (end - start > 1)
         name = capital & ~opening & ~shouted
-        self.kind = np.where(all_digits, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0)))
-        marks = np.array([0, 0x1D3F5A77C1, 0x2E9B6C88D3, 0x3FA77D99E5], np.uint64)
-        self.code = np.where(self.kind > 0, marks[self.kind], self.exact)
+        self.kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0)))
+        self.opens = (self.kind == 0) & capital & opening & ~shouted
+        self.code = np.where(self.kind > 0, _MARKS[self.kind], self.exact)
 
-    def windows(self, size: int = WINDOW, least_words: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray]:
-        """First token and hash of every window that has enough words and lies in one text. A text of fewer tokens is one window."""
+    def windows(self, size: int = WINDOW, least_words: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First token, hash and reading of every window that has enough words and lies in one text. A text of fewer tokens is one window.
+
+        In reading 0 a sentence's first word is a word. Windows with such words that are capitalised come in reading 1 as well, where those are names.
+        """
         n = len(self.code)
         if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         first_of = np.flatnonzero(np.concatenate([[True], self.of[1:] != self.of[:-1]]))
         last = np.append(first_of[1:], n)
         short = last - first_of < size
@@ -123,15 +153,20 @@ class Templates:
         ends = first + size
         first, ends = np.append(first, first_of[short]), np.append(ends, last[short])
         worded = np.concatenate([[0], np.cumsum(self.kind == 0)])
-        enough = worded[ends] - worded[first] >= np.minimum(least_words, ends - first)
-        first, ends = first[enough], ends[enough]
-        return first, spans_hash(self.code, first, ends)
-
-    def slots(self, first: int, size: int = WINDOW) -> list[int]:
-        """The exact hashes of a window's placeholder tokens, in order."""
+        opened = np.concatenate([[0], np.cumsum(self.opens)])
+        words, names = worded[ends] - worded[first], opened[ends] - opened[first]
+        least = np.minimum(least_words, ends - first)
+        plain, named = words >= least, (names > 0) & (words - names >= least)
+        hashes = [spans_hash(self.code, first[plain], ends[plain]), spans_hash(np.where(self.opens, _MARKS[NAME], self.code), first[named], ends[named])]
+        return np.concatenate([first[plain], first[named]]), np.concatenate(hashes), np.repeat([0, 1], [plain.sum(), named.sum()])
+
+    def slots(self, first: int, reading: int = 0, size: int = WINDOW) -> list[int]:
+        """The values of a window's placeholder tokens, in order."""
         stop = min(first + size, int(np.searchsorted(self.of, self.of[first], side="right")))
-        picked = np.arange(first, stop)[self.kind[first:stop] > 0]
-        return self.exact[picked].view(np.int64).tolist()
+        held = self.kind[first:stop] > 0
+        if reading:
+            held = held | self.opens[first:stop]
+        return self.value[first:stop][held].view(np.int64).tolist()
 
 
 WINDOWS = "doc long, tie long, window long, place int, slots array<long>"
@@ -140,13 +175,13 @@ WINDOWS = "doc long, tie long, window long, place int, slots array<long>"
 def _windows(batches: Iterator[pa.RecordBatch], size: int, least_words: int, table: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         made = Templates([t.encode() for t in texts_of(batch)])
-        first, hashes = made.windows(size, least_words)
+        first, hashes, reading = made.windows(size, least_words)
         if table is not None:
             kept = table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
-            first, hashes = first[kept], hashes[kept]
+            first, hashes, reading = first[kept], hashes[kept], reading[kept]
         of = made.of[first]
         begin = np.searchsorted(made.of, of)
-        slots = [made.slots(f, size) for f in first.tolist()]
+        slots = [made.slots(f, r, size) for f, r in zip(first.tolist(), reading.tolist(), strict=True)]
         columns = [batch.column(0).take(pa.array(of)), batch.column(2).take(pa.array(of)), array(hashes.view(np.int64), pa.int64())]
         columns += [array((first - begin).astype(np.int32), pa.int32()), array(slots, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, ["doc", "tie", "window", "place", "slots"])

@@ -78,6 +78,23 @@ def test_reparameterised_questions(spark, docs, no_docs):
     assert decontaminate.leaks(docs, items.limit(0)).count() == decontaminate.leaks(no_docs, items).count() == 0
 
 
+def found_leaks(spark, texts, items):
+    """Numbers of the texts and items that meet."""
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    listed = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc, r.item_id) for r in decontaminate.leaks(table, listed).collect()}
+
+
+def test_names_that_open_sentences(spark):
+    item = "Alice has 12 apples. Alice gives 5 apples to Tom. Alice buys 3 more apples. How many apples does Alice have?"
+    renamed = item.replace("Alice", "Bob")
+    spelled = renamed.replace("12", "twelve").replace("5", "three").replace("3 more", "seven more")
+    other = "Bob has 12 pears. They cost 5 coins each at noon. Carol buys 3 more pears. How many pears does Dan have?"
+    first = "Maria walks 4 miles every day. Maria rests on each seventh day of the week."
+    texts = [renamed, f"Some words before: {spelled}", other, first.replace("Maria", "Pedro")]
+    assert found_leaks(spark, texts, [item, first]) == {(0, 0), (1, 0), (3, 1)}
+
+
 def test_planted_passages(spark):
     """Every document that holds an item's text is found, and no other."""
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -5,7 +5,8 @@ lower-cased. Windows of ``WINDOW`` template tokens are hash-joined. A document's
 (the same distance between their places), and the slots that the placeholders left must be filled consistently: what stands in
 one slot value's place stands in all of them. So a question that comes back with other numbers or names is found like a
 verbatim copy, and a chance meeting of placeholders is not. A capitalised word that opens a sentence may be a name or not;
-windows that hold such words are compared in both readings.
+windows that hold such words are compared in both readings. Every window is also compared by its exact tokens, whatever they are; windows
+with few words only so. An item of fewer tokens than a window is looked for in windows of its own size.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import BYTE_CODES, array, cut, joined, mapped, runs, slices, spans_hash, text_key, texts_of
 
 WINDOW = 8
-#: Of a window's tokens, at least so many must be words: placeholders alone are no evidence.
+#: Of a window's tokens, at least so many must be words to be compared as a template: placeholders alone are no evidence.
 LEAST_WORDS = 4
 #: Aligned windows of an item that a document must have, as a share of the item's windows.
 LEAST_SHARE = 0.3
@@ -61,6 +62,11 @@ _STOP = np.zeros(256, bool)
 _STOP[list(b".!?:;\n\"()[]{}*#-")] = True
 _BLANK = np.zeros(256, bool)
 _BLANK[list(b" \t\r")] = True
+#: Make an expression of figures; figures without them are a list, which is no evidence.
+_SIGN = np.zeros(256, bool)
+_SIGN[list(b"+-*/=<>^%")] = True
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\r\n")] = True
 #: Joins the digits on both sides to one number.
 _INSIDE = np.zeros(256, bool)
 _INSIDE[list(b".,")] = True
@@ -107,12 +113,13 @@ class Templates:
             word = word.copy()
             word[1:-1] |= _INSIDE[data[1:-1]] & _DIGIT[data[:-2]] & _DIGIT[data[2:]]
         start, end = runs(word)
-        self.data, self.start, self.end = data, start, end
+        self.data, self.start, self.end, self.small = data, start, end, small
         self.of = np.searchsorted(offsets, start, side="right") - 1
         self.offsets = offsets
         self.exact = spans_hash(BYTE_CODES[small], start, end)
         if not len(start):
             self.kind, self.code, self.value, self.opens = np.zeros(0, np.int64), self.exact, self.exact, np.zeros(0, bool)
+            self.figure = self.opens
             return
         numeric = np.concatenate([[0], np.cumsum(_DIGIT[data] | _INSIDE[data])])
         all_digits = _DIGIT[data[start]] & (numeric[end] - numeric[start] == end - start)
@@ -120,6 +127,7 @@ class Templates:
         spelled = _SPELLED[at] == self.exact
         self.value = np.where(spelled, _FIGURES[at], self.exact)
         number = all_digits | spelled
+        self.figure = all_digits
         after_number = np.zeros(len(start), bool)
         after_number[1:] = number[:-1] & (self.of[1:] == self.of[:-1]) & (start[1:] - end[:-1] <= 1)
         at = np.minimum(np.searchsorted(_UNIT_HASHES, self.exact), len(_UNIT_HASHES) - 1)
@@ -137,54 +145,79 @@ class Templates:
         self.opens = (self.kind == 0) & capital & opening & ~shouted
         self.code = np.where(self.kind > 0, _MARKS[self.kind], self.exact)
 
-    def windows(self, size: int = WINDOW, least_words: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First token, hash and reading of every window that has enough words and lies in one text. A text of fewer tokens is one window.
+    def windows(self, size: int = WINDOW, least_words: int = LEAST_WORDS, shorter: bool = False) -> tuple[np.ndarray, ...]:
+        """First token, size, hash and reading of every window that lies in one text, and whether it can be compared as a template.
 
-        In reading 0 a sentence's first word is a word. Windows with such words that are capitalised come in reading 1 as well, where those are names.
+        In reading 0 a sentence's first word is a word. Windows with such words that are capitalised come in reading 1 as well, where
+        those are names. Both need enough words. In reading 2 all tokens are exact, and in a window of nothing but figures the signs
+        between them too; figures without a sign have none. With ``shorter`` a text of fewer tokens is one window; else it has none.
         """
         n = len(self.code)
         if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            none = np.zeros(0, np.int64)
+            return none, none, none.astype(np.uint64), none, none.astype(bool)
         first_of = np.flatnonzero(np.concatenate([[True], self.of[1:] != self.of[:-1]]))
         last = np.append(first_of[1:], n)
-        short = last - first_of < size
-        long_last = np.repeat(last, last - first_of)
-        first = np.flatnonzero(np.arange(n) + size <= long_last)
+        short = (last - first_of < size) & shorter
+        first = np.flatnonzero(np.arange(n) + size <= np.repeat(last, last - first_of))
         ends = first + size
         first, ends = np.append(first, first_of[short]), np.append(ends, last[short])
-        worded = np.concatenate([[0], np.cumsum(self.kind == 0)])
-        opened = np.concatenate([[0], np.cumsum(self.opens)])
-        words, names = worded[ends] - worded[first], opened[ends] - opened[first]
-        least = np.minimum(least_words, ends - first)
-        plain, named = words >= least, (names > 0) & (words - names >= least)
-        hashes = [spans_hash(self.code, first[plain], ends[plain]), spans_hash(np.where(self.opens, _MARKS[NAME], self.code), first[named], ends[named])]
-        return np.concatenate([first[plain], first[named]]), np.concatenate(hashes), np.repeat([0, 1], [plain.sum(), named.sum()])
-
-    def slots(self, first: int, reading: int = 0, size: int = WINDOW) -> list[int]:
+
+        def count(what: np.ndarray) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(what)])
+            return sums[ends] - sums[first]
+
+        words, names = count(self.kind == 0), count(self.opens)
+        plain, named = words >= least_words, (names > 0) & (words - names >= least_words)
+        figures = count(self.figure) == ends - first
+        exact = ~figures & (~plain | (words < ends - first))
+        signs = np.concatenate([[0], np.cumsum(_SIGN[self.data])])
+        signed = np.flatnonzero(figures)
+        signed = signed[signs[self.start[ends[signed] - 1]] > signs[self.end[first[signed]]]]
+        hashes = [
+            spans_hash(self.code, first[plain], ends[plain]),
+            spans_hash(np.where(self.opens, _MARKS[NAME], self.code), first[named], ends[named]),
+            spans_hash(self.exact, first[exact], ends[exact]),
+        ]
+        if len(signed):
+            seen = ~_SPACE[self.small]
+            before = np.concatenate([[0], np.cumsum(seen)])
+            hashes.append(spans_hash(BYTE_CODES[self.small[seen]], before[self.start[first[signed]]], before[self.end[ends[signed] - 1]]))
+        parts = [np.flatnonzero(plain), np.flatnonzero(named), np.flatnonzero(exact), signed]
+        picked = np.concatenate(parts)
+        reading = np.repeat([0, 1, 2, 2], [len(x) for x in parts])
+        return first[picked], (ends - first)[picked], np.concatenate(hashes), reading, (plain | named)[picked]
+
+    def slots(self, first: int, size: int, reading: int) -> list[int]:
         """The values of a window's placeholder tokens, in order."""
-        stop = min(first + size, int(np.searchsorted(self.of, self.of[first], side="right")))
+        if reading == 2:
+            return []
+        stop = first + size
         held = self.kind[first:stop] > 0
         if reading:
             held = held | self.opens[first:stop]
         return self.value[first:stop][held].view(np.int64).tolist()
 
 
-WINDOWS = "doc long, tie long, window long, place int, slots array<long>"
+WINDOWS = "doc long, tie long, window long, place int, slots array<long>, size int, worded boolean"
 
 
-def _windows(batches: Iterator[pa.RecordBatch], size: int, least_words: int, table: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], sizes: list[int], least_words: int, table: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The windows of some sizes that ``table`` has; without one, all windows of the only size and texts of fewer tokens."""
     for batch in slices(batches):
         made = Templates([t.encode() for t in texts_of(batch)])
-        first, hashes, reading = made.windows(size, least_words)
-        if table is not None:
-            kept = table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
-            first, hashes, reading = first[kept], hashes[kept], reading[kept]
-        of = made.of[first]
-        begin = np.searchsorted(made.of, of)
-        slots = [made.slots(f, r, size) for f, r in zip(first.tolist(), reading.tolist(), strict=True)]
-        columns = [batch.column(0).take(pa.array(of)), batch.column(2).take(pa.array(of)), array(hashes.view(np.int64), pa.int64())]
-        columns += [array((first - begin).astype(np.int32), pa.int32()), array(slots, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc", "tie", "window", "place", "slots"])
+        for size in sizes:
+            first, length, hashes, reading, worded = made.windows(size, least_words, table is None)
+            if table is not None:
+                kept = table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+                first, length, hashes, reading, worded = first[kept], length[kept], hashes[kept], reading[kept], worded[kept]
+            of = made.of[first]
+            begin = np.searchsorted(made.of, of)
+            slots = [made.slots(*x) for x in zip(first.tolist(), length.tolist(), reading.tolist(), strict=True)]
+            columns = [batch.column(0).take(pa.array(of)), batch.column(2).take(pa.array(of)), array(hashes.view(np.int64), pa.int64())]
+            columns += [array((first - begin).astype(np.int32), pa.int32()), array(slots, pa.list_(pa.int64()))]
+            columns += [array(length.astype(np.int32), pa.int32()), array(worded, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "tie", "window", "place", "slots", "size", "worded"])
 
 
 def _consistent(mine: list[list[int]], theirs: list[list[int]]) -> bool:
@@ -197,6 +230,16 @@ def _consistent(mine: list[list[int]], theirs: list[list[int]]) -> bool:
     return True
 
 
+def _met(meets: list[dict]) -> list[dict]:
+    """One meeting for each pair of places: that of the template, if it has slots, else that of the exact tokens."""
+    best: dict[tuple[int, int], dict] = {}
+    for m in meets:
+        where = m["place"], m["at"]
+        if where not in best or (not m["slots"], len(m["slots"])) < (not best[where]["slots"], len(best[where]["slots"])):
+            best[where] = m
+    return [best[where] for where in sorted(best)]
+
+
 FOUND = "doc long, tie long, item_id long, n_windows long, n_item_windows long, reparameterised boolean"
 
 
@@ -205,12 +248,12 @@ def _judged(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Reco
         out: list[list] = [[], [], [], [], [], []]
         for row in batch.to_pylist():
             by: dict[int, list[dict]] = {}
-            for m in row["meets"]:
+            for m in _met(row["meets"]):
                 by.setdefault(m["place"] - m["at"], []).append(m)
             best, changed = 0, False
             for meets in by.values():
-                n = len({m["at"] for m in meets})
-                if n <= best or n < share * row["n_item"]:
+                n, worded = len(meets), sum(m["worded"] for m in meets)
+                if n <= best or (n < share * row["n_item"] and worded < max(1, share * row["n_worded"])):
                     continue
                 mine, theirs = [m["slots"] for m in meets], [m["item_slots"] for m in meets]
                 if _consistent(mine, theirs):
@@ -227,29 +270,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least_words
     """A row for each document (doc, tie: its doc_id and a hash of its text) and benchmark item it holds.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are not read. NULL and empty texts, and items
-    without a word, match nothing. An item of fewer tokens than a window is one window and matches documents that
-    are no longer. Items with one text each count. Repeated rows of a document give one row. Empty tables give no rows.
+    that are lists of figures without a word or a sign, match nothing. An item of fewer tokens than a window is one window of its
+    own size; one of one or two words is found wherever those stand. Items with one text each count. Repeated rows of a document
+    give one row. Empty tables give no rows. An item counts as held at a share of all its windows or of those that can be
+    compared as templates.
 
     Tasks look each window up in a bit table of fixed size first, so few windows are shuffled; the join decides. Meetings
     are gathered per document and item, which the two texts' lengths bound.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("tie"))
-    items = cut(mapped(items, lambda b: _windows(b, size, least_words, None), WINDOWS), "benchmark-windows")
+    items = cut(mapped(items, lambda b: _windows(b, [size], least_words, None), WINDOWS), "benchmark-windows")
     bucket = F.shiftrightunsigned("window", 64 - TABLE_BITS)
     table = np.zeros(1 << TABLE_BITS, bool)
     table[items.select(bucket.alias("b")).distinct().toArrow().column(0).to_numpy()] = True
     packed = np.packbits(table)
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _windows(batches, size, least_words, np.unpackbits(packed).astype(bool))
+        return _windows(batches, sizes, least_words, np.unpackbits(packed).astype(bool))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("tie"))
     seen = mapped(rows, look, WINDOWS)
-    sizes = items.groupBy(F.col("doc").alias("item_id")).agg(F.count_distinct("place").alias("n_item"))
-    theirs = items.select(F.col("doc").alias("item_id"), "window", F.col("place").alias("at"), F.col("slots").alias("item_slots"))
-    meets = seen.join(theirs, "window").select("doc", "tie", "item_id", F.struct("place", "at", "slots", "item_slots").alias("m"))
+    sizes = items.groupBy(F.col("doc").alias("item_id")).agg(
+        F.count_distinct("place").alias("n_item"), F.count_distinct(F.when(F.col("worded"), F.col("place"))).alias("n_worded")
+    )
+    theirs = items.select(F.col("doc").alias("item_id"), "window", F.col("place").alias("at"), F.col("slots").alias("item_slots"), "worded")
+    meets = seen.drop("size", "worded").join(theirs, "window").select("doc", "tie", "item_id", F.struct("place", "at", "slots", "item_slots", "worded").alias("m"))
     pairs = meets.groupBy("doc", "tie", "item_id").agg(F.collect_list("m").alias("meets")).join(sizes, "item_id")
-    return mapped(pairs.select("doc", "tie", "item_id", "meets", "n_item"), lambda b: _judged(b, share), FOUND)
+    return mapped(pairs.select("doc", "tie", "item_id", "meets", "n_item", "n_worded"), lambda b: _judged(b, share), FOUND)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

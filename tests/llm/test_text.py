@@ -95,6 +95,20 @@ def test_names_that_open_sentences(spark):
     assert found_leaks(spark, texts, [item, first]) == {(0, 0), (1, 0), (3, 1)}
 
 
+def test_items_without_a_template(spark):
+    items = [
+        "What is the capital of France?",
+        "12 + 7 * 3 - 45 / 9 + 6 * 8 - 2",
+        "The Old Man And The Sea By Ernest Hemingway",
+        "Tom sees Alice and Bob in Rome, Paris, London, Berlin, Madrid and Oslo.",
+    ]
+    around = [f"Some words stand before it. {item} And some more of them after." for item in items]
+    other = ["What is the price of this thing in any of the shops that are open today?", "12 7 3 45 9 6 8 2 and 12 - 7 * 3 - 45 / 9 + 6 * 8 - 2", "The Old House And The River By Someone Else"]
+    texts = [*around, *(a.lower() for a in around), *other]
+    n = len(items)
+    assert found_leaks(spark, texts, items) == {(k + n * low, k) for k in range(n) for low in (0, 1)}
+
+
 def test_planted_passages(spark):
     """Every document that holds an item's text is found, and no other."""
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

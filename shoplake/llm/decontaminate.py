@@ -2,8 +2,8 @@
 
 Texts and benchmark items are turned into templates: numbers, names and units give way to typed placeholders, other words are
 lower-cased. Windows of ``WINDOW`` template tokens are hash-joined. A document's windows on one item must line up
-(the same distance between their places), and the slots that the placeholders left must be filled consistently: what stands in
-one slot value's place stands in all of them. So a question that comes back with other numbers or names is found like a
+(the same distance between their places, or one that a few tokens more or less explain), and most slots that the placeholders left must be
+filled consistently: what stands in one slot value's place stands in all of them. So a question that comes back with other numbers or names is found like a
 verbatim copy, and a chance meeting of placeholders is not. A capitalised word that opens a sentence may be a name or not;
 windows that hold such words are compared in both readings. Every window is also compared by its exact tokens, whatever they are; windows
 with few words only so. An item of fewer tokens than a window is looked for in windows of its own size.
@@ -26,6 +26,12 @@ WINDOW = 8
 LEAST_WORDS = 4
 #: Aligned windows of an item that a document must have, as a share of the item's windows.
 LEAST_SHARE = 0.3
+#: Or so many of them in a row: 13 tokens.
+LEAST_RUN = 6
+#: Tokens by which the distance of places may change within one alignment, each time.
+SHIFT = 8
+#: Of an alignment's pairs of slot values, at most this share, and one pair anyway, may contradict the others.
+MOST_ODD = 1 / 3
 #: Places of the table of benchmark windows that tasks look windows up in before the join: a bound on its size.
 TABLE_BITS = 22
 
@@ -220,14 +226,60 @@ def _windows(batches: Iterator[pa.RecordBatch], sizes: list[int], least_words: i
             yield pa.RecordBatch.from_arrays(columns, ["doc", "tie", "window", "place", "slots", "size", "worded"])
 
 
-def _consistent(mine: list[list[int]], theirs: list[list[int]]) -> bool:
-    """Whether one value always stands in for the same value over all windows' slots, both ways."""
-    there, back = {}, {}
-    for a, b in zip(mine, theirs, strict=True):
-        for x, y in zip(a, b, strict=True):
-            if there.setdefault(x, y) != y or back.setdefault(y, x) != x:
-                return False
-    return True
+def _consistent(meets: list[dict]) -> bool:
+    """Whether one value stands in for the same value over the windows' slots, both ways, for enough of the pairs of values.
+
+    Of pairs that contradict each other the more frequent one counts, then the one that is the same on both sides.
+    """
+    pairs = Counter(p for m in meets for p in zip(m["slots"], m["item_slots"], strict=True))
+    there, back, odd = {}, {}, 0
+    for x, y in sorted(pairs, key=lambda p: (-pairs[p], p[0] != p[1], p)):
+        if x in there or y in back:
+            odd += 1
+        else:
+            there[x], back[y] = y, x
+    return odd <= max(1, MOST_ODD * len(pairs))
+
+
+def _aligned(meets: list[dict]) -> Iterator[list[dict]]:
+    """The meetings at each distance between the two places, and chains of them over neighbouring distances.
+
+    A chain goes forward in both texts. Each meeting is put on the longest chain that ends at most ``SHIFT`` tokens off.
+    """
+    by: dict[int, list[dict]] = {}
+    ends: dict[int, tuple] = {}
+    extended: set[int] = set()
+    for m in meets:
+        d = m["place"] - m["at"]
+        by.setdefault(d, []).append(m)
+        near = (ends[k] for k in range(d - SHIFT, d + SHIFT + 1) if k in ends)
+        longest = max((e for e in near if e[1]["at"] < m["at"] and e[1]["place"] < m["place"]), key=lambda e: e[0], default=None)
+        if longest:
+            extended.add(id(longest))
+        if d in ends and ends[d] is not longest and id(ends[d]) not in extended:
+            yield _chain(ends[d])
+        ends[d] = (longest[0] + 1 if longest else 1, m, longest)
+    yield from by.values()
+    for e in ends.values():
+        if id(e) not in extended:
+            yield _chain(e)
+
+
+def _chain(end: tuple | None) -> list[dict]:
+    out = []
+    while end:
+        out.append(end[1])
+        end = end[2]
+    return out[::-1]
+
+
+def _longest_run(meets: list[dict]) -> int:
+    """The most meetings in a row, one token further in both texts each."""
+    run = most = 1
+    for a, b in zip(meets, meets[1:]):
+        run = run + 1 if b["at"] - a["at"] == b["place"] - a["place"] == 1 else 1
+        most = max(most, run)
+    return most
 
 
 def _met(meets: list[dict]) -> list[dict]:
@@ -247,17 +299,13 @@ def _judged(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Reco
     for batch in batches:
         out: list[list] = [[], [], [], [], [], []]
         for row in batch.to_pylist():
-            by: dict[int, list[dict]] = {}
-            for m in _met(row["meets"]):
-                by.setdefault(m["place"] - m["at"], []).append(m)
             best, changed = 0, False
-            for meets in by.values():
+            for meets in _aligned(_met(row["meets"])):
                 n, worded = len(meets), sum(m["worded"] for m in meets)
-                if n <= best or (n < share * row["n_item"] and worded < max(1, share * row["n_worded"])):
+                if n <= best or (n < share * row["n_item"] and worded < max(1, share * row["n_worded"]) and _longest_run(meets) < LEAST_RUN):
                     continue
-                mine, theirs = [m["slots"] for m in meets], [m["item_slots"] for m in meets]
-                if _consistent(mine, theirs):
-                    best, changed = n, mine != theirs
+                if _consistent(meets):
+                    best, changed = n, any(m["slots"] != m["item_slots"] for m in meets)
             if best:
                 for column, value in zip(out, (row["doc"], row["tie"], row["item_id"], best, row["n_item"], changed), strict=True):
                     column.append(value)
@@ -273,7 +321,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least_words
     that are lists of figures without a word or a sign, match nothing. An item of fewer tokens than a window is one window of its
     own size; one of one or two words is found wherever those stand. Items with one text each count. Repeated rows of a document
     give one row. Empty tables give no rows. An item counts as held at a share of all its windows or of those that can be
-    compared as templates.
+    compared as templates, or at ``LEAST_RUN`` windows in a row, so a passage of a long item is enough.
 
     Tasks look each window up in a bit table of fixed size first, so few windows are shuffled; the join decides. Meetings
     are gathered per document and item, which the two texts' lengths bound.

@@ -109,6 +109,29 @@ def test_items_without_a_template(spark):
     assert found_leaks(spark, texts, items) == {(k + n * low, k) for k in range(n) for low in (0, 1)}
 
 
+def test_passages_of_long_items(spark):
+    def words(seed, n):
+        draw = random.Random(seed)
+        return ["".join(draw.choice(["ka", "lo", "mi", "tu", "re"]) for _ in range(5)) for _ in range(n)]
+
+    long, middle = words(1, 200), words(2, 59)
+    named = "then every one of them went out there to see Alice and they all gave back the old books which Alice had never read at home or in the school before then".split()
+    boxes = "he packs 7 boxes of the best pens into a bag and gives 7 pencils to each child who asks"
+    items = [" ".join(x) for x in (long, middle, named)] + [boxes]
+    texts = [" ".join([*words(9, 30), *x, *words(8, 30)]) for x in (long[70:130], middle[20:40], long[70:82])]
+    texts += [items[2].replace("Alice", "Mary Ann"), boxes.replace("7 boxes", "9 boxes")]
+    assert found_leaks(spark, texts, items) == {(0, 0), (1, 1), (3, 2), (4, 3)}
+
+
+def test_alignments_are_chained():
+    def meeting(place, at):
+        return {"place": place, "at": at, "slots": [], "item_slots": []}
+
+    row = [meeting(p, p - 3 - (p > 20)) for p in (*range(10, 15), *range(24, 28))]
+    assert max(map(len, decontaminate._aligned(row))) == 9 and decontaminate._longest_run(row) == 5
+    assert max(map(len, decontaminate._aligned([meeting(p, 5) for p in range(9)]))) == 1
+
+
 def test_planted_passages(spark):
     """Every document that holds an item's text is found, and no other."""
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

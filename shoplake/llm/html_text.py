@@ -2,7 +2,8 @@
 
 Every text node is filed under its root-to-leaf tag path (with class and id). Per page and path, text length and punctuation are
 averaged over the path's nodes; the averages are smoothed along the page, fused with what the path's tags and names say, and
-paths whose fused ratio reaches a share of the page's largest are content.
+paths whose fused ratio reaches a share of the page's largest are content. Names of classes and ids, and where a page has content
+containers being outside of them, are weights. Headings, lists and short paragraphs that belong to selected blocks are kept with them.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ SHARE = 0.25
 SIGMA = 1.0
 #: Of a path's text, the most that may be link text, outside of long texts.
 MOST_LINKED = 0.5
+#: Weights of paths that are named like boilerplate, and of those outside of the page's content containers.
+NAMED = 0.1
+OUTSIDE = 0.1
+#: A tag that encloses more than this share of the page's text is not judged by its names.
+MOST_TEXT = 0.5
 
 # --- fixed values: what HTML and common page layouts call things --------------------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +58,10 @@ BOILERPLATE_NAMES = frozenset(
 )
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 CONTENT_TAGS = frozenset(["article", "main"])
+#: Names that inside of a content container mean a part of it.
+HEADING_NAMES = frozenset(["header", "masthead"])
+#: Blocks of these kinds are kept with selected ones.
+PROSE_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre figcaption".split())
 CONTENT_NAMES = frozenset(["articlebody", "article-body", "article-content", "post-content", "entry-content", "main-content", "story-body"])
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 
@@ -74,6 +84,7 @@ class Step:
     name: str  # tag with class and id, as paths are compared
     boilerplate: bool
     content: bool
+    names: frozenset[str]  # those that boilerplate has
 
 
 def _step(tag: str, rest: str, seen: dict[tuple[str, str], Step]) -> Step:
@@ -83,14 +94,26 @@ def _step(tag: str, rest: str, seen: dict[tuple[str, str], Step]) -> Step:
         words = set(_NAMES.findall(named))
         hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
         content = tag in CONTENT_TAGS or bool(CONTENT_NAMES & {*named.split(), found.get("itemprop", "").lower()})
-        poor = hidden or tag in BOILERPLATE_TAGS or found.get("role", "").lower() in BOILERPLATE_ROLES or bool(words & BOILERPLATE_NAMES)
-        seen[tag, rest] = Step(tag, f"{tag}.{named.strip()}", poor and not (content and tag in CONTENT_TAGS), content)
+        poor = hidden or tag in BOILERPLATE_TAGS or found.get("role", "").lower() in BOILERPLATE_ROLES
+        names = frozenset() if tag in ("html", "body") or tag in CONTENT_TAGS else frozenset(words & BOILERPLATE_NAMES)
+        seen[tag, rest] = Step(tag, f"{tag}.{named.strip()}", poor and not (content and tag in CONTENT_TAGS), content, names)
     return seen[tag, rest]
 
 
+@dataclass
+class Element:
+    """An element with boilerplate names: the length of its text, and whether it encloses a content container."""
+
+    length: int = 0
+    holds: bool = False
+
+
 @dataclass
 class Node:
-    """A text node: its path, whether a content container and boilerplate enclose it, link text, block number and text."""
+    """A text node: its path, whether a content container and boilerplate enclose it, link text, block number and text.
+
+    ``named``: whether a name says boilerplate; ``tag``: the block it stands in; ``home``: number of the innermost content container, or 0.
+    """
 
     path: tuple[str, ...]
     inside: bool
@@ -98,12 +121,18 @@ class Node:
     linked: bool
     block: int
     text: str
+    tag: str = ""
+    home: int = 0
+    named: bool = False
 
 
 def text_nodes(html: str) -> list[Node]:
     """The page's text nodes in order. Elements that HTML closes by itself are closed; an end tag without a start is passed over."""
     nodes: list[Node] = []
     stack: list[Step] = []
+    open_as: list[tuple[Element | None, int]] = []  # along with the stack: the element if it has names, and the innermost container
+    under: list[list[Element]] = []  # of each node
+    homes = 0
     seen: dict[tuple[str, str], Step] = {}
     block = at = 0
 
@@ -113,13 +142,26 @@ def text_nodes(html: str) -> list[Node]:
             first = next((k for k, s in enumerate(stack) if s.content), len(stack))
             # A heading group inside the article belongs to it; a page's own header does not.
             poor = any(s.boilerplate for s in stack) or any(s.tag == "header" for s in stack[:first])
-            nodes.append(Node(tuple(s.name for s in stack), inside, poor, any(s.tag == "a" for s in stack), block, unescape(raw)))
+            tag = next((s.tag for s in reversed(stack) if s.tag in BLOCKS), "")
+            home = open_as[-1][1] if open_as else 0
+            nodes.append(Node(tuple(s.name for s in stack), inside, poor, any(s.tag == "a" for s in stack), block, unescape(raw), tag, home))
+            # Inside a container, a heading group's name is none of boilerplate.
+            under.append([e for k, (e, _) in enumerate(open_as) if e and (k < first or stack[k].names - HEADING_NAMES)])
+            for e, _ in open_as:
+                if e:
+                    e.length += len(raw.strip())
+
+    def judged() -> list[Node]:
+        most = MOST_TEXT * sum(len(n.text.strip()) for n in nodes)
+        for n, elements in zip(nodes, under, strict=True):
+            n.named = any(not e.holds and e.length <= most for e in elements)
+        return nodes
 
     while True:
         m = _TOKEN.search(html, at)
         if not m:
             text(html[at:])
-            return nodes
+            return judged()
         text(html[at : m.start()])
         at = m.end()
         tag = (m["tag"] or m["tag2"] or "").lower()
@@ -130,7 +172,7 @@ def text_nodes(html: str) -> list[Node]:
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    del stack[k:], open_as[k:]
                     break
                 # An inline end tag does not reach past the block it stands in.
                 if tag not in BLOCKS and stack[k].tag in BLOCKS:
@@ -141,7 +183,7 @@ def text_nodes(html: str) -> list[Node]:
             kinds, until = CLOSES.get(tag, (frozenset(), frozenset()))
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k].tag == "p" or stack[k].tag in kinds:
-                    del stack[k:]
+                    del stack[k:], open_as[k:]
                     break
                 if stack[k].tag in until or (stack[k].tag in BLOCKS and tag not in CLOSES):
                     break
@@ -149,13 +191,22 @@ def text_nodes(html: str) -> list[Node]:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
             at = end.end() if end else len(html)
         elif tag not in VOID:
-            stack.append(_step(tag, rest, seen))
+            step = _step(tag, rest, seen)
+            home = open_as[-1][1] if open_as else 0
+            if step.content:
+                homes += 1
+                home = homes
+                for e, _ in open_as:
+                    if e:
+                        e.holds = True
+            stack.append(step)
+            open_as.append((Element() if step.names else None, home))
 
 
 def _ratios(nodes: list[Node]) -> tuple[list[int], np.ndarray, np.ndarray]:
     """Path number of each node, each path's fused ratio, and its share of link text."""
     numbers: dict[tuple, int] = {}
-    of = [numbers.setdefault((n.path, n.inside, n.poor), len(numbers)) for n in nodes]
+    of = [numbers.setdefault((n.path, n.inside, n.poor, n.named), len(numbers)) for n in nodes]
     length = np.array([len(n.text.strip()) for n in nodes], float)
     marks = np.array([len(PUNCTUATION.findall(n.text)) for n in nodes], float)
     linked = np.array([n.linked for n in nodes], float)
@@ -169,10 +220,34 @@ def _ratios(nodes: list[Node]) -> tuple[list[int], np.ndarray, np.ndarray]:
     own = np.bincount(of, length, paths)
     link_share = np.bincount(of, length * linked, paths) / np.maximum(own, 1.0)
     first = {p: n for n, p in zip(reversed(nodes), reversed(of), strict=True)}
-    prior = np.array([0.0 if first[p].poor else 1.0 for p in range(paths)])
+    marked = any(n.inside and not n.poor for n in nodes)
+    prior = np.array([(not first[p].poor) * (NAMED if first[p].named else 1.0) * (OUTSIDE if marked and not first[p].inside else 1.0) for p in range(paths)])
     return of, np.sqrt(ratio * mean) * prior, link_share
 
 
+def _with_them(groups: dict[int, list[Node]], chosen: set[int]) -> set[int]:
+    """Blocks of prose that belong to the chosen ones: in their container or, outside of containers, between two or headings right before one.
+
+    Neither boilerplate nor mostly links.
+    """
+    homes = {groups[b][0].home for b in chosen} - {0}
+    outside = [b for b in chosen if not groups[b][0].home]
+    first, last = min(outside, default=0), max(outside, default=0)
+    found: set[int] = set()
+    above = False  # whether the block below is kept
+    for b in sorted(groups, reverse=True):
+        nodes = groups[b]
+        size = sum(len(n.text) for n in nodes)
+        linked = sum(len(n.text) for n in nodes if n.linked)
+        prose = nodes[0].tag in PROSE_TAGS and not any(n.poor or n.named for n in nodes) and linked <= MOST_LINKED * size
+        heading = nodes[0].tag[:1] == "h"
+        near = nodes[0].home in homes or (not nodes[0].home and (first < b < last or (above and heading)))
+        if b not in chosen and prose and near:
+            found.add(b)
+        above = (b in chosen or b in found) and not nodes[0].home
+    return found
+
+
 def extract(html: str | None, share: float = SHARE) -> str:
     """The main text: content blocks with white space made single blanks, joined by line ends. NULL and empty pages give ''."""
     nodes = [n for n in text_nodes(html or "") if n.text.strip(" \t\n\r\f\v\xa0") or n.text]
@@ -180,14 +255,16 @@ def extract(html: str | None, share: float = SHARE) -> str:
     if not worded:
         return ""
     of, fused, link_share = _ratios(worded)
-    # A page that marks its content has its paths judged by what they are; elsewhere the ratios decide.
-    marked = any(n.inside and not n.poor for n in worded)
     least = share * fused.max(initial=0.0)
-    good = np.array([f > 0 and (marked or f >= least) and not (l > MOST_LINKED and f < max(least, 1.0)) for f, l in zip(fused, link_share, strict=True)])
-    kept = {n.path + (n.inside, n.poor) for n, p in zip(worded, of, strict=True) if good[p] and (n.inside or not marked)}
+    good = [f > 0 and f >= least and not (l > MOST_LINKED and f < 1.0) for f, l in zip(fused, link_share, strict=True)]
+    groups: dict[int, list[Node]] = {}
+    for n in worded:
+        groups.setdefault(n.block, []).append(n)
+    chosen = {n.block for n, p in zip(worded, of, strict=True) if good[p]}
+    chosen |= _with_them(groups, chosen)
     blocks: dict[int, list[str]] = {}
     for n in nodes:
-        if n.path + (n.inside, n.poor) in kept:
+        if n.block in chosen and not n.poor:
             blocks.setdefault(n.block, []).append(n.text)
     lines = (_WHITE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n".join(line for line in lines if line)

@@ -197,6 +197,31 @@ def test_main_text():
     assert "many words, commas" in html_text.extract(unmarked) and "Buy now" not in html_text.extract(unmarked)
 
 
+LONG = "A long paragraph of the page, with words, commas, and stops. It goes on for a while, as body text does, and then it ends."
+
+
+@pytest.mark.parametrize("layout", ["single has-sidebar", "right-sidebar no-comments"])
+@pytest.mark.parametrize("container", ["article", "div"])
+def test_layout_classes(layout, container):
+    inner = f"<{container}><div class='article-header'><h1>Head of it</h1></div><p>{LONG}</p><p>{LONG}</p></{container}>"
+    side = "<div class='sidebar'>Buy now, really.</div>"
+    lines = ([] if container == "div" else ["Head of it"]) + [LONG, LONG]
+    assert html_text.extract(f"<body class='{layout}'><div class='content with-sidebar'>{inner}</div>{side}</body>").split("\n") == lines
+
+
+def test_ratios_decide_beside_containers():
+    cards = "<article><a href='/x'>More of it</a></article>" * 3
+    body = f"<div><h1>Head of it</h1><p>{LONG}</p><ul><li>Point one<li>Point two</ul><p>{LONG}</p></div>"
+    assert html_text.extract(f"<body>{body}{cards}</body>").startswith(f"Head of it\n{LONG}\nPoint one\nPoint two\n{LONG}")
+    inside = f"<article><h1>Head of it</h1><div>Share this</div><p>{LONG}</p><p class='note'>Short one.</p><div>Follow us</div></article><div>Other things.</div>"
+    assert html_text.extract(f"<body>{inside}</body>") == f"Head of it\n{LONG}\nShort one."
+
+
+def test_unmarked_page():
+    page = f"<body><div class='menu'><a href='/'>Home</a></div><div><h2>Head of it</h2><p>{LONG}</p><h3>Next</h3><p>See <a href='/x'>this</a>, {LONG}</p></div><div class='footer'>Imprint</div></body>"
+    assert html_text.extract(page) == f"Head of it\n{LONG}\nNext\nSee this, {LONG}"
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "<p>a<b", "<!--", "<script>x", "</p></div>", "<a href='x>y", "&#xD800;&bogus;&amp", "<p " + "a" * 100_000])
 def test_broken_pages(html):
     assert isinstance(html_text.extract(html), str)

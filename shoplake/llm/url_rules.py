@@ -15,6 +15,8 @@ from shoplake.llm.common import cut
 #: How a URL is read.
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 SEGMENT = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]+)"
+PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 
 
 def host(url: Column) -> Column:
@@ -22,31 +24,45 @@ def host(url: Column) -> Column:
 
 
 def keys(url: Column) -> Column:
-    """What list entries can match a URL, from most to least specific: host and first path segment, the host, and its parent domains.
+    """What list entries can match a URL, from most to least specific: host and path, from all segments to the first one, the host, and its parent domains.
 
-    A parent domain has two labels at least. A URL that has no host matches nothing.
+    A parent domain has two labels at least. Paths keep their case. A URL that has no host matches nothing.
     """
     name = host(url)
     labels = F.split(name, r"\.")
+    none = F.array().cast("array<string>")
     parents = F.transform(F.sequence(F.lit(2), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefix = F.concat(name, F.regexp_extract(url, SEGMENT, 1))
+    segments = _segments(F.regexp_extract(url, PATH, 1))
+    paths = F.transform(F.sequence(F.size(segments), F.lit(1)), lambda i: F.concat(name, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")))
     every = F.concat(
-        F.when(prefix != name, F.array(prefix)).otherwise(F.array().cast("array<string>")),
+        F.when(F.size(segments) > 0, paths).otherwise(none),
         F.array(name),
-        F.when(F.size(labels) > 2, parents).otherwise(F.array().cast("array<string>")),
+        F.when(F.size(labels) > 2, parents).otherwise(none),
     )
     return F.when(name != "", every)
 
 
+def _segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda x: x != "")
+
+
+def named(entry: Column) -> Column:
+    """An entry as keys are written: host in lower case, path segments as they are. A whole URL loses scheme, user, port, query and fragment."""
+    url = F.when(entry.rlike(SCHEME), entry).otherwise(F.concat(F.lit("http://"), entry))
+    name = host(url)
+    segments = _segments(F.regexp_extract(url, PATH, 1))
+    return F.when(name != "", F.array_join(F.concat(F.array(name), segments), "/"))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """entry, valid_from, valid_to (exclusive; NULL while it is still on): when each entry was on the list.
 
     ``entries``: entry, listed (TRUE: goes on, FALSE: comes off), changed_on. Changes of one entry on one day count as one, and
     going on wins; that leaves an entry at most a row per day to be put in order, however many changes were sent in.
-    Going on twice keeps the first day. Rows with a NULL are not used.
+    Going on twice keeps the first day. Rows with a NULL, and entries without a host, are not used.
     """
-    named = entries.select(F.lower("entry").alias("entry"), "listed", F.col("changed_on").cast("date").alias("changed_on")).dropna()
-    daily = named.groupBy("entry", "changed_on").agg(F.max("listed").alias("listed"))
+    rows = entries.select(named(F.col("entry")).alias("entry"), "listed", F.col("changed_on").cast("date").alias("changed_on")).dropna()
+    daily = rows.groupBy("entry", "changed_on").agg(F.max("listed").alias("listed"))
     order = W.partitionBy("entry").orderBy("changed_on")
     changes = daily.withColumn("was", F.lag("listed").over(order)).filter("listed <> coalesce(was, FALSE)")
     return changes.withColumn("valid_to", F.lead("changed_on").over(order)).filter("listed").select("entry", F.col("changed_on").alias("valid_from"), "valid_to")
@@ -93,10 +109,9 @@ def sample_captures(pages: DataFrame) -> DataFrame:
 def sample_entries(pages: DataFrame) -> DataFrame:
     """Changes of hosts, of hosts with a first path segment, and of parent domains, from every page of some numbers."""
     url = F.col("url")
-    found = keys(url)
     entry = (
-        F.when(F.col("page_id") % 97 == 0, F.element_at(found, -1))
-        .when(F.col("page_id") % 5 == 0, found[0])
+        F.when(F.col("page_id") % 97 == 0, F.element_at(keys(url), -1))
+        .when(F.col("page_id") % 5 == 0, F.when(host(url) != "", F.concat(host(url), F.regexp_extract(url, SEGMENT, 1))))
         .when(F.col("page_id") % 3 == 0, host(url))
     )
     return pages.select(entry.alias("entry"), (F.col("page_id") % 7 < 4).alias("listed"), F.expr(CHANGED).alias("changed_on")).filter("entry IS NOT NULL")

@@ -252,6 +252,18 @@ def test_captures_are_judged_by_the_day(spark):
     assert url_rules.evaluate(table.limit(0), listed).count() == 0
 
 
+def test_paths_of_entries(spark):
+    day = dt.date(2024, 1, 1)
+    entries = ["B.org/News", "b.org/en/spam", "HTTP://user@C.net:80/a/B/?q=1#top", "d.com/x/y/z", "d.com/x", "http://e.com"]
+    urls = {
+        "http://b.org/News": "b.org/News", "http://b.org/news": None, "https://B.ORG/en/spam/1.html?x=1": "b.org/en/spam", "http://b.org/en/spammer": None, "http://b.org/en": None,
+        "https://c.net/a/B/c": "c.net/a/B", "https://c.net/a/b": None, "http://d.com/x/y/z/": "d.com/x/y/z", "http://d.com/x/y": "d.com/x", "http://www.e.com/p": "e.com", "http://e.com?q=/a": "e.com",
+    }
+    table = spark.createDataFrame([(i, u, day) for i, u in enumerate(urls)], "page_id long, url string, fetched_on date")
+    listed = spark.createDataFrame([(e, True, day) for e in entries], "entry string, listed boolean, changed_on date")
+    assert {r.url: r.entry for r in url_rules.evaluate(table, listed).collect()} == urls
+
+
 # --- language -----------------------------------------------------------------------------------------------------------
 def mixed(seed, parts):
     draw = random.Random(seed)

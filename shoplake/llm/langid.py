@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import BYTE_CODES, joined, mapped, runs, slices, spans_hash, text_key, texts_of
 from shoplake.llm.decontaminate import lowered
 
-#: Bounds of the sample: languages (the most frequent), documents of each, and characters of a sampled document.
-LANGUAGES = 50
+#: Bounds of the sample: documents of each language, of all (but ``LEAST_EACH`` of each anyway), and characters that are read of one.
 DOCS_EACH = 250
+DOCS = 12_500
+LEAST_EACH = 20
 SAMPLE_CHARS = 20_000
+#: With more languages than this, texts are predicted in smaller batches, as a block takes their number squared.
+MANY = 50
 
 BUCKETS = 1 << 15
 LEXICON_LEAST = 5  # occurrences in the sample
@@ -242,11 +245,12 @@ def _slope(scores: np.ndarray, gold: np.ndarray, transitions: np.ndarray) -> tup
         behind[t - 1] = x / x.sum(axis=1, keepdims=True)
     node = ahead * behind
     node /= node.sum(axis=2, keepdims=True)
-    edge = ahead[:-1, :, :, None] * move * (emit.transpose(1, 0, 2)[1:] * behind[1:])[:, :, None, :]
-    edge /= edge.sum(axis=(2, 3), keepdims=True)
     slope = -node.transpose(1, 0, 2)
     slope[np.arange(n)[:, None], np.arange(length), gold] += 1
-    moved = -edge.sum(axis=(0, 1))
+    moved = np.zeros((k, k))
+    for t in range(1, length):  # one place at a time: memory for the pairs of labels of one word only
+        edge = ahead[t - 1, :, :, None] * move * (emit[:, t] * behind[t])[:, None, :]
+        moved -= (edge / edge.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
     np.add.at(moved, (gold[:, :-1], gold[:, 1:]), 1)
     return slope, moved
 
@@ -258,24 +262,31 @@ def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0) -> Column:
 
 
 def fit(docs: DataFrame, docs_each: int = DOCS_EACH) -> Field:
-    """Train on about ``docs_each`` documents of each language, picked by a hash, that are not held out.
+    """Train on about ``docs_each`` documents of each language, picked by a hash, that are not held out; fewer of each with very many languages.
 
-    Rows without text, lang or doc_id, and texts over ``SAMPLE_CHARS`` characters, are not sampled.
+    Every language that has such a document is a label. Rows without text, lang or doc_id are not sampled. Of long texts the first
+    ``SAMPLE_CHARS`` characters are read.
     """
-    usable = docs.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.char_length("text") <= SAMPLE_CHARS))
-    counts = usable.groupBy(F.col("lang").cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    usable = docs.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = usable.groupBy(F.col("lang").cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return train([], [])
+    docs_each = min(docs_each, max(LEAST_EACH, DOCS // len(counts)))
     space = 1 << 30
     most = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(space, space * docs_each // r["count"])))])
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(space))
-    rows = usable.filter(place < most[F.col("lang").cast("string")]).select("doc_id", "text", F.col("lang").cast("string").alias("lang")).collect()
+    rows = usable.filter(place < most[F.col("lang").cast("string")]).select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.col("lang").cast("string").alias("lang")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
+def _batches(batches: Iterator[pa.RecordBatch], field: Field) -> Iterator[pa.RecordBatch]:
+    less = max(1.0, len(field.labels) / MANY) ** 2
+    return slices(batches, max(1, int(256 / less)), int((4 << 20) / less))
+
+
 def _predicted(batches: Iterator[pa.RecordBatch], field: Field) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in _batches(batches, field):
         languages, score = field.predict(texts_of(batch))
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (0, 2, 3)), pa.array(languages, pa.string()), pa.array(score)], ["doc_id", "tie", "held_out", "lang_pred", "score"])
 
@@ -299,7 +310,7 @@ def with_language(docs: DataFrame, field: Field, least: float = LEAST_SCORE) ->
     row = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in _batches(batches, field):
             languages, score = field.predict(texts_of(batch))
             kept = pa.array((score >= least) & np.array([x != UNKNOWN for x in languages]))
             yield batch.select([0]).filter(kept)

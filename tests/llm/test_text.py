@@ -331,6 +331,16 @@ def test_languages(spark, docs, no_docs):
     assert langid.predict(no_docs, field).count() == langid.with_language(no_docs, field).count() == 0
 
 
+def test_every_language_is_a_label(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, " ".join([f"{chr(97 + k // 8)}{chr(105 + k % 8)}"] * 6), f"l{k}") for n, i in enumerate(ids[:244]) for k in [n % 61]]
+    rows += [(i, "zyzzyx qoppaq " * 2000, "long") for i in ids[244:247]]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    field = langid.fit(table)
+    assert set(field.labels) == {r[2] for r in rows} and len(field.labels) == 62
+    assert langid.predict(table.filter("lang = 'long'"), field).filter("lang_pred = 'long'").count() == 3
+
+
 def test_held_out_languages(spark):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
     held = [r.lang_pred == truth[r.doc_id] for r in queries.op10_language_crf(spark, SF).collect() if r.held_out]

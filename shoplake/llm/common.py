@@ -34,14 +34,19 @@ def cut(df: DataFrame, label: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def mapped(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``df.mapInArrow``, with this package sent to the workers once per application, wherever the driver found it."""
-    context = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers once per application, wherever the driver found it."""
+    context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent
         made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='code-')}/{package.name}", "zip", package.parent, package.name)
         context.addPyFile(made)
         _shipped.add(context.applicationId)
+
+
+def mapped(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this package sent to the workers."""
+    ship(df.sparkSession)
     return df.mapInArrow(task, schema)
 
 

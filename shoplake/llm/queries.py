@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chunks, decontaminate, html_text, langid, packing, quality, simhash, token_blocks, toxicity, url_rules
+from shoplake.llm import (
+    alignment,
+    chunks,
+    decontaminate,
+    html_text,
+    langid,
+    mixing,
+    packing,
+    prefix_trie,
+    quality,
+    simhash,
+    token_blocks,
+    toxicity,
+    url_rules,
+)
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +85,22 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs)).drop("tie")
 
 
+def op11_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words in a mix of all sources by capped weights."""
+    return mixing.mixed(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, epochs=2.0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, rebuilt as variants of one another."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two vocabularies in groups over the same bytes, with corpus-wide counts of linked ids."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -84,8 +114,11 @@ QUERIES: dict[str, Query] = {
         op8_url_rules,
         op9_token_blocks,
         op10_language_crf,
+        op11_water_filling,
+        op12_prefix_trie,
+        op13_token_alignment,
     )
 }
 
 #: The others cannot be written in SQL; their tests hold them against brute force, round trips or held-out labels.
-ORACLE: dict[str, str] = {"op1_quality_ledger": quality.OP1_SQL, "op8_url_rules": url_rules.OP8_SQL}
+ORACLE: dict[str, str] = {"op1_quality_ledger": quality.OP1_SQL, "op8_url_rules": url_rules.OP8_SQL, "op12_prefix_trie": prefix_trie.OP12_SQL}

@@ -25,16 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import BYTE_CODES, cut, from_counts, joined, mapped, slices, spans_hash, texts_of
-from shoplake.llm.tokens import MOST_IDS, MOST_PIECES, Encoder, white_space
+from shoplake.llm.tokens import Encoder, white_space
 
 #: Bytes of text and rows that close a chunk (a single longer text is a chunk of its own): they bound a task's memory.
-CHUNK_BYTES, CHUNK_ROWS = 24 << 20, 50_000
-#: Pieces of one text that are looked up at once.
-PIECES_AT_ONCE = 400_000
+CHUNK_BYTES, CHUNK_ROWS = 12 << 20, 50_000
+#: Pieces that are looked up at once.
+PIECES_AT_ONCE = 200_000
 #: A pair of ids is one number.
 SHIFT = 16
-#: A worker's remembered pieces, links and written groups, at most; they bound memory.
-MOST_LINKS = 24_000_000
+#: A worker's remembered pieces and their links, at most; they bound memory.
+MOST_KNOWN, MOST_LINKS = 600_000, 4_000_000
+#: Links of documents that are told apart at once.
+LINKS_AT_ONCE = 1_000_000
 
 _BLANK = "▁"
 
@@ -121,10 +123,10 @@ class Aligner(Encoder):
 
     def _forget(self) -> None:
         super()._forget()
-        self.counts = np.zeros((MOST_PIECES, 4), np.int32)  # A's tokens, B's, groups, links; -1 where B's bytes differ
+        self.counts = np.zeros((MOST_KNOWN, 4), np.int32)  # A's tokens, B's, groups, links; -1 where B's bytes differ
         self.text: list[str] = []
-        self.link_at, self.link_n = np.zeros(MOST_PIECES, np.int32), np.zeros(MOST_PIECES, np.int32)
-        self.pairs, self.times = np.zeros(1 << 20, np.int64), np.zeros(1 << 20, np.int32)
+        self.link_at, self.link_n = np.zeros(MOST_KNOWN, np.int32), np.zeros(MOST_KNOWN, np.int32)
+        self.pairs, self.times = np.zeros(1 << 20, np.uint32), np.zeros(1 << 20, np.int32)
         self.n_links = 0
 
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,13 +187,17 @@ class Aligner(Encoder):
         for k, a, b in zip(good.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             self.text[first + k] = ";".join(groups[a:b])
 
-    def full(self, fresh: int) -> bool:
-        """Whether as many new pieces may not fit what is remembered."""
-        return self.n_pieces + fresh > MOST_PIECES or self.n_ids > MOST_IDS or self.n_links > MOST_LINKS
+    def keys_of(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return np.maximum(spans_hash(BYTE_CODES[data], begin, end), np.uint64(1))
 
-    def entries(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def full(self, keys: np.ndarray) -> bool:
+        """Whether those of some pieces that are new may not fit what is remembered."""
+        if self.n_links > MOST_LINKS:
+            return True
+        return self.n_pieces + len(keys) > MOST_KNOWN and self.n_pieces + len(np.unique(keys[self._look_up(keys) < 0])) > MOST_KNOWN
+
+    def entries(self, keys: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Entry of each piece; pieces not met before are encoded and aligned. ``full`` must have been asked before."""
-        keys = np.maximum(spans_hash(BYTE_CODES[data], begin, end), np.uint64(1))
         entry = self._look_up(keys)
         missing = np.flatnonzero(entry < 0)
         if len(missing):
@@ -209,7 +215,7 @@ class Aligner(Encoder):
         n = self.link_n[entry]
         row = np.repeat(np.arange(len(entry)), n)
         at = self.link_at[entry][row] + from_counts(n)
-        return row, self.pairs[at], self.times[at].astype(np.int64) * times[row]
+        return row, self.pairs[at].astype(np.int64), self.times[at].astype(np.int64) * times[row]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -272,6 +278,7 @@ class _Chunk:
         """Document, unit and times of what documents use, and unit, pair and occurrences of the units' links."""
         none = np.zeros(0, np.int64)
         doc, entry, times = (np.concatenate(x) for x in zip(*self.used, strict=True)) if self.used else (none, none, none)
+        self.used = []
         known, unit = np.unique(entry, return_inverse=True)
         row, pair, each = tool.links(known, np.ones(len(known), np.int64))
         if self.long:
@@ -292,11 +299,12 @@ class _Chunk:
         work = np.concatenate([[0], np.cumsum(n_pairs[unit])])[ends]
         while start < self.rows:
             # Some documents at a time, to bound memory.
-            stop = max(start + 1, int(np.searchsorted(work, work[start] + 4_000_000, side="right")) - 1)
+            stop = max(start + 1, int(np.searchsorted(work, work[start] + LINKS_AT_ONCE, side="right")) - 1)
             some = slice(ends[start], ends[stop])
             n = n_pairs[unit[some]]
             where = np.repeat(first[unit[some]], n) + from_counts(n)
-            held = np.unique(np.repeat(doc[some] - start, n) * np.int64(max(1, total)) + at[where])
+            held = np.sort(np.repeat(doc[some] - start, n) * np.int64(max(1, total)) + at[where])
+            held = held[np.concatenate([[True], held[1:] != held[:-1]])[: len(held)]]
             docs += np.bincount(held % max(1, total), minlength=total)
             start = stop
         return docs
@@ -356,16 +364,16 @@ class _Writer:
             self._long(doc_ids, data, begin, end)
             yield from self.close()
             return
-        if self.tool.full(len(begin)):
+        keys = self.tool.keys_of(data, begin, end)
+        if self.tool.full(keys):
             yield from self.close()
             self.tool._forget()
-        self._usual(doc_ids, data, of, begin, end)
+        self._usual(doc_ids, of, self.tool.entries(keys, data, begin, end), len(data))
         if self.chunk.size >= CHUNK_BYTES or self.chunk.rows >= CHUNK_ROWS:
             yield from self.close()
 
-    def _usual(self, doc_ids: list[int | None], data: np.ndarray, of: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+    def _usual(self, doc_ids: list[int | None], of: np.ndarray, entry: np.ndarray, size: int) -> None:
         rows, tool = len(doc_ids), self.tool
-        entry = tool.entries(data, begin, end)
         counts = tool.counts[entry]
         bad = np.zeros(rows, bool)
         bad[of[counts[:, 0] < 0]] = True
@@ -375,9 +383,10 @@ class _Writer:
         places, at, text, shas = entry.tolist(), np.concatenate([[0], np.cumsum(n_pieces)]).tolist(), tool.text, [""] * rows
         for k in np.flatnonzero(~bad & (n_pieces > 0)).tolist():
             shas[k] = hashlib.sha256(";".join([text[e] for e in places[at[k] : at[k + 1]]]).encode()).hexdigest()
-        held, times = np.unique(of[good].astype(np.int64) * MOST_PIECES + entry[good], return_counts=True)
-        self.chunk.used.append((held // MOST_PIECES + self.chunk.rows, held % MOST_PIECES, times))
-        self.chunk.add(doc_ids, numbers, shas, len(data))
+        held, times = np.unique(of[good].astype(np.int64) * MOST_KNOWN + entry[good], return_counts=True)
+        used = held // MOST_KNOWN + self.chunk.rows, held % MOST_KNOWN, times
+        self.chunk.used.append(tuple(x.astype(np.int32) for x in used))
+        self.chunk.add(doc_ids, numbers, shas, size)
 
     def _long(self, doc_ids: list[int | None], data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
         """One text with very many pieces, which are looked up some at a time."""
@@ -385,9 +394,10 @@ class _Writer:
         total, pairs, times, whole = np.zeros(4, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), True
         for at in range(0, len(begin), PIECES_AT_ONCE):
             some = slice(at, at + PIECES_AT_ONCE)
-            if tool.full(PIECES_AT_ONCE):
+            keys = tool.keys_of(data, begin[some], end[some])
+            if tool.full(keys):
                 tool._forget()
-            entry = tool.entries(data, begin[some], end[some])
+            entry = tool.entries(keys, data, begin[some], end[some])
             counts = tool.counts[entry]
             whole &= bool(counts.min() >= 0)
             total += counts.sum(0, dtype=np.int64)

@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -230,16 +231,16 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 # --- chunks of documents ---------------------------------------------------------------------------------------------------
 #: Rows of documents, and for each chunk one row with its pairs: how many of its documents hold each, and its units' pairs. A unit
-#: is a piece, or a whole text that is too long to be kept as pieces. Documents name their units and how often each occurs.
+#: is a piece, or a whole text that is too long to be kept as pieces. Documents name their units (``packed``).
 CHUNKS = (
-    "chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, units array<int>, times array<int>, "
+    "chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, units binary, "
     "pairs array<int>, docs array<int>, unit_ends array<int>, unit_pairs array<int>, unit_times array<long>"
 )
 _NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
 _TYPES = [
     *[pa.int64()] * 6,
     pa.string(),
-    *[pa.list_(pa.int32())] * 2,
+    pa.binary(),
     *[pa.list_(pa.int32())] * 4,
     pa.list_(pa.int64()),
 ]
@@ -250,6 +251,37 @@ def _lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
 
 
+def packed(units: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Each document's units, in ascending order and as often as they occur, as differences of three bytes.
+
+    A document's low bytes come first, then its middle and its high ones, which are mostly zero and so cost little when compressed.
+    """
+    first = np.cumsum(counts) - counts
+    differ = np.diff(units, prepend=0)
+    begins = first[counts > 0]
+    differ[begins] = units[begins]
+    out = np.empty(3 * len(units), np.uint8)
+    at, step = np.arange(len(units)) + np.repeat(2 * first, counts), np.repeat(counts, counts)
+    for byte in range(3):
+        out[at + byte * step] = (differ >> (8 * byte)) & 255
+    ends = np.concatenate([[0], 3 * np.cumsum(counts)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(out.tobytes())])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and unit of every entry of ``packed`` documents."""
+    sizes = pc.binary_length(column).to_numpy()
+    counts = sizes // 3
+    data = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    first = np.cumsum(counts) - counts
+    at, step = np.arange(int(counts.sum())) + np.repeat(2 * first, counts), np.repeat(counts, counts)
+    differ = np.zeros(len(at), np.int64)
+    for byte in range(3):
+        differ |= data[at + byte * step].astype(np.int64) << (8 * byte)
+    sums = np.concatenate([[0], np.cumsum(differ)])
+    return np.repeat(np.arange(len(counts)), counts), sums[1:] - np.repeat(sums[first], counts)
+
+
 def _row_sums(row: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Exact sums of whole numbers by row."""
     out = np.zeros(n, np.int64)
@@ -289,8 +321,8 @@ class _Chunk:
             each = np.concatenate([each, *(t for _, _, t in self.long)])
             doc = np.concatenate([doc, np.array([d for d, _, _ in self.long])])
             unit, times = np.concatenate([unit, numbers]), np.concatenate([times, np.ones(len(numbers), np.int64)])
-            order = np.argsort(doc, kind="stable")
-            doc, unit, times = doc[order], unit[order], times[order]
+        order = np.argsort(doc * np.int64(max(1, unit.max(initial=0) + 1)) + unit, kind="stable")
+        doc, unit, times = doc[order], unit[order], times[order]
         return doc, unit, times, row, pair, each
 
     def _holding(self, ends: np.ndarray, doc: np.ndarray, unit: np.ndarray, first: np.ndarray, n_pairs: np.ndarray, at: np.ndarray, total: int) -> np.ndarray:
@@ -322,15 +354,13 @@ class _Chunk:
         for a in range(0, self.rows, 4096):
             b = min(self.rows, a + 4096)
             some = slice(ends[a], ends[b])
-            yield self._batch(
-                b - a,
-                [pa.array(self.doc_ids[a:b], pa.int64()), *(pa.array(numbers[a:b, k], pa.int64()) for k in range(4)), pa.array(self.shas[a:b], pa.string())]
-                + [_lists(unit[some].astype(np.int32), units_of[a:b], pa.int32()), _lists(times[some].astype(np.int32), units_of[a:b], pa.int32())],
-                1,
-            )
+            of_row = _row_sums(doc[some] - a, times[some], b - a)
+            counts = [pa.array(numbers[a:b, k], pa.int64()) for k in range(4)]
+            made = [pa.array(self.doc_ids[a:b], pa.int64()), *counts, pa.array(self.shas[a:b], pa.string())]
+            yield self._batch(b - a, [*made, packed(np.repeat(unit[some], times[some]).astype(np.int64), of_row)], 1)
         lists = [pairs.astype(np.uint32).view(np.int32), docs.astype(np.int32), (first + n_pairs).astype(np.int32), at.astype(np.int32)]
         made = [_lists(x, np.array([len(x)]), pa.int32()) for x in lists] + [_lists(each, np.array([len(each)]), pa.int64())]
-        yield self._batch(1, made, 9)
+        yield self._batch(1, made, 8)
 
     def _batch(self, n: int, made: list[pa.Array], first: int) -> pa.RecordBatch:
         columns = [pa.nulls(n, t) for t in _TYPES]
@@ -444,6 +474,7 @@ SCORES = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best l
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A chunk's documents, which follow its row of pairs with their corpus-wide counts."""
+    _aligners.clear()  # this worker may have been one that encoded; what it remembers is no longer needed
     chunk, sums, best = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
         numbers = batch.column(0).to_numpy()
@@ -452,7 +483,7 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if numbers[a] != chunk:
                 # The first row has the chunk's pairs.
                 chunk, head = numbers[a], part.slice(0, 1)
-                at, n_docs, is_best, ends, of, each = (head.column(k).flatten().to_numpy(zero_copy_only=False) for k in range(9, 15))
+                at, n_docs, is_best, ends, of, each = (head.column(k).flatten().to_numpy(zero_copy_only=False) for k in range(8, 14))
                 count, top = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
                 count[at], top[at] = n_docs, is_best
                 unit = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
@@ -460,11 +491,9 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = part.slice(1)
             if not part.num_rows:
                 continue
-            units, times = part.column(7), part.column(8)
-            row = np.repeat(np.arange(part.num_rows), units.value_lengths().fill_null(0).to_numpy())
-            unit, n = units.flatten().to_numpy(), times.flatten().to_numpy().astype(np.int64)
+            row, unit = unpacked(part.column(7))
             columns = [part.column(k) for k in (1, 2, 3, 4, 5)]
-            columns += [pa.array(_row_sums(row, n * x[unit], part.num_rows), pa.int64()) for x in (best, sums)]
+            columns += [pa.array(_row_sums(row, x[unit], part.num_rows), pa.int64()) for x in (best, sums)]
             yield pa.RecordBatch.from_arrays([*columns, part.column(6)], [c.split()[0] for c in SCORES.split(", ")])
 
 
@@ -484,7 +513,7 @@ def scores(stored: DataFrame, counts: DataFrame) -> DataFrame:
     heads = found.agg(F.collect_list(F.struct("at", "n_docs", F.col("best").cast("int").alias("best"))).alias("x"))
     units = stored.filter("pairs IS NOT NULL").select(F.col("chunk").alias("_chunk"), "unit_ends", "unit_pairs", "unit_times")
     heads = units.join(heads, F.col("_chunk") == F.col("chunk"), "left").drop("chunk")
-    of_docs, of_units = _NAMES[1:9], ["unit_ends", "unit_pairs", "unit_times"]
+    of_docs, of_units = _NAMES[1:8], ["unit_ends", "unit_pairs", "unit_times"]
     of_pairs = {"at": "array<int>", "n_docs": "array<bigint>", "best": "array<int>"}
     docs = stored.filter("pairs IS NULL").select(
         "chunk", *of_docs, *(F.lit(None).cast(t).alias(n) for n, t in of_pairs.items()), *of_units, F.lit(1).alias("kind")

@@ -257,6 +257,11 @@ SELECT * EXCLUDE (load_seq), CASE WHEN load_seq = 0 THEN 'full_load' ELSE 'incre
         "scd1_stream": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
         "scd1_stream_one_batch": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
         "scd1_stream_late_backfill": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
+        "scd1_equal_times": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
+        "scd1_backfill_copied_later": f"""
+SELECT product_id, CAST(unit_price_usd AS DOUBLE) AS unit_price_usd, CAST(unit_price_usd AS DOUBLE) AS version_price_usd
+FROM products_bronze {_LATEST.format(key="product_id")}""",
+        "scd2_incremental": _BODIES["scd2_risk_support"],
         "scd2_stream": f"SELECT product_id, unit_price_usd, __end_date IS NULL AS is_current FROM ({_PRODUCT_VERSIONS})",
         "bronze_rescued": """
 SELECT order_id, product_id, CASE WHEN CAST(product_id AS BIGINT) % 4 >= 2 THEN rating END AS rating,

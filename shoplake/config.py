@@ -125,6 +125,9 @@ METADATA: dict[str, str] = {
     "_rescued": "string",
 }
 
+# Kinds of load, as ``_load_type`` names them.
+FULL_LOAD, INCREMENT = "full_load", "incremental"
+
 # The business key of each entity.
 KEYS: dict[str, list[str]] = {
     "customers": ["customer_id"],

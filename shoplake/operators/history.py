@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shoplake.config import METADATA
-from shoplake.operators.dedup import CHANGED, INGESTED, change_order, change_time, keep_latest_known, newest_first
+from shoplake.operators.dedup import CHANGED, INGESTED, LOADED, change_time, keep_latest_known, precedence, time_order
 from shoplake.operators.skew import cut_points, heavy_keys, is_any, key_code, time_range
 
 START, END = "__start_date", "__end_date"
+#: Kept beside a stored history's columns: whether a row opens a version, and whether it no longer counts.
+SHOWN, GONE = "_shown", "_gone"
+MARKS = (START, END, SHOWN, GONE, "_was")
 PIECES = 64
+#: Before any time; rows without a time come first.
+NEVER = dt.datetime(1, 1, 1)
 
 
 def scd1(base: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str = INGESTED) -> DataFrame:
@@ -60,11 +66,11 @@ def scd2(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None
     Of several changes at one instant the last counts (the others would be versions of zero length), and a change that
     leaves every tracked column as it was adds no version. A version starts at its own time and ends where the
     next one starts; NULL means it is current. Late changes are placed by their own time, so feeding the whole
-    log again (or the log of the touched keys) splits the interval they fall into.
+    log again (or the log of the touched keys) splits the interval they fall into. A backfilled row tells what was there before
+    any increment, so it is a version only from a time before the key's first one; ``maintain`` keeps a stored history up.
     """
-    tracked = list(tracked or [c for c in changes.columns if c not in {*keys, ts, *METADATA}])
-    if ts == INGESTED and CHANGED in changes.columns:
-        changes, ts = changes.withColumn(CHANGED, change_time(changes.columns)), CHANGED
+    tracked = list(tracked or tracked_columns(changes.columns, keys, ts))
+    changes, ts = timed(changes, ts)
     usual, heavy = _split(changes, keys)
     result = _versions(usual, keys, tracked, ts)
     if heavy is not None:
@@ -72,24 +78,52 @@ def scd2(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None
     return result
 
 
+def tracked_columns(columns: Sequence[str], keys: Sequence[str], ts: str = INGESTED) -> list[str]:
+    return [c for c in columns if c not in {*keys, ts, *METADATA}]
+
+
+def timed(changes: DataFrame, ts: str = INGESTED) -> tuple[DataFrame, str]:
+    """Changes with a column that tells when each counts from, and that column's name."""
+    if ts == INGESTED and CHANGED in changes.columns:
+        return changes.withColumn(CHANGED, change_time(changes.columns)), CHANGED
+    return changes, ts
+
+
+def _along(df: DataFrame, keys: Sequence[str], ts: str) -> list[Column]:
+    names = [c for c in df.columns if c not in {*keys, *MARKS}]
+    # Of equal rows a stored one comes last, so that it stays.
+    held = [F.col("_was").isNotNull()] if "_was" in df.columns else []
+    return [c.asc_nulls_first() for c in [*time_order(names, ts), *held]]
+
+
+def _increment() -> Column:
+    return precedence() == 1
+
+
+def _last_at(ts: str, w: WindowSpec) -> Column:
+    return F.lead(F.lit(True)).over(w).isNull() | ~F.lead(ts).over(w).eqNullSafe(F.col(ts))
+
+
 def _as_version(df: DataFrame, ts: str, end: Column) -> DataFrame:
     return df.select("*", F.col(ts).alias(START), end.alias(END))
 
 
 def _versions(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
-    # All three windows share one shuffle and one sort.
-    order = change_order([c for c in df.columns if c not in keys], ts)
-    w = Window.partitionBy(*keys).orderBy(*(c.asc_nulls_first() for c in order))
+    # All windows share one shuffle and one sort.
+    w = Window.partitionBy(*keys).orderBy(*_along(df, keys, ts))
     state = F.struct(*tracked)
-    last_of_instant = F.lead(F.lit(True)).over(w).isNull() | ~F.lead(ts).over(w).eqNullSafe(F.col(ts))
-    kept = df.withColumn("_last", last_of_instant).filter("_last").drop("_last")
+    kept = df
+    if LOADED in df.columns:
+        before = F.max(_increment()).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        kept = kept.withColumn("_late", before & ~_increment()).filter("NOT _late").drop("_late")
+    kept = kept.withColumn("_last", _last_at(ts, w)).filter("_last").drop("_last")
     kept = kept.withColumn("_new", ~F.lag(state).over(w).eqNullSafe(state)).filter("_new").drop("_new")
     return _as_version(kept, ts, F.lead(ts).over(w))
 
 
 def _versions_in_ranges(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
     """The same for keys too heavy for one task: time ranges are worked on side by side, then stitched."""
-    single = _last_of_instant(df, keys, ts)
+    single = _last_of_instant(_before_increments(df, keys, ts), keys, ts)
     ranged = _ranged(single, keys, ts, cut_points(single, keys, ts, PIECES))
     w = Window.partitionBy(*keys, "_range").orderBy(F.col(ts).asc_nulls_first())
     across = Window.partitionBy(*keys).orderBy("_range")
@@ -105,14 +139,110 @@ def _versions_in_ranges(df: DataFrame, keys: Sequence[str], tracked: Sequence[st
     return _as_version(after, ts, F.coalesce(F.lead(ts).over(w), F.col("_carry"))).drop("_range", "_carry")
 
 
+def _before_increments(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Without backfilled rows from the time of a key's first increment or later. Meant for a frame reduced to heavy keys: a row for
+    each is looked up, at most ``MAX_HEAVY``, so it is safe to send to every task."""
+    if LOADED not in df.columns:
+        return df
+    first = df.filter(_increment()).groupBy(*(F.col(k).alias(f"_f_{k}") for k in keys)).agg(F.min(F.coalesce(ts, F.lit(NEVER))).alias("_first"))
+    match = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys))
+    joined = df.join(F.broadcast(first), match, "left").drop(*(f"_f_{k}" for k in keys))
+    live = _increment() | F.col("_first").isNull() | (F.coalesce(ts, F.lit(NEVER)) < F.col("_first"))
+    return joined.filter(live).drop("_first")
+
+
 def _last_of_instant(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     names = [*keys, ts]
     if not set(df.columns) - set(names):
         return df.distinct()
-    rank = F.row_number().over(Window.partitionBy(*names).orderBy(*newest_first([c for c in df.columns if c not in keys], ts)))
+    held = [F.col("_was").isNotNull()] if "_was" in df.columns else []
+    order = [c.desc_nulls_last() for c in [*time_order([c for c in df.columns if c not in {*keys, *MARKS}], ts), *held]]
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+# --- a history that is kept up ------------------------------------------------------------------------------------------
+def _opened(df: DataFrame, ts: str) -> Column:
+    return F.when(F.col(SHOWN), F.col(ts))
+
+
+def _timeline(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
+    """One row for each key and instant, also where nothing changed, with the version it lies in; rows that no longer count last."""
+    w = Window.partitionBy(*keys).orderBy(*_along(df, keys, ts))
+    upto, state = w.rowsBetween(Window.unboundedPreceding, 0), F.struct(*tracked)
+    back = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    late = F.max(_increment()).over(upto) & ~_increment() if LOADED in df.columns else F.lit(False)
+    marked = df.withColumn(GONE, late)
+    live = marked.filter(~F.col(GONE)).withColumn("_last", _last_at(ts, w)).filter("_last").drop("_last")
+    live = live.withColumn(SHOWN, ~F.lag(state).over(w).eqNullSafe(state))
+    live = live.withColumn(START, F.last(_opened(live, ts), ignorenulls=True).over(upto))
+    live = live.withColumn(END, F.last(_opened(live, ts), ignorenulls=True).over(back))
+    return live.unionByName(marked.filter(F.col(GONE) & F.col("_was").isNotNull()), allowMissingColumns=True)
+
+
+def _timeline_in_ranges(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
+    """The same for keys too heavy for one task."""
+    live = _before_increments(df, keys, ts)
+    single = _last_of_instant(live, keys, ts)
+    ranged = _ranged(single, keys, ts, cut_points(single, keys, ts, PIECES)).withColumn("_state", F.struct(*tracked))
+    w = Window.partitionBy(*keys, "_range").orderBy(F.col(ts).asc_nulls_first())
+    back = Window.partitionBy(*keys, "_range").orderBy(F.col(ts).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*keys).orderBy("_range")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+
+    found = _from_neighbour(ranged, keys, F.max_by("_state", F.struct(ts)), lambda edge: F.lag(edge).over(across))
+    found = found.withColumn(SHOWN, ~F.coalesce(F.lag("_state").over(w), F.col("_carry")).eqNullSafe(F.col("_state"))).drop("_carry", "_state")
+    found = _from_neighbour(found, keys, F.max(_opened(found, ts)), lambda edge: F.last(edge, ignorenulls=True).over(earlier))
+    inside = F.last(_opened(found, ts), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    found = found.withColumn(START, F.coalesce(inside, "_carry")).drop("_carry")
+    found = _from_neighbour(found, keys, F.min(_opened(found, ts)), lambda edge: F.last(edge, ignorenulls=True).over(later))
+    inside = F.last(_opened(found, ts), ignorenulls=True).over(back)
+    found = found.withColumn(END, F.coalesce(inside, "_carry")).drop("_carry", "_range").withColumn(GONE, F.lit(False))
+    if LOADED not in df.columns:
+        return found
+    names = [*keys, ts]
+    # A row in whose place another of its time came is replaced by that one.
+    kept = found.select(*(F.col(c).alias(f"_k_{c}") for c in names))
+    match = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in names))
+    gone = df.filter(F.col("_was").isNotNull() & ~_increment()).join(kept, match, "left_anti").withColumn(GONE, F.lit(True))
+    return found.unionByName(gone, allowMissingColumns=True)
+
+
+def maintain(stored: DataFrame, changes: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None = None, ts: str = INGESTED) -> DataFrame:
+    """What a batch of changes alters in a stored history: rows to be put in place of those with their key and time.
+
+    ``stored`` has a row for each key and time at which something was reported, the columns of ``changes``, and the version the row
+    lies in: its start and end, and whether the row opens it (``SHOWN``). Rows that report nothing new are kept too, since a late
+    change before them may make a version of them. Of the stored rows, only those of the batch's keys from the version that holds the key's
+    earliest change on take part; a late change splits that version, and what changes neither by value nor by version is not
+    returned. Rows with ``GONE`` no longer count. ``versions`` of the result equal ``scd2`` of the whole log. A batch that is fed
+    twice returns nothing the second time.
+    """
+    changes, ts = timed(changes, ts)
+    tracked = list(tracked or tracked_columns(changes.columns, keys, ts))
+    bounds = changes.groupBy(*(F.col(k).alias(f"_b_{k}") for k in keys)).agg(
+        F.when(F.max(F.col(ts).isNull()), None).otherwise(F.min(ts)).alias("_lo")
+    )
+    match = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys))
+    reach = F.col(END).isNull() | F.col("_lo").isNull() | (F.col(END) >= F.col("_lo"))
+    was = F.struct(START, END, SHOWN).alias("_was")
+    near = stored.join(bounds, match & reach).select(*changes.columns, was)
+    kind = near.schema["_was"].dataType
+    lined_up = near.unionByName(changes.withColumn("_was", F.lit(None).cast(kind)))
+    usual, heavy = _split(lined_up, keys)
+    found = _timeline(usual, keys, tracked, ts)
+    if heavy is not None:
+        found = found.unionByName(_timeline_in_ranges(heavy, keys, tracked, ts), allowMissingColumns=True)
+    return found.filter(F.col("_was").isNull() | F.col(GONE) | ~F.col("_was").eqNullSafe(F.struct(START, END, SHOWN))).drop("_was")
+
+
+def versions(stored: DataFrame) -> DataFrame:
+    """The versions of a stored history, as ``scd2`` gives them."""
+    kept = [c for c in stored.columns if c not in MARKS]
+    return stored.filter(SHOWN).select(*kept, START, END)
+
+
 def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Attach to each fact the version that was valid at its time ``at`` (start <= at < end), or NULLs.
 

@@ -52,11 +52,11 @@ def fact_orders(
 ) -> DataFrame:
     """One row per order. ``laid_out`` says that all inputs are bucketed by order and have no heavy orders."""
     paid = payments.groupBy("order_id").agg(
-        newest("payment_method", "payment_status", "fraud_risk_score").alias("_payment"),
+        newest("payment_method", "payment_status", "fraud_risk_score", of=payments.columns).alias("_payment"),
         F.sum("total_price_usd").alias("payment_amount"),
     )
     shipped = shipping.groupBy("order_id").agg(
-        newest("shipping_method", "delivery_status", "is_delayed").alias("_shipment"),
+        newest("shipping_method", "delivery_status", "is_delayed", of=shipping.columns).alias("_shipment"),
         F.sum("shipping_cost_usd").alias("shipping_cost"),
     )
     score = F.col("_payment.fraud_risk_score")

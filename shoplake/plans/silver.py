@@ -166,5 +166,5 @@ def shipping(bronze: DataFrame) -> DataFrame:
         delivery_days=days,
         is_delayed=r.flag(days > 7),
         **_tidied("shipping_country", "warehouse_location", "delivery_status"),
-        **_same(INGESTED),
+        **_same(*METADATA),
     )

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from shoplake.config import CONTRACTS, METADATA
+from shoplake.config import CONTRACTS, FULL_LOAD, INCREMENT, METADATA
 from shoplake.functions.shape import lossy, quoted, typed
 
-FULL_LOAD, INCREMENTAL = "full_load", "incremental"
-
 # A line with more or fewer fields than its header is kept whole here while it is read.
 MALFORMED = "_malformed_line"
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from shoplake.config import contract_ddl, full_load_path
+from shoplake.config import FULL_LOAD, contract_ddl, full_load_path
 from shoplake.functions.shape import quoted
 from shoplake.operators.quality import observe
 from shoplake.operators.skew import heavy_keys
@@ -82,7 +82,7 @@ class Lake:
         files = csv.list_files(self.spark, full_load_path(base, entity))
         if not files:
             return False
-        extra = csv.land(self.spark, files, entity, csv.FULL_LOAD, lambda df: df.write.mode("overwrite").parquet(target))
+        extra = csv.land(self.spark, files, entity, FULL_LOAD, lambda df: df.write.mode("overwrite").parquet(target))
         self.note_extra(entity, "full", extra)
         self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(mark)
         return True

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplake.config import INCREMENTAL, KEYS, staging_path
+from shoplake.config import INCREMENT, INCREMENTAL, KEYS, staging_path
 from shoplake.operators.dedup import keep_latest_known
 from shoplake.sources import csv
 from shoplake.sources.lake import Lake
@@ -65,7 +65,7 @@ def start_staging(lake: Lake, entity: str, landing: str, files_per_batch: int =
         if not files:
             return
         target = lake.path("staging", entity, f"batch_id={number}")
-        extra = csv.land(spark, files, entity, csv.INCREMENTAL, lambda df: df.write.mode("overwrite").parquet(target))
+        extra = csv.land(spark, files, entity, INCREMENT, lambda df: df.write.mode("overwrite").parquet(target))
         lake.note_extra(entity, f"batch_id={number}", extra)
 
     return _start(names, lake.path("checkpoints", entity, "staging"), batch, f"{entity}_staging")

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from shoplake.config import ENTITIES, KEYS, full_load_path, staging_path
 from shoplake.functions.shape import publish
-from shoplake.operators.history import END, scd2
+from shoplake.operators.history import END, START, scd2
 from shoplake.session import scratch_dir
 from shoplake.sources.lake import Lake, compact
 from shoplake.sources.sample_views import raw_entity, reader
 from shoplake.streaming.flows import compact_current, current, ingest, upsert
+from shoplake.streaming.histories import compact_history, history, maintain_history
 
 
 AS_OF = dt.date(2002, 1, 1)
@@ -43,6 +44,16 @@ class Trial:
     def send(self, entity: str, df: DataFrame) -> None:
         self._csv(df, staging_path(self.landing, entity), "append")
 
+    def dated(self, path: str, at: dt.datetime) -> None:
+        """Give the files under a path one time of change, as a copy might; files that were given one before keep it."""
+        spark = self.lake.spark
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs
+        folder = files.Path(path)
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in system.listStatus(folder):
+            if status.isFile() and status.getModificationTime() > dt.datetime.now().timestamp() * 1000 - 86_400_000:
+                system.setTimes(status.getPath(), int(at.timestamp() * 1000), -1)
+
 
 def _landed(df: DataFrame) -> DataFrame:
     return publish(df.withColumnRenamed("_load_type", "load_type"))
@@ -154,6 +165,58 @@ def late_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish(current(t.lake, "payments"))
 
 
+DAY = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+
+
+def equal_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments: the backfill and the corrections are files of one time of change, and the backfill is loaded last."""
+    t = Trial(spark, sf_dir)
+    payments = t.raw("payments")
+    t.send("payments", payments.filter("load_seq = 1").drop("load_seq"))
+    t.send_full("payments", payments.filter("load_seq = 0").drop("load_seq"))
+    for path in (staging_path(t.landing, "payments"), full_load_path(t.full, "payments")):
+        t.dated(path, DAY)
+    ingest(t.lake, t.landing, ["payments"])
+    upsert(t.lake, "payments")
+    compact_current(t.lake, "payments")
+    t.lake.backfill("payments", t.full)
+    compact_current(t.lake, "payments")
+    return publish(current(t.lake, "payments"))
+
+
+def backfill_copied_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products: the backfill's file is a year younger than the corrections it comes before; state and history keep those."""
+    t = Trial(spark, sf_dir)
+    products = t.raw("products")
+    t.send("products", products.filter("load_seq = 1").drop("load_seq"))
+    t.send_full("products", products.filter("load_seq = 0").drop("load_seq"))
+    t.dated(staging_path(t.landing, "products"), DAY)
+    t.dated(full_load_path(t.full, "products"), DAY + dt.timedelta(365))
+    ingest(t.lake, t.landing, ["products"])
+    upsert(t.lake, "products")
+    t.lake.backfill("products", t.full)
+    found = current(t.lake, "products")
+    open_ = scd2(t.lake.bronze("products"), KEYS["products"]).filter(F.col(END).isNull())
+    both = found.select("product_id", "unit_price_usd").join(open_.select("product_id", F.col("unit_price_usd").alias("version_price_usd")), "product_id", "full")
+    return publish(both)
+
+
+def incremental_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk records: their second version arrives after the third, and the first once more, unchanged, in between. The history is kept
+    up batch by batch and folded once."""
+    t = Trial(spark, sf_dir)
+    records = t.raw("risk_support")
+    for version, day in ((0, 0), (2, 2), (0, 0), (1, 1)):
+        t.send("risk_support", records.filter(F.col("load_seq") == version).drop("load_seq"))
+        t.dated(staging_path(t.landing, "risk_support"), DAY + dt.timedelta(day))
+        ingest(t.lake, t.landing, ["risk_support"])
+        maintain_history(t.lake, "risk_support")
+        if version == 2:
+            compact_history(t.lake, "risk_support")
+    kept = publish(history(t.lake, "risk_support"))
+    return kept.withColumns({c: F.col(c).cast("date") for c in (START, END)})
+
+
 def rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews, some with a rating that is no whole number: the column is NULL and the text is kept."""
     t = Trial(spark, sf_dir)
@@ -218,7 +281,10 @@ QUERIES = {
     "scd1_stream": upsert_stream,
     "scd1_stream_one_batch": corrections_in_one_batch,
     "scd1_stream_late_backfill": late_backfill,
+    "scd1_equal_times": equal_times,
+    "scd1_backfill_copied_later": backfill_copied_later,
     "scd2_stream": versions_in_one_batch,
+    "scd2_incremental": incremental_history,
     "compacted_orders": compacted_orders,
     "stored_daily_sales": stored_daily_sales,
     "stored_lake": stored_lake,

@@ -253,6 +253,18 @@ SELECT * REPLACE (CAST(session_duration_minutes AS DOUBLE) AS session_duration_m
 FROM sessions_bronze""",
         "bronze_fan_in": """
 SELECT * EXCLUDE (load_seq), CASE WHEN load_seq = 0 THEN 'full_load' ELSE 'incremental' END AS load_type FROM risk_support_bronze""",
+        "bronze_mixed_headers": """
+SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 3 <> 2 THEN city END AS city), CASE WHEN CAST(order_id AS BIGINT) % 3 = 2 THEN 'ch2' END AS channel,
+  'incremental' AS load_type FROM orders_bronze""",
+        "bronze_inferred_types": """
+SELECT session_id, CAST(n % 1000 AS INT) AS hits, 'int' AS hits_type, CAST(n % 50 AS DOUBLE) + CAST(n % 7 AS DOUBLE) / 10 AS fee, 'decimal(3,1)' AS fee_type,
+  CAST(n % 9 * 100 AS DOUBLE) AS ratio, 'double' AS ratio_type, CASE WHEN n % 2 = 1 THEN DATE '2024-01-01' + CAST(n % 90 AS INT) END AS seen, 'date' AS seen_type,
+  '00' || CAST(n % 10 AS STRING) AS badge, 'string' AS badge_type FROM (SELECT session_id, CAST(session_id AS BIGINT) AS n FROM sessions_bronze)""",
+        "bronze_type_widened": """
+SELECT session_id, CAST(n % 1000 AS DOUBLE) + CASE WHEN n % 2 = 1 THEN 0.5 ELSE 0 END AS hits, 'decimal(4,1)' AS hits_type,
+  CASE WHEN n % 2 = 1 THEN 'n/a ' ELSE '' END || CAST(n % 50 AS STRING) || '.' || CAST(n % 7 AS STRING) AS fee, 'string' AS fee_type
+FROM (SELECT session_id, CAST(session_id AS BIGINT) AS n FROM sessions_bronze)""",
+        "bronze_compacted": "SELECT * EXCLUDE (load_seq), 'incremental' AS load_type FROM risk_support_bronze",
         # Empty text does not survive a CSV file: it reads back as NULL.
         "scd1_stream": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",
         "scd1_stream_one_batch": f"SELECT * REPLACE (nullif(payment_status, '') AS payment_status) FROM ({_BODIES['scd1_payments']})",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,7 @@ def session(app: str = "shoplake", master: str | None = None, **conf: str) -> Sp
 
 
 _local: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -41,4 +43,40 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = _local.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="shoplake-")
         _local[context.applicationId] = root
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    made = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(context.applicationId, []).append(made)
+    return made
+
+
+def clear_scratch(spark: SparkSession) -> list[str]:
+    """Remove the scratch folders that this application made. Frames that were built on them can't be read any more, so call it
+    once results are stored."""
+    folders = _made.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        remove(spark, folder)
+    return folders
+
+
+def _place(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """A path and its file system, whichever that is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    place, system = _place(spark, pattern)
+    plain = "://" not in pattern and not pattern.startswith("file:")
+    names = [status.getPath() for status in system.globStatus(place) or []]
+    return sorted(n.toUri().getPath() if plain else n.toString() for n in names)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def set_times(spark: SparkSession, pattern: str, seconds: float) -> None:
+    """Give files a time of change, as a copy does."""
+    for path in glob(spark, pattern):
+        place, system = _place(spark, path)
+        system.setTimes(place, int(seconds * 1000), -1)

@@ -5,21 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from shoplake.config import CONTRACTS, FULL_LOAD, INCREMENT, METADATA
 from shoplake.functions.shape import lossy, quoted, typed
+from shoplake.session import scratch_dir
 
 # A line with more or fewer fields than its header is kept whole here while it is read.
 MALFORMED = "_malformed_line"
 
-# Up to this many files have their headers looked up one by one.
-FEW_FILES = 16
-
-
 def _listing(spark: SparkSession, path: str) -> DataFrame | None:
     """Names of the non-empty files under a path; None if it does not exist. No content is read."""
     try:
@@ -31,18 +28,14 @@ def _listing(spark: SparkSession, path: str) -> DataFrame | None:
     return found.filter(F.col("length") > 0).select("path")
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    found = _listing(spark, path)
-    return [] if found is None else sorted(row["path"] for row in found.collect())
-
-
 def any_files(spark: SparkSession, path: str) -> bool:
     found = _listing(spark, path)
     return found is not None and not found.isEmpty()
 
 
-def header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    return tuple(spark.read.option("header", "true").csv(file).columns)
+def header(spark: SparkSession, line: str) -> tuple[str, ...]:
+    """Column names of a header line, as Spark names them."""
+    return tuple(spark.read.option("header", "true").csv(spark.sparkContext.parallelize([line], 1)).columns)
 
 
 def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> StructType:
@@ -50,12 +43,23 @@ def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) ->
     return spark.read.options(header="true", inferSchema="true", samplingRatio=str(sampling_ratio)).csv(path).schema
 
 
-def _read_group(spark: SparkSession, files: Sequence[str], names: Sequence[str]) -> DataFrame:
-    # enforceSchema=false makes every task compare its file's header with these names, so a mismatch
-    # stops the job instead of shifting values into the wrong columns.
-    schema = StructType([StructField(n, StringType()) for n in [*names, MALFORMED]])
-    options = {"header": "true", "enforceSchema": "false", "columnNameOfCorruptRecord": MALFORMED}
-    rows = spark.read.options(**options).schema(schema).csv(list(files))
+def _files(spark: SparkSession, source: str | Sequence[str]) -> DataFrameReader:
+    return spark.read.option("recursiveFileLookup", "true") if isinstance(source, str) else spark.read
+
+
+def header_lines(spark: SparkSession, source: str | Sequence[str]) -> DataFrame:
+    """``file`` and its first line that is not blank, for every file of a folder or list; found by the tasks that read them."""
+    lines = _files(spark, source).text(source if isinstance(source, str) else list(source))
+    first = lines.filter((F.trim("value") != "") & (F.col("_metadata.file_block_start") == 0))
+    numbered = first.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("_id"), "value")
+    return numbered.groupBy("file").agg(F.min_by("value", "_id").alias("line"))
+
+
+def _positions(spark: SparkSession, source: str | Sequence[str], width: int) -> DataFrame:
+    """The lines of all files, headers apart, as text columns by position. A line with another number of fields is kept whole."""
+    schema = StructType([StructField(f"_p{k}", StringType()) for k in range(width)] + [StructField(MALFORMED, StringType())])
+    reader = _files(spark, source).options(header="true", columnNameOfCorruptRecord=MALFORMED).schema(schema)
+    rows = reader.csv(source if isinstance(source, str) else list(source))
     # Tasks read a block from its start, so block and row put the rows of a file in order.
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return rows.select(
@@ -67,6 +71,34 @@ def _read_group(spark: SparkSession, files: Sequence[str], names: Sequence[str])
     )
 
 
+def _by_name(rows: DataFrame, headers: Mapping[int, Sequence[str]], width: int) -> DataFrame:
+    """Text columns by name, from columns by position and each row's header (``_header``, a fingerprint).
+
+    A header narrower than the widest makes its lines look too short; they are parsed once more by its own width.
+    """
+    whole = F.col(MALFORMED)
+    every = [F.col(f"_p{k}") for k in range(width)]
+    found: dict[str, tuple[str, list[Column]]] = {}
+    broken: list[Column] = []
+    for number, names in headers.items():
+        mine = F.col("_header") == number
+        if len(names) == width:
+            values, malformed = every, whole
+        else:
+            again = f"_again{len(broken)}"
+            schema = ", ".join(f"{quoted(f'_q{k}')} string" for k in range(len(names)))
+            parsed = F.from_csv(whole, f"{schema}, {MALFORMED} string", {"columnNameOfCorruptRecord": MALFORMED})
+            rows = rows.withColumn(again, F.when(mine & whole.isNotNull(), parsed))
+            one = whole.isNull()  # as many fields as the widest header has: too many for this one
+            values = [F.when(one, every[k]).otherwise(F.col(again)[f"_q{k}"]) for k in range(len(names))]
+            malformed = F.when(one, F.to_csv(F.struct(*every))).otherwise(F.col(again)[MALFORMED])
+        broken.append(F.when(mine, malformed))
+        for name, value in zip(names, values, strict=True):
+            found.setdefault(name.lower(), (name, []))[1].append(F.when(mine, value))
+    columns = [F.coalesce(*values).alias(name) for name, values in found.values()]
+    return rows.select(*columns, F.coalesce(*broken).alias(MALFORMED), "_source_file", "_changed_at", "_source_block", "_source_row")
+
+
 def _extra(names: Sequence[str], types: Mapping[str, str]) -> list[str]:
     """Columns outside the contract. Names differing only in case are the same column, as elsewhere in Spark."""
     taken, extra = {*types, *METADATA, MALFORMED}, []
@@ -94,28 +126,35 @@ def _shape(rows: DataFrame, types: Mapping[str, str], load_type: str) -> DataFra
     return rows.selectExpr(*known, *extra, *load)
 
 
-def by_header(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(8) as pool:
-        for file, names in zip(files, pool.map(lambda f: header(spark, f), files)):
-            groups.setdefault(names, []).append(file)
-    return groups
-
+def read(spark: SparkSession, source: str | Sequence[str], types: Mapping[str, str], load_type: str) -> tuple[DataFrame, list[str]]:
+    """CSV files of a folder or list in one scan, whatever their headers, and the columns outside the contract.
 
-def read_groups(
-    spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]], types: Mapping[str, str], load_type: str
-) -> DataFrame:
-    """One scan per distinct header, put together by column name."""
-    parts = [_shape(_read_group(spark, files, names), types, load_type) for names, files in groups.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part, allowMissingColumns=True)
-    return result
+    Tasks find each file's header; one row for each distinct one comes back. Where there are several, rows are told apart by their
+    file's fingerprint. Jobs that find the headers run while the frame is built.
+    """
+    stored = scratch_dir(spark, "headers")
+    header_lines(spark, source).withColumn("_header", F.xxhash64("line")).write.parquet(stored)
+    lines = spark.read.schema("file string, line string, _header long").parquet(stored)
+    kinds = lines.groupBy("_header").agg(F.min("file").alias("file"), F.min("line").alias("line")).orderBy("file").collect()
+    with ThreadPoolExecutor(8) as pool:
+        names = dict(zip([k["_header"] for k in kinds], pool.map(lambda k: header(spark, k["line"]), kinds), strict=True))
+    if not names:
+        nothing = spark.createDataFrame([], f"{MALFORMED} string, _source_file string, _changed_at timestamp, _source_block long, _source_row long")
+        return _shape(nothing, types, load_type), []
+    width = max(map(len, names.values()))
+    rows = _positions(spark, source, width)
+    if len(names) > 1:
+        # One row for each file.
+        rows = rows.join(lines.select(F.col("file").alias("_source_file"), "_header"), "_source_file")
+    else:
+        rows = rows.withColumn("_header", F.lit(next(iter(names))))
+    rows = _by_name(rows, names, width)
+    return _shape(rows, types, load_type), _extra(rows.columns, types)
 
 
 def land(
     spark: SparkSession,
-    files: Sequence[str],
+    source: str | Sequence[str],
     entity: str,
     load_type: str,
     write: Callable[[DataFrame], None],
@@ -123,20 +162,8 @@ def land(
 ) -> list[str]:
     """Read files by column name and pass them to ``write``, which must replace what an earlier attempt left.
 
-    Files of one load nearly always share a header. Many files are therefore first read in one scan in which
-    every task checks its header against the first file's; the headers are looked up one by one only if that
-    scan fails. Returns the columns outside the contract.
+    Returns the columns outside the contract.
     """
-    types = types or CONTRACTS[entity]
-    optimistic = len(files) > FEW_FILES
-    groups = {header(spark, files[0]): list(files)} if optimistic else by_header(spark, files)
-    rows = read_groups(spark, groups, types, load_type)
-    try:
-        write(rows)
-    except Exception:
-        groups = by_header(spark, files) if optimistic else groups
-        if not optimistic or len(groups) == 1:
-            raise
-        rows = read_groups(spark, groups, types, load_type)
-        write(rows)
-    return _extra(rows.columns, types)
+    rows, extra = read(spark, source, types or CONTRACTS[entity], load_type)
+    write(rows)
+    return extra

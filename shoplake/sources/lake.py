@@ -14,9 +14,11 @@ from pyspark.sql.utils import AnalysisException
 
 from shoplake.config import FULL_LOAD, contract_ddl, full_load_path
 from shoplake.functions.shape import quoted
+from shoplake.functions.types import STATE, merged, states, type_of
 from shoplake.operators.quality import observe
 from shoplake.operators.skew import heavy_keys
 from shoplake.plans.medallion import BUCKETED, TABLES, Table, make, upserted
+from shoplake.session import glob, remove
 from shoplake.sources import csv
 
 #: Tables that are written at the same time.
@@ -47,24 +49,41 @@ class Lake:
             raise
 
     # --- bronze -----------------------------------------------------------------------------------------------------
-    def note_extra(self, entity: str, load: str, names: Sequence[str]) -> None:
-        """Remember columns that arrived outside the contract, so that readers need not open every file for them."""
-        if names:
-            rows = self.spark.createDataFrame([(n,) for n in names], "column_name string").coalesce(1)
-            rows.write.mode("overwrite").parquet(self.path("bronze", entity, "columns", load))
+    def note_extra(self, entity: str, load: str, names: Sequence[str], landed: str) -> None:
+        """Remember the columns of a load that are outside the contract, and the state of their types, so that readers need not open
+        any file for them. Only those columns of the landed rows are read."""
+        if not names:
+            return
+        schema = ", ".join(f"{quoted(n)} string" for n in names)
+        # Columns are read under plain names, as their own may hold dots.
+        plain = [f"_c{k}" for k in range(len(names))]
+        rows = self.spark.read.schema(schema).parquet(landed).toDF(*plain).agg(F.explode(states(plain)).alias("x"))
+        named = F.element_at(F.create_map(*(F.lit(x) for pair in zip(plain, names, strict=True) for x in pair)), F.col("x.column_name"))
+        rows.select(named.alias("column_name"), "x.state.*").coalesce(1).write.mode("overwrite").parquet(self.path("bronze", entity, "columns", load))
 
-    def extra_columns(self, entity: str) -> list[str]:
+    def column_types(self, entity: str) -> dict[str, str]:
+        """Columns outside the contract, by the types that all loads so far agree on. Types widen as loads come, and never narrow."""
         path = self.path("bronze", entity, "columns")
         if not self.has(path):
-            return []
-        noted = self.spark.read.schema("column_name string").option("recursiveFileLookup", "true").parquet(path)
+            return {}
+        noted = self.spark.read.schema(f"column_name string, {STATE}").option("recursiveFileLookup", "true").parquet(path)
         # Names that differ in case only are one column, as elsewhere in Spark.
-        first = noted.groupBy(F.lower("column_name").alias("n")).agg(F.min("column_name").alias("column_name"))
-        return sorted(r["column_name"] for r in first.collect())
+        first = noted.groupBy(F.lower("column_name").alias("n")).agg(F.min("column_name").alias("column_name"), *merged())
+        return {r["column_name"]: type_of(r.asDict()) for r in sorted(first.collect(), key=lambda r: r["column_name"])}
+
+    def extra_columns(self, entity: str) -> list[str]:
+        return list(self.column_types(entity))
 
     def bronze_schema(self, entity: str) -> str:
         return ", ".join([contract_ddl(entity), *(f"{quoted(c)} string" for c in self.extra_columns(entity))])
 
+    def inferred(self, entity: str) -> DataFrame:
+        """``bronze``, with the columns outside the contract in the types found for them. They are stored as text, so rows of earlier
+        loads are read in a type that was widened since."""
+        types = {name.lower(): kind for name, kind in self.column_types(entity).items()}
+        rows = self.bronze(entity)
+        return rows.selectExpr(*(f"try_cast(trim({quoted(c)}) AS {types[c.lower()]}) AS {quoted(c)}" if types.get(c.lower(), "string") != "string" else quoted(c) for c in rows.columns))
+
     def rescued(self, entity: str) -> DataFrame:
         """Per load and source file, the rows that held something their types or header had no place for."""
         found = self.bronze(entity).filter("_rescued IS NOT NULL")
@@ -79,22 +98,87 @@ class Lake:
         target, mark = self.path("bronze", entity, "full"), self.path("bronze", entity, "full_loaded")
         if self.has(mark):
             return False
-        files = csv.list_files(self.spark, full_load_path(base, entity))
-        if not files:
+        source = full_load_path(base, entity)
+        if not csv.any_files(self.spark, source):
             return False
-        extra = csv.land(self.spark, files, entity, FULL_LOAD, lambda df: df.write.mode("overwrite").parquet(target))
-        self.note_extra(entity, "full", extra)
+        extra = csv.land(self.spark, source, entity, FULL_LOAD, lambda df: df.write.mode("overwrite").parquet(target))
+        self.note_extra(entity, "full", extra, target)
         self.spark.range(1).coalesce(1).write.mode("overwrite").parquet(mark)
         return True
 
+    def _manifest(self, entity: str) -> tuple[int, int]:
+        """Number of the newest complete compaction of an entity's batches, and the last batch in it (-1 where there is none)."""
+        marks = self.path("bronze", entity, "compacted")
+        if not self.has(marks):
+            return -1, -1
+        found = self.spark.read.schema("version int, last_batch int").option("recursiveFileLookup", "true").parquet(marks)
+        newest = found.orderBy(F.col("version").desc()).first()
+        return newest["version"], newest["last_batch"]
+
+    def _batches(self, entity: str, schema: str, after: int, upto: int | None = None) -> DataFrame | None:
+        path = self.path("bronze", entity, "incremental")
+        if not self.has(path):
+            return None
+        # The number is a folder name, so batches outside are not opened.
+        kept = F.col("batch_id") > after if upto is None else F.col("batch_id").between(after + 1, upto)
+        return self.spark.read.schema(f"{schema}, batch_id int").parquet(path).filter(kept).drop("batch_id")
+
+    def _incremental(self, entity: str, schema: str, upto: int | None = None) -> list[DataFrame]:
+        """The newest compaction and the batches that came since, those up to one or all."""
+        version, last = self._manifest(entity)
+        later = self._batches(entity, schema, last, upto)
+        base = self.spark.read.schema(schema).parquet(self.path("bronze", entity, "base", f"version={version}")) if version >= 0 else None
+        return [part for part in (base, later) if part is not None]
+
     def bronze(self, entity: str) -> DataFrame:
         """Backfilled and incremental rows of an entity as one table; empty if nothing arrived yet."""
         schema = self.bronze_schema(entity)
-        folders = [p for p in (self.path("bronze", entity, "full"), self.path("bronze", entity, "incremental")) if self.has(p)]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        parts = [self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(p) for p in folders]
-        return reduce(DataFrame.unionByName, parts)
+        full = self.path("bronze", entity, "full")
+        parts = [self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(full)] if self.has(full) else []
+        parts += self._incremental(entity, schema)
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema)
+
+    def compact_bronze(self, entity: str) -> bool:
+        """Fold an entity's many small batches into files of even size that ``bronze`` reads in their place.
+
+        The manifest names the folded files and the last batch in them, and is written last: an interrupted compaction changes
+        nothing, and a batch that arrives meanwhile has a higher number and is read beside them. Batch folders stay, for
+        the streams that read them.
+        """
+        path = self.path("bronze", entity, "incremental")
+        if not self.has(path):
+            return False
+        version, last = self._manifest(entity)
+        newest = self.spark.read.schema("batch_id int, _load_type string").parquet(path).agg(F.max("batch_id")).first()[0]
+        if newest is None or newest <= last:
+            return False
+        rows = reduce(DataFrame.unionByName, self._incremental(entity, self.bronze_schema(entity), upto=newest))
+        rows.hint("rebalance").write.mode("overwrite").parquet(self.path("bronze", entity, "base", f"version={version + 1}"))
+        mark = self.spark.createDataFrame([(version + 1, newest)], "version int, last_batch int").coalesce(1)
+        mark.write.mode("overwrite").parquet(self.path("bronze", entity, "compacted", f"version={version + 1}"))
+        return True
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove versions of stored tables, compactions, snapshots and histories but the newest ``keep``; returns what was removed.
+
+        Marks stay, and so does a version without a mark, which a running job may be writing. A reader that began on a removed
+        version fails, so keep as many as there are refreshes while the longest query runs.
+        """
+        groups = [("tables", "*", "version=*", "done"), ("bronze", "*", "base/version=*", "compacted")]
+        groups += [(kind, "*", "base/version=*", "done") for kind in ("current", "history")]
+        removed = []
+        for top, name, versions, marks in groups:
+            found: dict[str, list[tuple[int, str]]] = {}
+            done = set(glob(self.spark, self.path(top, name, marks, "version=*")))
+            for folder in glob(self.spark, self.path(top, name, versions)):
+                owner, number = folder.rsplit("/version=", 1)
+                if f"{owner.removesuffix('/base')}/{marks}/version={number}" in done:
+                    found.setdefault(owner, []).append((int(number), folder))
+            for numbered in found.values():
+                removed += [folder for _, folder in sorted(numbered)[: max(0, len(numbered) - max(keep, 1))]]
+        for folder in removed:
+            remove(self.spark, folder)
+        return removed
 
     # --- derived tables ---------------------------------------------------------------------------------------------
     def _is_bucketed(self, name: str) -> bool:

@@ -66,7 +66,7 @@ def start_staging(lake: Lake, entity: str, landing: str, files_per_batch: int =
             return
         target = lake.path("staging", entity, f"batch_id={number}")
         extra = csv.land(spark, files, entity, INCREMENT, lambda df: df.write.mode("overwrite").parquet(target))
-        lake.note_extra(entity, f"batch_id={number}", extra)
+        lake.note_extra(entity, f"batch_id={number}", extra, target)
 
     return _start(names, lake.path("checkpoints", entity, "staging"), batch, f"{entity}_staging")
 
@@ -126,39 +126,51 @@ def _backfilled(lake: Lake, entity: str) -> bool:
     return lake.has(lake.path("bronze", entity, "full_loaded"))
 
 
-def _merged(lake: Lake, entity: str) -> DataFrame:
-    version, last_batch, with_full = _snapshot(lake, entity)
-    schema = lake.bronze_schema(entity)
+def _last_batch(lake: Lake, entity: str, since: int) -> int:
+    """Number of the newest batch of changes."""
     changes = lake.path("current", entity, "changes")
+    if not lake.has(changes):
+        return since
+    # The batch number is a folder name, so this reads no data.
+    newest = lake.spark.read.schema("batch_id int, _load_type string").parquet(changes).agg(F.max("batch_id")).first()[0]
+    return since if newest is None else max(newest, since)
+
+
+def _merged(lake: Lake, entity: str, snapshot: tuple[int, int, bool], upto: int, backfilled: bool) -> DataFrame:
+    """A snapshot with the changes up to a batch, and with the backfill if that came since."""
+    version, last_batch, with_full = snapshot
+    schema = lake.bronze_schema(entity)
     parts = []
     if version >= 0:
         parts.append(lake.spark.read.schema(schema).parquet(lake.path("current", entity, "base", f"version={version}")))
-    # A backfill may arrive after a snapshot was taken.
-    if not with_full and _backfilled(lake, entity):
+    if backfilled and not with_full:
         parts.append(lake.spark.read.schema(schema).parquet(lake.path("bronze", entity, "full")))
-    if lake.has(changes):
-        later = lake.spark.read.schema(f"{schema}, batch_id int").parquet(changes).filter(F.col("batch_id") > last_batch)
-        parts.append(later.drop("batch_id"))
+    if upto > last_batch:
+        later = lake.spark.read.schema(f"{schema}, batch_id int").parquet(lake.path("current", entity, "changes"))
+        parts.append(later.filter(F.col("batch_id").between(last_batch + 1, upto)).drop("batch_id"))
     if not parts:
         return lake.spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
+def _current(lake: Lake, entity: str) -> tuple[DataFrame, tuple[int, int, bool]]:
+    """The current state, and what it was made of: version of the snapshot, last batch, whether the backfill is in it."""
+    snapshot, backfilled = _snapshot(lake, entity), _backfilled(lake, entity)
+    upto = _last_batch(lake, entity, snapshot[1])
+    rows = keep_latest_known(_merged(lake, entity, snapshot, upto, backfilled), KEYS[entity])
+    return rows, (snapshot[0], upto, backfilled or snapshot[2])
+
+
 def current(lake: Lake, entity: str) -> DataFrame:
     """One row per key: the newest of the last snapshot and what came since. Rows without a complete key all stay."""
-    return keep_latest_known(_merged(lake, entity), KEYS[entity])
+    return _current(lake, entity)[0]
 
 
 def compact_current(lake: Lake, entity: str) -> None:
-    """Fold the changes into a new snapshot. Readers move on once its mark, written last, is there."""
-    version, last_batch, _ = _snapshot(lake, entity)
-    backfilled = _backfilled(lake, entity)
-    changes = lake.path("current", entity, "changes")
-    if lake.has(changes):
-        # The batch number is a folder name, so this reads no data.
-        newest = lake.spark.read.schema("batch_id int, _load_type string").parquet(changes).agg(F.max("batch_id")).first()[0]
-        last_batch = last_batch if newest is None else max(newest, last_batch)
+    """Fold the changes into a new snapshot. Readers move on once its mark, written last, is there. The mark names what was read, so
+    a batch or backfill that lands meanwhile is taken in after it."""
+    rows, (version, last_batch, backfilled) = _current(lake, entity)
     version += 1
-    current(lake, entity).write.mode("overwrite").parquet(lake.path("current", entity, "base", f"version={version}"))
+    rows.write.mode("overwrite").parquet(lake.path("current", entity, "base", f"version={version}"))
     mark = lake.spark.createDataFrame([(version, last_batch, backfilled)], "version int, last_batch int, backfilled boolean").coalesce(1)
     mark.write.mode("overwrite").parquet(lake.path("current", entity, "done", f"version={version}"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shoplake.config import ENTITIES, KEYS, full_load_path, staging_path
 from shoplake.functions.shape import publish
 from shoplake.operators.history import END, START, scd2
-from shoplake.session import scratch_dir
+from shoplake.session import glob, scratch_dir, set_times
 from shoplake.sources.lake import Lake, compact
 from shoplake.sources.sample_views import raw_entity, reader
 from shoplake.streaming.flows import compact_current, current, ingest, upsert
@@ -29,6 +29,7 @@ class Trial:
         base = scratch_dir(spark, "flow")
         self.lake = Lake(spark, f"{base}/lake")
         self.full, self.landing = f"{base}/full", f"{base}/landing"
+        self.aged: set[str] = set()
 
     def raw(self, entity: str) -> DataFrame:
         return raw_entity(self.read, entity)
@@ -45,14 +46,11 @@ class Trial:
         self._csv(df, staging_path(self.landing, entity), "append")
 
     def dated(self, path: str, at: dt.datetime) -> None:
-        """Give the files under a path one time of change, as a copy might; files that were given one before keep it."""
-        spark = self.lake.spark
-        files = spark.sparkContext._jvm.org.apache.hadoop.fs
-        folder = files.Path(path)
-        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for status in system.listStatus(folder):
-            if status.isFile() and status.getModificationTime() > dt.datetime.now().timestamp() * 1000 - 86_400_000:
-                system.setTimes(status.getPath(), int(at.timestamp() * 1000), -1)
+        """Give the files under a path one time of change, but those that were given one before."""
+        fresh = glob(self.lake.spark, f"{path.rstrip('/')}/part-*")
+        for file in sorted(set(fresh) - self.aged):
+            set_times(self.lake.spark, file, at.timestamp())
+        self.aged.update(fresh)
 
 
 def _landed(df: DataFrame) -> DataFrame:
@@ -227,6 +225,74 @@ def rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.lake.bronze("reviews").select("order_id", "product_id", "rating", F.col("_rescued").alias("rescued"))
 
 
+def mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as 2,000 files with three headers: as contracted, in another order, and with a column more and one fewer."""
+    t = Trial(spark, sf_dir)
+    orders = t.raw("orders")
+    turn = F.col("order_id").cast("long") % 3
+    kinds = [orders, orders.select(*sorted(orders.columns)), orders.drop("city").withColumn("channel", F.concat(F.lit("ch"), turn))]
+    for number, kind in enumerate(kinds):
+        t.send("orders", kind.filter(turn == number).repartition(668 if number else 664))
+    ingest(t.lake, t.landing, ["orders"])
+    return _landed(t.lake.bronze("orders"))
+
+
+#: Columns outside the contract, as SQL text over a session's number.
+_EXTRA = {
+    "hits": "CAST({n} % 1000 AS STRING)",
+    "fee": "CAST({n} % 50 AS STRING) || '.' || CAST({n} % 7 AS STRING)",
+    "ratio": "CAST({n} % 9 AS STRING) || 'e2'",
+    "seen": "CAST(DATE '2024-01-01' + CAST({n} % 90 AS INT) AS STRING)",
+    "badge": "'00' || CAST({n} % 10 AS STRING)",
+}
+
+
+def _with_extra(t: Trial, columns: dict[str, str]) -> DataFrame:
+    number = "CAST(session_id AS BIGINT)"
+    return t.raw("sessions").select("session_id", *(F.expr(sql.format(n=number)).alias(name) for name, sql in columns.items()))
+
+
+def _typed(t: Trial) -> DataFrame:
+    """The inferred columns, each with the name of its type."""
+    found = t.lake.inferred("sessions")
+    names = t.lake.extra_columns("sessions")
+    return publish(found.select("session_id", *names, *(F.expr(f"typeof({n})").alias(f"{n}_type") for n in names)))
+
+
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions with five columns that no contract names, in two deliveries of which the first leaves one blank."""
+    t = Trial(spark, sf_dir)
+    rows, early = _with_extra(t, _EXTRA), F.col("session_id").cast("long") % 2 == 0
+    t.send("sessions", rows.filter(early).withColumn("seen", F.lit(None).cast("string")))
+    ingest(t.lake, t.landing, ["sessions"])
+    t.send("sessions", rows.filter(~early))
+    ingest(t.lake, t.landing, ["sessions"])
+    return _typed(t)
+
+
+def type_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions whose second delivery has wider values: halves among whole numbers, words among decimals."""
+    t = Trial(spark, sf_dir)
+    rows, early = _with_extra(t, {n: _EXTRA[n] for n in ("hits", "fee")}), F.col("session_id").cast("long") % 2 == 0
+    t.send("sessions", rows.filter(early))
+    ingest(t.lake, t.landing, ["sessions"])
+    t.send("sessions", rows.filter(~early).withColumns({"hits": F.concat("hits", F.lit(".5")), "fee": F.concat(F.lit("n/a "), "fee")}))
+    ingest(t.lake, t.landing, ["sessions"])
+    return _typed(t)
+
+
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk records in four batches: three are folded in two steps, the last arrives after them."""
+    t = Trial(spark, sf_dir)
+    records, turn = t.raw("risk_support").drop("load_seq"), F.pmod(F.xxhash64("risk_id"), F.lit(4))
+    for number in range(4):
+        t.send("risk_support", records.filter(turn == number).repartition(8))
+        ingest(t.lake, t.landing, ["risk_support"])
+        if number in (1, 2):
+            t.lake.compact_bronze("risk_support")
+    return _landed(t.lake.bronze("risk_support"))
+
+
 def compacted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "compact")
     raw_entity(reader(spark, sf_dir), "orders").repartition(32).write.parquet(f"{base}/small")
@@ -278,6 +344,10 @@ QUERIES = {
     "bronze_schema_evolution": schema_evolution,
     "bronze_fan_in": fan_in,
     "bronze_rescued": rescued,
+    "bronze_mixed_headers": mixed_headers,
+    "bronze_inferred_types": inferred_types,
+    "bronze_type_widened": type_widened,
+    "bronze_compacted": bronze_compacted,
     "scd1_stream": upsert_stream,
     "scd1_stream_one_batch": corrections_in_one_batch,
     "scd1_stream_late_backfill": late_backfill,

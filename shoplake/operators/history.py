@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from shoplake.config import METADATA
 from shoplake.operators.dedup import CHANGED, INGESTED, LOADED, change_time, keep_latest_known, precedence, time_order
-from shoplake.operators.skew import cut_points, heavy_keys, is_any, key_code, time_range
+from shoplake.operators.skew import cut_points, heavy_keys, is_any, key_code, slices_of, time_range
 
 START, END = "__start_date", "__end_date"
 #: Kept beside a stored history's columns: whether a row opens a version, and whether it no longer counts.
 SHOWN, GONE = "_shown", "_gone"
 MARKS = (START, END, SHOWN, GONE, "_was")
-PIECES = 64
+#: Time ranges of a heavy key: at least so many, and at most as the percentiles behind them can tell apart.
+PIECES, MOST_PIECES = 64, 4096
 #: Before any time; rows without a time come first.
 NEVER = dt.datetime(1, 1, 1)
 
@@ -36,6 +37,11 @@ def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | N
     return df.filter(~picked), df.filter(picked)
 
 
+def _pieces(df: DataFrame) -> int:
+    """How many time ranges the rows of heavy keys are cut into, so that even if all had one key a range would fit a task."""
+    return min(MOST_PIECES, max(PIECES, *slices_of(df, {None: df.count()}).values()))
+
+
 def _ranged(df: DataFrame, keys: Sequence[str], ts: str, cuts: DataFrame) -> DataFrame:
     # cuts has at most one row per heavy key, a bounded number, so it is safe to send to every task.
     same = [df[k].eqNullSafe(cuts[k]) for k in keys]
@@ -124,7 +130,7 @@ def _versions(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: st
 def _versions_in_ranges(df: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
     """The same for keys too heavy for one task: time ranges are worked on side by side, then stitched."""
     single = _last_of_instant(_before_increments(df, keys, ts), keys, ts)
-    ranged = _ranged(single, keys, ts, cut_points(single, keys, ts, PIECES))
+    ranged = _ranged(single, keys, ts, cut_points(single, keys, ts, _pieces(single)))
     w = Window.partitionBy(*keys, "_range").orderBy(F.col(ts).asc_nulls_first())
     across = Window.partitionBy(*keys).orderBy("_range")
     state = F.struct(*tracked)
@@ -184,7 +190,7 @@ def _timeline_in_ranges(df: DataFrame, keys: Sequence[str], tracked: Sequence[st
     """The same for keys too heavy for one task."""
     live = _before_increments(df, keys, ts)
     single = _last_of_instant(live, keys, ts)
-    ranged = _ranged(single, keys, ts, cut_points(single, keys, ts, PIECES)).withColumn("_state", F.struct(*tracked))
+    ranged = _ranged(single, keys, ts, cut_points(single, keys, ts, _pieces(single))).withColumn("_state", F.struct(*tracked))
     w = Window.partitionBy(*keys, "_range").orderBy(F.col(ts).asc_nulls_first())
     back = Window.partitionBy(*keys, "_range").orderBy(F.col(ts).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy(*keys).orderBy("_range")
@@ -277,7 +283,7 @@ def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str) ->
     w = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     seen = usual.withColumn("_valid", F.last("_version", ignorenulls=True).over(w))
     if heavy is not None:
-        ranged = _ranged(heavy, keys, "_at", cut_points(heavy, keys, "_at", PIECES))
+        ranged = _ranged(heavy, keys, "_at", cut_points(heavy, keys, "_at", _pieces(heavy)))
         earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
         carried = _from_neighbour(
             ranged,

@@ -4,26 +4,31 @@ Adaptive execution splits skewed partitions only where both join inputs are plai
 star schema are mostly against an aggregate, which it leaves alone, so heavy keys are found first (one pass with a
 bounded sketch) and routed around the shuffle. Without heavy keys the plain join is planned.
 
-Thresholds are session settings: ``shoplake.skew.minRows`` (a key with fewer rows is never heavy) and
-``shoplake.skew.share`` (nor is one with a smaller share of the table).
+Settings: ``shoplake.skew.minRows`` (a key with fewer rows is never heavy), ``shoplake.skew.rowsPerTask`` (a heavy key is cut into as
+many slices as keep one task to that many rows), ``shoplake.skew.ways`` (but into that many at least). The limit is a number of rows and does not
+rise with the table; ``shoplake.skew.share`` may add one that does, and is off unless set.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from math import ceil
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 MIN_ROWS = "shoplake.skew.minRows"
 SHARE = "shoplake.skew.share"
-# Slices a heavy key is spread over where both sides have to be shuffled.
+ROWS_PER_TASK = "shoplake.skew.rowsPerTask"
+# Slices that a heavy key is cut into at least.
 WAYS = "shoplake.skew.ways"
 
-MAX_HEAVY = 2000
-SKETCH_ITEMS = 16384
+# Of 20,000 keys with 5,000,000 rows each, which is 10**11 rows, the sketch still tells each one apart.
+MAX_HEAVY = 20_000
+SKETCH_ITEMS = 65_536
 SEEN = 50_000
 
 
@@ -31,8 +36,8 @@ def _setting(df: DataFrame, name: str, default: float) -> float:
     return float(df.sparkSession.conf.get(name, str(default)))
 
 
-def heavy_keys(df: DataFrame, *keys: Column | str) -> list[list[Any]]:
-    """For each key expression, the values (NULL included) that hold too many rows for one task.
+def heavy_counts(df: DataFrame, *keys: Column | str) -> list[dict[Any, int]]:
+    """For each key expression, the values (NULL included) that hold too many rows for one task, with about how many they hold.
 
     One job for all keys. A frequent-item sketch keeps a fixed number of entries per key, never underestimates a
     count, and merges without shuffling the keys; at most ``MAX_HEAVY`` values come back. Only statistics are
@@ -48,8 +53,19 @@ def heavy_keys(df: DataFrame, *keys: Column | str) -> list[list[Any]]:
     if part < 1:
         picked = picked.sample(part, seed=7)
     row = picked.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    limit = max(min_rows * part, _setting(df, SHARE, 1 / MAX_HEAVY) * row["_rows"])
-    return [[entry["item"] for entry in row[n] or [] if entry["count"] > limit] for n in names]
+    limit = max(min_rows * part, _setting(df, SHARE, 0) * row["_rows"])
+    return [{entry["item"]: ceil(entry["count"] / part) for entry in row[n] or [] if entry["count"] > limit} for n in names]
+
+
+def heavy_keys(df: DataFrame, *keys: Column | str) -> list[list[Any]]:
+    """``heavy_counts`` without the counts."""
+    return [list(found) for found in heavy_counts(df, *keys)]
+
+
+def slices_of(df: DataFrame, counts: Mapping[Any, int]) -> dict[Any, int]:
+    """How many slices each heavy key is cut into."""
+    rows, least = max(_setting(df, ROWS_PER_TASK, 5_000_000), 1), int(_setting(df, WAYS, 8))
+    return {value: max(least, ceil(count / rows)) for value, count in counts.items()}
 
 
 def is_any(key: Column, values: Sequence[Any]) -> Column:
@@ -59,75 +75,89 @@ def is_any(key: Column, values: Sequence[Any]) -> Column:
     return test | key.isNull() if len(known) < len(values) else test
 
 
-def enrich(left: DataFrame, rights: Sequence[DataFrame], key: str, heavy: Sequence[Any] | None = None) -> DataFrame:
-    """Left-join tables that hold at most one row per ``key`` (dimension rows or per-key aggregates).
+def _with_ways(df: DataFrame, key: str, ways: Mapping[Any, int], name: str) -> DataFrame:
+    """``df`` with the number of slices of each row's key; the map has at most ``MAX_HEAVY`` rows, so every task gets it."""
+    schema = StructType([StructField("_heavy", df.schema[key].dataType), StructField(name, LongType())])
+    small = df.sparkSession.createDataFrame([*ways.items()], schema)
+    joined = df.join(F.broadcast(small), F.col(key).eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
+    return joined.withColumn(name, F.coalesce(name, F.lit(1).cast("long")))
 
-    Rows of heavy keys are not shuffled: the few matching right rows (no more than the heavy keys, so at most
-    ``MAX_HEAVY``) are broadcast to them. All other rows take the ordinary join.
-    """
-    if heavy is None:
-        (heavy,) = heavy_keys(left, key)
 
-    def attach(rows: DataFrame, tables: Sequence[DataFrame]) -> DataFrame:
-        for table in tables:
-            rows = rows.join(table, key, "left")
-        return rows
+def _slice(columns: Sequence[str], ways: Column) -> Column:
+    # The partition number separates identical rows; unlike a random number or row counter it does not depend on
+    # the order of rows within a partition, so a recomputed task assigns the same slices.
+    return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), ways)
 
-    if not heavy:
-        return attach(left, rights)
-    picked = is_any(F.col(key), heavy)
-    known = [v for v in heavy if v is not None]
-    usual = attach(left.filter(~picked), [r.filter(~is_any(F.col(key), known)) for r in rights])
-    spread = attach(left.filter(picked), [F.broadcast(r.filter(is_any(F.col(key), known))) for r in rights])
-    return usual.unionByName(spread)
 
+def _cut(df: DataFrame, key: str, ways: Mapping[Any, int], name: str) -> DataFrame:
+    """Rows of heavy keys dealt over their slices; all others are in slice 0."""
+    if not ways:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    columns = df.columns
+    return _with_ways(df, key, ways, "_ways").withColumn(name, _slice(columns, F.col("_ways"))).drop("_ways")
 
-def _slice(df: DataFrame, ways: int) -> Column:
-    # The partition number separates identical rows; unlike a random number or row counter it does not depend on
-    # the order of rows within a partition, so a recomputed task assigns the same slices.
-    return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(ways)).cast("int")
+
+def _copied(df: DataFrame, key: str, ways: Mapping[Any, int], name: str) -> DataFrame:
+    """A copy of a row for each slice that its key has on the other side. A NULL key matches nothing and is not copied."""
+    known = {value: n for value, n in ways.items() if value is not None}
+    if not known:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    counted = _with_ways(df, key, known, "_ways")
+    return counted.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_ways") - 1))).drop("_ways")
+
+
+def enrich(left: DataFrame, rights: Sequence[DataFrame], key: str, heavy: Sequence[Any] | None = None) -> DataFrame:
+    """Left-join tables that hold at most one row per ``key`` (dimension rows or per-key aggregates).
+
+    Heavy keys are cut into slices on the left, and the one right row of each is copied for every slice, so all
+    inputs are read once. Copies number as many as slices, which the rows of the left bound. Finding heavy keys is a job that
+    runs while the frame is built, unless ``heavy`` names them.
+    """
+    if heavy is None:
+        (counts,) = heavy_counts(left, key)
+    else:
+        counts = dict.fromkeys(heavy, 0)
+    if not counts:
+        for table in rights:
+            left = left.join(table, key, "left")
+        return left
+    ways = slices_of(left, counts)
+    made = _cut(left, key, ways, "_slice")
+    for table in rights:
+        made = made.join(_copied(table, key, ways, "_slice"), [key, "_slice"], "left")
+    return made.drop("_slice")
 
 
 def scatter_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", search: bool = True) -> DataFrame:
     """Left or inner equi-join in which ``key`` may repeat on both sides.
 
     Keys heavy on the left are cut into slices there and copied per slice on the right; keys heavy on the right
-    the other way round, as an inner join, because a heavy right key certainly has its match. Every matching pair
-    meets in exactly one slice. ``search=False`` is for inputs known to have no heavy keys.
+    the other way round. Every matching pair meets in exactly one pair of slices, and each input is read once. A left row that is
+    copied, because its key is heavy on the right, has its match in some slice; where it meets none, it is not kept
+    as unmatched. ``search=False`` is for inputs known to have no heavy keys. Finding them is a job on either side that runs while
+    the frame is built.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     if not search:
         return left.join(right, key, how)
     with ThreadPoolExecutor(2) as pool:
-        (left_heavy,), (right_heavy,) = pool.map(lambda side: heavy_keys(side, key), (left, right))
-    left_known = [v for v in left_heavy if v is not None]
-    right_known = [v for v in right_heavy if v is not None]
-    if not left_heavy and not right_known:
+        (left_counts,), (right_counts,) = pool.map(lambda side: heavy_counts(side, key), (left, right))
+    left_ways = slices_of(left, left_counts)
+    right_ways = slices_of(right, {value: n for value, n in right_counts.items() if value is not None})
+    if not left_ways and not right_ways:
         return left.join(right, key, how)
-
-    ways = int(_setting(left, WAYS, 64))
-    every = F.sequence(F.lit(0), F.lit(ways - 1))
-    once = F.array(F.lit(0))
-    k = F.col(key)
-
-    def cut(df: DataFrame, values: Sequence[Any], name: str) -> DataFrame:
-        return df.withColumn(name, F.when(is_any(k, values), _slice(df, ways)).otherwise(F.lit(0)))
-
-    def copied(df: DataFrame, values: Sequence[Any], name: str) -> DataFrame:
-        return df.withColumn(name, F.explode(F.when(is_any(k, values), every).otherwise(once)))
-
-    usual = cut(left.filter(~is_any(k, right_known)), left_heavy, "_slice").join(
-        copied(right.filter(~is_any(k, right_known)), left_known, "_slice"), [key, "_slice"], how
-    )
-    parts = usual.drop("_slice")
-    if right_known:
-        both = [v for v in left_known if v in set(right_known)]
-        l_side = copied(cut(left.filter(is_any(k, right_known)), both, "_slice"), right_known, "_part")
-        r_side = copied(cut(right.filter(is_any(k, right_known)), right_known, "_part"), both, "_slice")
-        met = l_side.join(r_side, [key, "_slice", "_part"], "inner").drop("_slice", "_part")
-        parts = parts.unionByName(met)
-    return parts
+    names = [key, *(n for n, used in (("_slice", left_ways), ("_part", right_ways)) if used)]
+    l_side, r_side = left, right
+    if left_ways:
+        l_side, r_side = _cut(l_side, key, left_ways, "_slice"), _copied(r_side, key, left_ways, "_slice")
+    if right_ways:
+        l_side, r_side = _copied(l_side, key, right_ways, "_part"), _cut(r_side, key, right_ways, "_part")
+    if not right_ways or how == "inner":
+        return l_side.join(r_side, names, how).drop("_slice", "_part")
+    copied = _with_ways(l_side, key, right_ways, "_copies").withColumn("_copy", F.col("_copies") > 1).drop("_copies")
+    met = copied.join(r_side.withColumn("_met", F.lit(True)), names, how)
+    return met.filter(F.col("_met") | ~F.col("_copy")).drop("_slice", "_part", "_met", "_copy")
 
 
 def key_code(keys: Sequence[str]) -> Column:

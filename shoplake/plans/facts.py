@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shoplake.functions import rules as r
 from shoplake.operators.dedup import newest
-from shoplake.operators.skew import enrich, heavy_keys, is_any, scatter_join
+from shoplake.operators.skew import enrich, heavy_keys, scatter_join
 
 # Band limits and labels.
 FRAUD_LEVELS = ((70, "high"), (40, "medium"))
@@ -34,17 +34,13 @@ def order_line_totals(items: DataFrame, laid_out: bool = False) -> DataFrame:
     """Amounts and counts per order.
 
     A distinct count normally shuffles every line by (order, product) and again by order. Lines of ordinary orders are
-    laid out by order once instead, which serves both steps and the join that follows; orders too heavy for
-    one task keep the two-step plan.
+    laid out by order once instead, which serves both steps and the join that follows. With an order too heavy for
+    one task all keep the two-step plan, which reduces lines to products before they meet.
     """
     if laid_out:
         return _line_totals(items)
     (heavy,) = heavy_keys(items, "order_id")
-    if not heavy:
-        return _line_totals(items.repartition("order_id"))
-    picked = is_any(F.col("order_id"), heavy)
-    usual = _line_totals(items.filter(~picked).repartition("order_id"))
-    return usual.unionByName(_line_totals(items.filter(picked)))
+    return _line_totals(items if heavy else items.repartition("order_id"))
 
 
 def fact_orders(

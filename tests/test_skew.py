@@ -199,3 +199,57 @@ def test_results_do_not_depend_on_partitioning(spark, partitions):
         assert rows(publish(Sample(spark, SF)["agg_daily_sales"])) == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_the_limit_does_not_rise_with_the_table(spark):
+    """One key of 30,000 rows is found among 40,000 rows and among 400,000."""
+    spark.conf.set(skew.MIN_ROWS, "20000")
+    try:
+        for n in (40_000, 400_000):
+            df = spark.range(n).select(F.when(F.col("id") < 30_000, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+            (found,) = skew.heavy_counts(df, "k")
+            assert list(found) == [-1] and 29_000 < found[-1] < 31_000
+    finally:
+        spark.conf.unset(skew.MIN_ROWS)
+
+
+def test_slices_follow_the_rows_of_a_key(spark):
+    df = spark.range(1)
+    spark.conf.set(skew.ROWS_PER_TASK, "1000")
+    try:
+        assert skew.slices_of(df, {"a": 10, "b": 64_001, None: 10**9}) == {"a": 8, "b": 65, None: 10**6}
+    finally:
+        spark.conf.unset(skew.ROWS_PER_TASK)
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+
+
+def all_heavy(monkeypatch):
+    """Whatever the table, its keys 1 and 3 count as heavy on both sides."""
+    monkeypatch.setattr(skew, "heavy_counts", lambda df, *keys: [{"1": 10, "3": 10} for _ in keys])
+
+
+@pytest.mark.parametrize("name", ["fact_orders", "fact_order_items", "fact_shipping", "agg_customer_metrics", "agg_daily_sales"])
+def test_tables_are_read_once_with_heavy_keys_too(spark, monkeypatch, name):
+    first = Sample(spark, SF)[name]
+    plain, expected = scans(first), rows(publish(first))
+    all_heavy(monkeypatch)
+    made = Sample(spark, SF)[name]
+    # Customers' metrics need no shipments; Spark drops that join only while it sees that their keys are distinct, so not of copies.
+    assert scans(made) == plain + (name == "agg_customer_metrics")
+    assert "_ways" in made._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(publish(made)) == expected
+
+
+def test_fraud_report_reads_tables_once_with_heavy_keys(spark, monkeypatch):
+    from shoplake.plans import reports
+
+    def made():
+        s = Sample(spark, SF)
+        return reports.fraud_orders(s["fact_orders"], s["risk_support_silver"])
+
+    plain, expected = scans(made()), rows(made())
+    all_heavy(monkeypatch)
+    assert scans(made()) == plain and rows(made()) == expected

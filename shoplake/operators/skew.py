@@ -122,9 +122,11 @@ def enrich(left: DataFrame, rights: Sequence[DataFrame], key: str, heavy: Sequen
             left = left.join(table, key, "left")
         return left
     ways = slices_of(left, counts)
-    made = _cut(left, key, ways, "_slice")
+    made, names = _cut(left, key, ways, "_slice"), [key, "_slice"]
     for table in rights:
-        made = made.join(_copied(table, key, ways, "_slice"), [key, "_slice"], "left")
+        # Copies are distinct as they are; saying so lets Spark leave out a join of which no column is wanted. It costs no shuffle of
+        # its own, as the join needs the same one.
+        made = made.join(_copied(table, key, ways, "_slice").dropDuplicates(names), names, "left")
     return made.drop("_slice")
 
 

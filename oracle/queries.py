@@ -253,6 +253,14 @@ SELECT * REPLACE (CAST(session_duration_minutes AS DOUBLE) AS session_duration_m
 FROM sessions_bronze""",
         "bronze_fan_in": """
 SELECT * EXCLUDE (load_seq), CASE WHEN load_seq = 0 THEN 'full_load' ELSE 'incremental' END AS load_type FROM risk_support_bronze""",
+        "expect_stream_quarantine": """
+SELECT order_id, product_id, quantity, CAST(total_price_usd AS DOUBLE) AS total_price_usd,
+  CAST(CASE WHEN total_price_usd > 0 THEN 0 ELSE 1 END + CASE WHEN customer_id IS NOT NULL THEN 0 ELSE 2 END + CASE WHEN quantity > 0 THEN 0 ELSE 4 END
+    + CASE WHEN discount_percent <= 50 THEN 0 ELSE 8 END AS BIGINT) AS broken_mask,
+  CASE WHEN coalesce(total_price_usd > 0, FALSE) AND coalesce(quantity > 0, FALSE) THEN NULL ELSE concat_ws(',', CASE WHEN total_price_usd > 0 THEN NULL ELSE 'valid_total' END,
+    CASE WHEN customer_id IS NOT NULL THEN NULL ELSE 'has_customer' END, CASE WHEN quantity > 0 THEN NULL ELSE 'valid_quantity' END,
+    CASE WHEN discount_percent <= 50 THEN NULL ELSE 'small_discount' END) END AS quarantined_for FROM order_items_bronze""",
+        "agg_daily_sales_refreshed": _BODIES["agg_daily_sales"],
         "bronze_mixed_headers": """
 SELECT * REPLACE (CASE WHEN CAST(order_id AS BIGINT) % 3 <> 2 THEN city END AS city), CASE WHEN CAST(order_id AS BIGINT) % 3 = 2 THEN 'ch2' END AS channel,
   'incremental' AS load_type FROM orders_bronze""",

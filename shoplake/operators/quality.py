@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+#: What happens to a row that breaks a rule: it is counted, left out, or stops the job.
+WARN, DROP, FAIL = "warn", "drop", "fail"
+ACTIONS = (WARN, DROP, FAIL)
+
+
 class ExpectationError(ValueError):
     """Rows break a rule that must hold. ``failed_rows`` has their number per rule."""
 
@@ -69,3 +74,21 @@ def observe(df: DataFrame, rules: Mapping[str, Column | str], name: str = "expec
     """Warn without a pass of its own: the counts are ready in ``observation.get`` once the frame is written."""
     seen = Observation(name)
     return df.observe(seen, *_counts(rules)), seen
+
+
+def broken_mask(rules: Mapping[str, Column | str]) -> Column:
+    """One bit for each rule that a row breaks, in the order of the rules; up to 62 of them."""
+    bits = [F.when(_holds(rule), 0).otherwise(1 << k).cast("long") for k, rule in enumerate(rules.values())]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("long"))
+
+
+def apply(df: DataFrame, rules: Mapping[str, str | tuple[str, str]], name: str = "expectations") -> tuple[DataFrame, Observation]:
+    """Rules with actions in one plan: all are counted on every row, rows that break a ``drop`` rule are left out, and one that breaks a
+    ``fail`` rule stops the job that reads it. A rule without an action warns."""
+    given = {n: (rule, WARN) if isinstance(rule, str) else rule for n, rule in rules.items()}
+    if unknown := {does for _, does in given.values()} - set(ACTIONS):
+        raise ValueError(f"unknown actions {sorted(unknown)}")
+    df, seen = observe(df, {n: sql for n, (sql, _) in given.items()}, name)
+    df = enforce(df, {n: sql for n, (sql, does) in given.items() if does == FAIL})
+    dropping = [_holds(sql) for sql, does in given.values() if does == DROP]
+    return df.filter(reduce(Column.__and__, dropping)) if dropping else df, seen

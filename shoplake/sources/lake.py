@@ -15,7 +15,7 @@ from pyspark.sql.utils import AnalysisException
 from shoplake.config import FULL_LOAD, contract_ddl, full_load_path
 from shoplake.functions.shape import quoted
 from shoplake.functions.types import STATE, merged, states, type_of
-from shoplake.operators.quality import observe
+from shoplake.operators.quality import apply
 from shoplake.operators.skew import heavy_keys
 from shoplake.plans.medallion import BUCKETED, TABLES, Table, make, upserted
 from shoplake.session import glob, remove
@@ -231,13 +231,14 @@ class Lake:
         as_of: dt.date | None = None,
         upsert: bool = False,
         buckets: int = 0,
-        expectations: Mapping[str, Mapping[str, str]] | None = None,
+        expectations: Mapping[str, Mapping[str, str | tuple[str, str]]] | None = None,
     ) -> dict[str, dict[str, int]]:
         """Recompute and store tables, each from its stored inputs, so that no work is done twice. Tables that do not need each
         other are made side by side.
 
         ``expectations`` names rules per table. Rows that break one are counted while the table is written, without a pass of
-        their own; the counts are returned per table, with the row count as ``_rows``.
+        their own; the counts are returned per table, with the row count as ``_rows``. A rule may come with an action: ``drop``
+        leaves such rows out of the table, ``fail`` keeps the old version of it and raises.
 
         With ``buckets`` the silver tables that join by order are laid out by order as they are written, in place of a
         shuffle in each of the three facts that read them. A table with a heavy order id is not bucketed: one
@@ -259,7 +260,7 @@ class Lake:
             made = make(name, inputs, as_of, laid_out)
             rules = (expectations or {}).get(name)
             if rules:
-                made, seen = observe(made, rules, name)
+                made, seen = apply(made, rules, name)
             self._store(name, made, buckets)
             if rules:
                 counts[name] = seen.get

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from shoplake.config import ENTITIES, KEYS, full_load_path, staging_path
 from shoplake.functions.shape import publish
 from shoplake.operators.history import END, START, scd2
+from shoplake.plans.medallion import build
+from shoplake.plans.refresh import refresh_daily_sales, refreshed_daily_sales
 from shoplake.session import glob, scratch_dir, set_times
 from shoplake.sources.lake import Lake, compact
-from shoplake.sources.sample_views import raw_entity, reader
+from shoplake.sources.sample_views import bronze_entity, raw_entity, reader
+from shoplake.streaming.checked import check_stream, clean_rows, quarantine
 from shoplake.streaming.flows import compact_current, current, ingest, upsert
 from shoplake.streaming.histories import compact_history, history, maintain_history
 
@@ -225,6 +228,47 @@ def rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.lake.bronze("reviews").select("order_id", "product_id", "rating", F.col("_rescued").alias("rescued"))
 
 
+# Rule names.
+RULES = {
+    "valid_total": ("total_price_usd > 0", "drop"),
+    "has_customer": ("customer_id IS NOT NULL", "fail"),
+    "valid_quantity": ("quantity > 0", "drop"),
+    "small_discount": ("discount_percent <= 50", "warn"),
+}
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in two deliveries, checked as they stream: every line with the mask and names of the rules it breaks."""
+    t = Trial(spark, sf_dir)
+    lines, turn = t.raw("order_items"), F.col("order_id").cast("long") % 2 == 0
+    for part in (turn, ~turn):
+        t.send("order_items", lines.filter(part))
+        ingest(t.lake, t.landing, ["order_items"])
+        check_stream(t.lake, "order_items", RULES)
+    columns = ["order_id", "product_id", "quantity", "total_price_usd", F.col("_broken").alias("broken_mask")]
+    held = quarantine(t.lake, "order_items", RULES).select(*columns, F.concat_ws(",", "broken_rules").alias("quarantined_for"))
+    return publish(clean_rows(t.lake, "order_items").select(*columns, F.lit(None).cast("string").alias("quarantined_for")).unionByName(held))
+
+
+def daily_sales_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales by change: the facts' first version lacks some orders, has others that are gone later, and others in another state."""
+    t = Trial(spark, sf_dir)
+    made: dict[str, DataFrame] = {}
+    facts = build("fact_orders", lambda entity: bronze_entity(t.read, entity), AS_OF, made=made)
+    t.lake._store("fact_orders", facts, 0)
+    newest = t.lake.table("fact_orders")
+    turn = F.pmod(F.xxhash64("order_id"), F.lit(10))
+    gone = newest.filter(turn == 1).withColumns({"customer_id": F.lit("gone"), "order_gross_amount": F.col("order_gross_amount") + 1})
+    other = {"order_status": F.lit("pending"), "fraud_risk_score": F.lit(99.5), "order_date": F.date_sub("order_date", 1)}
+    changed = newest.filter(turn == 2).withColumns(other)
+    first = newest.filter((turn != 0) & (turn != 2)).unionByName(gone).unionByName(changed)
+    t.lake._store("fact_orders", first, 0)
+    refresh_daily_sales(t.lake)
+    t.lake._store("fact_orders", newest, 0)
+    refresh_daily_sales(t.lake)
+    return publish(refreshed_daily_sales(t.lake))
+
+
 def mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as 2,000 files with three headers: as contracted, in another order, and with a column more and one fewer."""
     t = Trial(spark, sf_dir)
@@ -356,6 +400,8 @@ QUERIES = {
     "scd2_stream": versions_in_one_batch,
     "scd2_incremental": incremental_history,
     "compacted_orders": compacted_orders,
+    "expect_stream_quarantine": stream_quarantine,
+    "agg_daily_sales_refreshed": daily_sales_refreshed,
     "stored_daily_sales": stored_daily_sales,
     "stored_lake": stored_lake,
 }

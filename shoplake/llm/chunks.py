@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shoplake.llm.common import cut, joined, mapped, slices, text_key, texts_of, words_of
 
@@ -90,7 +91,8 @@ _LATER = 1 << 62
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``row`` (all columns of ``docs``) and ``rid``: the doc_id, or a number beyond them where that is NULL or repeated.
+    """``row`` (all columns of ``docs``), ``rid``: the doc_id, or a number beyond them where that is NULL or repeated, and ``many``: whether
+    other rows may have the number too.
 
     Of several texts under one doc_id the one with the least hash has it. Rows that agree in doc_id and text share a number.
     """
@@ -98,10 +100,11 @@ def numbered(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct("*").alias("row"), doc.alias("doc"), tie.alias("tie"))
     repeated = cut(docs.groupBy(doc.alias("r")).agg(F.count("*").alias("n"), F.min(tie).alias("lead")).filter("n > 1 OR r IS NULL"), "chunk-repeats")
     if repeated.isEmpty():
-        return rows.select("row", F.col("doc").alias("rid"))
+        return rows.select("row", F.col("doc").alias("rid"), F.lit(False).alias("many"))
     later = F.col("doc").isNull() | F.coalesce(F.col("tie") != F.col("lead"), F.lit(False))
     beyond = F.lit(_LATER) + F.xxhash64("doc", "tie").bitwiseAND(F.lit(_LATER // 2 - 1))
-    return rows.join(repeated, F.col("doc") == F.col("r"), "left").select("row", F.when(later, beyond).otherwise(F.col("doc")).alias("rid"))
+    rid = F.when(later, beyond).otherwise(F.col("doc")).alias("rid")
+    return rows.join(repeated, F.col("doc") == F.col("r"), "left").select("row", rid, (F.col("r").isNotNull() | F.col("doc").isNull()).alias("many"))
 
 
 def _spans(marks: list[dict], words_least: int) -> list[tuple[int, int, int, int]]:
@@ -158,14 +161,16 @@ def remove_repeats(docs: DataFrame, words_least: int = MIN_WORDS) -> DataFrame:
     per task; the join back to the chunks is a plain equi-join over stored counts, which adaptive execution splits.
     """
     rows = numbered(docs)
-    parts = mapped(rows.select("rid", F.col("row.text").alias("text")), _chunks, CHUNKS)
+    texts = rows.select("rid", F.col("row.text").alias("text"), "many")
+    # Rows that share a number have one text, which is chunked once, however many they are.
+    once = texts.filter("many").groupBy("rid").agg(F.max("text").alias("text"))
+    parts = mapped(texts.filter("NOT many").select("rid", "text").unionByName(once), _chunks, CHUNKS)
     counts = parts.groupBy("h1", "h2").agg(F.min("rid").alias("first"), F.count("*").alias("n"))
     repeated = cut(counts.filter("n > 1").select("h1", "h2", "first"), "chunk-counts")
     marked = parts.join(repeated, ["h1", "h2"]).filter("rid <> first OR again").select("rid", F.struct("place", "first").alias("mark"))
     marks = cut(marked.groupBy("rid").agg(F.collect_list("mark").alias("marks")), "chunk-marks")
     whole = rows.join(marks, "rid", "left").select(F.col("row.text").alias("text"), "marks", "row")
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, {REMOVED}"
-    return mapped(whole, lambda b: _removed(b, words_least), schema)
+    return mapped(whole, lambda b: _removed(b, words_least), StructType([rows.schema["row"], *StructType.fromDDL(REMOVED).fields]))
 
 
 def repeated_passages(docs: DataFrame, words_least: int = MIN_WORDS) -> DataFrame:

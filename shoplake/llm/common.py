@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shoplake.session import scratch_dir
 
@@ -44,7 +45,7 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def mapped(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def mapped(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(task, schema)
@@ -55,6 +56,11 @@ def text_key(text: str | Column = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as ``row``, with ``doc`` (its doc_id) and ``tie`` beside it, so that names of other columns can't clash."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc"), text_key().alias("tie"))
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """A batch's texts as strings, NULL as empty."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]

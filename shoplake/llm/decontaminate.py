@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import BYTE_CODES, array, cut, joined, mapped, runs, slices, spans_hash, text_key, texts_of
+from shoplake.llm.common import BYTE_CODES, array, cut, joined, mapped, packed_rows, runs, slices, spans_hash, text_key, texts_of
 
 WINDOW = 8
 #: Of a window's tokens, at least so many must be words to be compared as a template: placeholders alone are no evidence.
@@ -351,4 +351,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least_words
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no benchmark item."""
     found = cut(leaks(docs, benchmark).select(F.col("doc").alias("_doc"), F.col("tie").alias("_tie")).distinct(), "leaks")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key() == F.col("_tie")), "left_anti")
+    rows = packed_rows(docs)
+    return rows.join(found, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("tie") == F.col("_tie")), "left_anti").select("row.*")

@@ -58,10 +58,14 @@ BOILERPLATE_NAMES = frozenset(
 )
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 CONTENT_TAGS = frozenset(["article", "main"])
+#: Whole classes or ids of what readers wrote, whatever its share of the page.
+COMMENTS = re.compile(r"(comments?|replies|disqus\w*|respond)([-_](list|area|section|thread|threads|block|box|wrap|wrapper|container|content|body|text|form|item|entry|\d+))*")
 #: Names that inside of a content container mean a part of it.
 HEADING_NAMES = frozenset(["header", "masthead"])
 #: Blocks of these kinds are kept with selected ones.
-PROSE_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre figcaption".split())
+PROSE_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre figcaption td th caption details summary".split())
+#: Of these, all but list items may be nothing but a link inside of a content container; lists of links are menus.
+LINK_LISTS = frozenset(["li"])
 CONTENT_NAMES = frozenset(["articlebody", "article-body", "article-content", "post-content", "entry-content", "main-content", "story-body"])
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 
@@ -73,7 +77,9 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|itemprop|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/]|$)", re.I)
 _NAMES = re.compile(r"[a-z0-9]+")
-_WHITE = re.compile(r"[ \t\n\r\f\v\xa0]+")
+#: The characters that Unicode calls white space.
+_BLANKS = " \t\n\r\f\v\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_WHITE = re.compile(f"[{_BLANKS}]+")
 
 
 @dataclass(frozen=True)
@@ -95,8 +101,9 @@ def _step(tag: str, rest: str, seen: dict[tuple[str, str], Step]) -> Step:
         hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
         content = tag in CONTENT_TAGS or bool(CONTENT_NAMES & {*named.split(), found.get("itemprop", "").lower()})
         poor = hidden or tag in BOILERPLATE_TAGS or found.get("role", "").lower() in BOILERPLATE_ROLES
+        comment = tag not in ("html", "body", "main") and any(COMMENTS.fullmatch(name) for name in named.split())
         names = frozenset() if tag in ("html", "body") or tag in CONTENT_TAGS else frozenset(words & BOILERPLATE_NAMES)
-        seen[tag, rest] = Step(tag, f"{tag}.{named.strip()}", poor and not (content and tag in CONTENT_TAGS), content, names)
+        seen[tag, rest] = Step(tag, f"{tag}.{named.strip()}", comment or (poor and not (content and tag in CONTENT_TAGS)), content and not comment, names)
     return seen[tag, rest]
 
 
@@ -239,7 +246,8 @@ def _with_them(groups: dict[int, list[Node]], chosen: set[int]) -> set[int]:
         nodes = groups[b]
         size = sum(len(n.text) for n in nodes)
         linked = sum(len(n.text) for n in nodes if n.linked)
-        prose = nodes[0].tag in PROSE_TAGS and not any(n.poor or n.named for n in nodes) and linked <= MOST_LINKED * size
+        prose = nodes[0].tag in PROSE_TAGS and not any(n.poor or n.named for n in nodes)
+        prose &= linked <= MOST_LINKED * size or (nodes[0].home in homes and nodes[0].tag not in LINK_LISTS)
         heading = nodes[0].tag[:1] == "h"
         near = nodes[0].home in homes or (not nodes[0].home and (first < b < last or (above and heading)))
         if b not in chosen and prose and near:
@@ -250,8 +258,8 @@ def _with_them(groups: dict[int, list[Node]], chosen: set[int]) -> set[int]:
 
 def extract(html: str | None, share: float = SHARE) -> str:
     """The main text: content blocks with white space made single blanks, joined by line ends. NULL and empty pages give ''."""
-    nodes = [n for n in text_nodes(html or "") if n.text.strip(" \t\n\r\f\v\xa0") or n.text]
-    worded = [n for n in nodes if n.text.strip(" \t\n\r\f\v\xa0")]
+    nodes = [n for n in text_nodes(html or "") if n.text]
+    worded = [n for n in nodes if n.text.strip(_BLANKS)]
     if not worded:
         return ""
     of, fused, link_share = _ratios(worded)
@@ -266,7 +274,7 @@ def extract(html: str | None, share: float = SHARE) -> str:
     for n in nodes:
         if n.block in chosen and not n.poor:
             blocks.setdefault(n.block, []).append(n.text)
-    lines = (_WHITE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
+    lines = (_WHITE.sub(" ", "".join(parts)).strip(_BLANKS) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
 
 

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shoplake.llm.common import BYTE_CODES, joined, mapped, runs, slices, spans_hash, text_key, texts_of
 from shoplake.llm.decontaminate import lowered
@@ -315,5 +316,4 @@ def with_language(docs: DataFrame, field: Field, least: float = LEAST_SCORE) ->
             kept = pa.array((score >= least) & np.array([x != UNKNOWN for x in languages]))
             yield batch.select([0]).filter(kept)
 
-    kind = row.schema["row"].dataType.simpleString()
-    return mapped(row, keep, f"row {kind}").select("row.*")
+    return mapped(row, keep, StructType([row.schema["row"]])).select("row.*")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import cut, mapped, slices, text_key, texts_of
+from shoplake.llm.common import cut, mapped, packed_rows, slices, text_key, texts_of
 from shoplake.llm.components import components
 
 BITS = 64
@@ -224,14 +224,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of each component of ``docs``, with all its columns: the first by doc_id (NULL last), then by a hash of the text.
 
-    Rows that agree in doc_id and text are one document; one of them stays.
+    Rows that agree in doc_id and text are one document; of those the one with the least columns, written as JSON, stays.
     """
     rows = cut(near_duplicates(docs, shingle, distance), "simhash-components")
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie")
-    first = rows.groupBy("root").agg(F.min(order).alias("x"))
-    kept = cut(first.select(F.col("x.doc_id").alias("_doc"), F.col("x.tie").alias("_tie")), "simhash-kept")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key() == F.col("_tie"))
-    out = docs.join(kept, same, "left_semi")
-    if rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("tie") == F.col("_tie")), "left_semi").count() > kept.count():
-        out = out.dropDuplicates(["doc_id", "text"])
-    return out
+    counted = rows.groupBy("root", "doc_id", "tie").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie", "n")
+    first = counted.groupBy("root").agg(F.min(order).alias("x"))
+    kept = cut(first.select(F.col("x.doc_id").alias("_doc"), F.col("x.tie").alias("_tie"), F.col("x.n").alias("_n")), "simhash-kept")
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("tie") == F.col("_tie"))
+    found, several = packed_rows(docs).join(kept, same), F.col("_n") > 1
+    out = found.filter(~several).select("row")
+    if not kept.filter(several).isEmpty():
+        # Copies are reduced before they are shuffled.
+        least = found.filter(several).groupBy("doc", "tie").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        out = out.unionByName(least.select("row"))
+    return out.select("row.*")

@@ -74,26 +74,25 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     ``captures``: page_id, url, fetched_on (date); other columns are not read. A NULL or unreadable url or a NULL date is not
     blocked. Repeated rows each come back. Empty captures give no rows; an empty list blocks nothing.
 
-    Intervals are dealt into months and matched on entry and month, so a capture meets only intervals near its day. The
-    interval side is stored first: both sides of the join are plain shuffles, which adaptive execution splits at a host
-    that holds very many captures.
+    Intervals are dealt into the months that captures have and matched on entry and month, so a capture meets only intervals near its
+    day, and a stray date far off costs one month. The interval side is stored first: both sides of the join are plain shuffles, which
+    adaptive execution splits at a host that holds very many captures. Two jobs run while the frame is built.
     """
     listed = intervals(entries)
-    # An entry that is still on is dealt into the months up to the last capture's: one value for the whole table.
-    latest = captures.agg(F.max(F.col("fetched_on").cast("date"))).first()[0]
-    last = F.coalesce(F.date_sub("valid_to", 1), F.lit(latest).cast("date"), "valid_from")
-    months = F.sequence(F.trunc("valid_from", "month"), F.trunc(F.greatest(last, "valid_from"), "month"), F.expr("interval 1 month"))
-    active = cut(listed.select("entry", F.explode(months).alias("month"), "valid_from", "valid_to"), "url-intervals")
+    # Distinct months, of which the calendar has some 120,000 in all.
+    fetched = captures.select(F.trunc(F.col("fetched_on").cast("date"), "month").cast("string").alias("m")).dropna().distinct()
+    held = F.lit(sorted(r["m"] for r in fetched.collect())).cast("array<date>")
+    inside = F.filter(held, lambda m: (m >= F.trunc("valid_from", "month")) & (F.col("valid_to").isNull() | (m < F.col("valid_to"))))
+    active = cut(listed.select("entry", F.explode(inside).alias("month"), "valid_from", "valid_to"), "url-intervals")
 
     rows = captures.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("fetched_on").cast("date").alias("fetched_on"))
-    counted = cut(rows.groupBy("page_id", "url", "fetched_on").agg(F.count("*").alias("copies")), "url-captures")
-    probes = counted.select("page_id", "url", "fetched_on", F.trunc("fetched_on", "month").alias("month"), F.posexplode(keys(F.col("url"))).alias("rank", "entry"))
+    probes = rows.distinct().select("page_id", "url", "fetched_on", F.trunc("fetched_on", "month").alias("month"), F.posexplode(keys(F.col("url"))).alias("rank", "entry"))
     met = probes.join(active, ["entry", "month"]).filter("fetched_on >= valid_from AND (valid_to IS NULL OR fetched_on < valid_to)")
     hits = met.groupBy("page_id", "url", "fetched_on").agg(F.min(F.struct("rank", "entry", "valid_from")).alias("hit"))
     hits = hits.select(*(F.col(c).alias(f"_{c}") for c in ("page_id", "url", "fetched_on")), F.col("hit.entry").alias("entry"), F.col("hit.valid_from").alias("listed_on"))
     same = F.col("page_id").eqNullSafe(F.col("_page_id")) & F.col("url").eqNullSafe(F.col("_url")) & F.col("fetched_on").eqNullSafe(F.col("_fetched_on"))
-    out = counted.join(hits, same, "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return out.select("page_id", "url", "fetched_on", F.col("entry").isNotNull().alias("blocked"), "entry", "listed_on")
+    # Copies are rows of the capture side, which is split where they are very many.
+    return rows.join(hits, same, "left").select("page_id", "url", "fetched_on", F.col("entry").isNotNull().alias("blocked"), "entry", "listed_on")
 
 
 # --- the sample list ----------------------------------------------------------------------------------------------------

@@ -6,11 +6,14 @@ lower-cased. Windows of ``WINDOW`` template tokens are hash-joined. A document's
 filled consistently: what stands in one slot value's place stands in all of them. So a question that comes back with other numbers or names is found like a
 verbatim copy, and a chance meeting of placeholders is not. A capitalised word that opens a sentence may be a name or not;
 windows that hold such words are compared in both readings. Every window is also compared by its exact tokens, whatever they are; windows
-with few words only so. An item of fewer tokens than a window is looked for in windows of its own size.
+with few words only so. An item of fewer tokens than a window is looked for in windows of its own size that fill a line or a
+sentence. Case is folded in Latin, Greek and Cyrillic script; characters of scripts without blanks are tokens of their own. Units and numbers in
+words are English.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -78,13 +81,38 @@ _INSIDE = np.zeros(256, bool)
 _INSIDE[list(b".,")] = True
 
 
+#: Scripts that write words without blanks between them (Thai to Khmer, kana, Han, their extensions), as code points.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+#: Signs beyond ASCII that end a sentence; all others, and white space, only part words.
+_ENDS = re.compile("[。．！？；：…‼⁇⁈⁉؟۔।॥։]")
+_SIGNS = re.compile(r"[^\w\s\x00-\x7f]|[^\S\x00-\x7f]")
+#: Letters of two bytes whose capitals have the same number of bytes: lead byte, first and last capital, what lower case adds to the second
+#: byte, and lead byte and subtrahend where that leaves its range.
+_CASED = ((0xC3, 0x80, 0x9E, 0x20), (0xCE, 0x91, 0xA9, 0x20), (0xD0, 0x90, 0xAF, 0x20))
+
+
+def spaced(text: str) -> str:
+    """A text with its characters told apart as ASCII has them: signs beyond it as blanks or stops, and each character of a script
+    without blanks as a word of its own."""
+    if text.isascii():
+        return text
+    return _SIGNS.sub(" ", _ENDS.sub(" . ", _UNSPACED.sub(r" \g<0> ", text)))
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
-    """Lower case of ASCII and of the two-byte Latin letters."""
+    """Lower case of ASCII and of the two-byte Latin, Greek and Cyrillic letters."""
     out = _LOWER[data]
-    after = np.zeros(len(data), bool)
-    after[1:] = data[:-1] == 0xC3
-    capital = after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
-    out[capital] += 0x20
+    before = np.zeros(len(data), np.uint8)
+    before[1:] = data[:-1]
+    for lead, first, last, step in _CASED:
+        at = np.flatnonzero((before == lead) & (data >= first) & (data <= last) & ~((lead == 0xC3) & (data == 0x97)))
+        moved = data[at].astype(np.int64) + step
+        # Past the end of its range a letter goes on under the next lead byte.
+        over = moved > 0xBF
+        out[at] = np.where(over, moved - 0x40, moved)
+        out[at[over] - 1] = lead + 1
+    yo = np.flatnonzero((before == 0xD0) & (data == 0x81))
+    out[yo], out[yo - 1] = 0x91, 0xD1
     return out
 
 
@@ -125,7 +153,7 @@ class Templates:
         self.exact = spans_hash(BYTE_CODES[small], start, end)
         if not len(start):
             self.kind, self.code, self.value, self.opens = np.zeros(0, np.int64), self.exact, self.exact, np.zeros(0, bool)
-            self.figure = self.opens
+            self.figure = self.begins = self.ends = self.opens
             return
         numeric = np.concatenate([[0], np.cumsum(_DIGIT[data] | _INSIDE[data])])
         all_digits = _DIGIT[data[start]] & (numeric[end] - numeric[start] == end - start)
@@ -138,18 +166,23 @@ class Templates:
         after_number[1:] = number[:-1] & (self.of[1:] == self.of[:-1]) & (start[1:] - end[:-1] <= 1)
         at = np.minimum(np.searchsorted(_UNIT_HASHES, self.exact), len(_UNIT_HASHES) - 1)
         unit = after_number & (_UNIT_HASHES[at] == self.exact)
-        second = np.minimum(start + 1, len(data) - 1)
-        capital = _UPPER[data[start]] | ((data[start] == 0xC3) & (small[second] != data[second]))
+        changed = np.append(small != data, np.zeros(3, bool))
+        wide = (data[start] >= 0xC3) & (data[start] <= 0xD1)
+        capital = changed[start] | (wide & changed[start + 1])
+        second = start + 1 + wide
         # Before the word, past one blank: the beginning of the text, or a stop.
         before = np.maximum(start - 1, 0)
         before = np.where(_BLANK[data[before]] & (before > offsets[self.of]), before - 1, before)
         opening = (start == offsets[self.of]) | _STOP[data[before]]
         # Text in capitals throughout has no names to tell apart.
-        shouted = _UPPER[data[second]] & (end - start > 1)
+        shouted = (changed[second] | ((np.append(data, np.zeros(3, np.uint8))[second] >= 0xC3) & changed[second + 1])) & (second < end)
         name = capital & ~opening & ~shouted
         self.kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0)))
         self.opens = (self.kind == 0) & capital & opening & ~shouted
         self.code = np.where(self.kind > 0, _MARKS[self.kind], self.exact)
+        # Past one blank behind the word: the end of the text, or a stop.
+        behind = np.where(_BLANK[data[end]], np.minimum(end + 1, len(data) - 1), end)
+        self.begins, self.ends = opening, (end >= offsets[self.of + 1] - 1) | _STOP[data[end]] | _STOP[data[behind]]
 
     def windows(self, size: int = WINDOW, least_words: int = LEAST_WORDS, shorter: bool = False) -> tuple[np.ndarray, ...]:
         """First token, size, hash and reading of every window that lies in one text, and whether it can be compared as a template.
@@ -211,11 +244,14 @@ WINDOWS = "doc long, tie long, window long, place int, slots array<long>, size i
 def _windows(batches: Iterator[pa.RecordBatch], sizes: list[int], least_words: int, table: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """The windows of some sizes that ``table`` has; without one, all windows of the only size and texts of fewer tokens."""
     for batch in slices(batches):
-        made = Templates([t.encode() for t in texts_of(batch)])
+        made = Templates([spaced(t).encode() for t in texts_of(batch)])
         for size in sizes:
             first, length, hashes, reading, worded = made.windows(size, least_words, table is None)
             if table is not None:
                 kept = table[(hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+                if size < WINDOW and len(first):
+                    # So few words are an item only where they fill a line or a sentence.
+                    kept &= made.begins[first] & made.ends[first + length - 1]
                 first, length, hashes, reading, worded = first[kept], length[kept], hashes[kept], reading[kept], worded[kept]
             of = made.of[first]
             begin = np.searchsorted(made.of, of)
@@ -319,7 +355,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least_words
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are not read. NULL and empty texts, and items
     that are lists of figures without a word or a sign, match nothing. An item of fewer tokens than a window is one window of its
-    own size; one of one or two words is found wherever those stand. Items with one text each count. Repeated rows of a document
+    own size, and is found where it fills a line or a sentence. Items with one text each count. Repeated rows of a document
     give one row. Empty tables give no rows. An item counts as held at a share of all its windows or of those that can be
     compared as templates, or at ``LEAST_RUN`` windows in a row, so a passage of a long item is enough.
 

@@ -175,3 +175,87 @@ def test_ratios_against_sums_by_hand(spark):
         if nodes:
             of, fused, _ = _ratios(nodes)
             assert [fused[p] for p in of] == pytest.approx(ratios_plainly(nodes))
+
+
+# --- benchmark items ---------------------------------------------------------------------------------------------------------
+CHINESE = "小明有十二个苹果，他给了小红五个，又买了三个。现在小明一共有多少个苹果？"
+THAI = "สมชายมีแอปเปิลสิบสองลูกเขาให้เพื่อนไปห้าลูกแล้วซื้อเพิ่มอีกสามลูกตอนนี้เขามีกี่ลูก"
+CYRILLIC = "В коробке лежит 12 яблок, а Пётр взял из неё 5 штук и отдал их Марии. Сколько яблок осталось в коробке у Петра после этого?"
+GREEK = "Στο κουτί υπάρχουν 12 μήλα και ο Γιώργος πήρε 5 από αυτά για τη Μαρία. Πόσα μήλα έμειναν στο κουτί στο τέλος;"
+
+
+def found_in(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return sorted((r.doc, r.item_id, r.reparameterised) for r in decontaminate.leaks(docs, bench).collect())
+
+
+@pytest.mark.parametrize("item", [CHINESE, THAI])
+def test_items_in_scripts_without_blanks(spark, item):
+    around = "这是另一段完全不同的文字，与题目没有任何关系。" if item == CHINESE else "ข้อความนี้ไม่เกี่ยวข้องกับโจทย์ข้างต้นเลย"
+    texts = [around + item + around, prose(1, 30) + " " + item, around * 3, prose(2, 60)]
+    assert [x[:2] for x in found_in(spark, texts, [item])] == [(0, 0), (1, 0)]
+
+
+def test_items_in_cyrillic_and_greek(spark):
+    renamed = CYRILLIC.replace("12", "30").replace("5", "7").replace("Пётр", "Иван").replace("Марии", "Анне").replace("Петра", "Ивана")
+    greek = GREEK.replace("12", "40").replace("5", "6").replace("Γιώργος", "Νίκος").replace("Μαρία", "Ελένη")
+    texts = [CYRILLIC, CYRILLIC.upper(), renamed, "Начало. " + CYRILLIC.lower(), GREEK, greek, "Совсем другой текст о погоде в городе и о том, что было вчера вечером."]
+    found = found_in(spark, texts, [CYRILLIC, GREEK])
+    assert [x[:2] for x in found] == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1)]
+    assert {x[0] for x in found if x[2]} >= {2, 5}
+
+
+def test_lower_case_is_that_of_unicode():
+    import numpy as np
+
+    for first, last in ((0x41, 0x5A), (0xC0, 0xDE), (0x391, 0x3A9), (0x410, 0x42F), (0x401, 0x401)):
+        for code in range(first, last + 1):
+            text = chr(code)
+            if text.lower() != text and len(text.lower().encode()) == len(text.encode()):
+                made = decontaminate.lowered(np.frombuffer(f"x{text}x".encode(), np.uint8)).tobytes().decode()
+                assert made == f"x{text.lower()}x"
+    same = "éßяё ωσ 中 ×"
+    assert decontaminate.lowered(np.frombuffer(same.encode(), np.uint8)).tobytes().decode() == same
+
+
+def test_short_items_fill_a_line_or_a_sentence(spark):
+    texts = [
+        "We went to Paris in spring and again in autumn.",
+        "Question 1\nParis\nQuestion 2",
+        "I forgot. What is the capital of France? I asked.",
+        "She told me what is the capital of France when it rains, more or less.",
+        "What is the capital of France",
+    ]
+    found = found_in(spark, texts, ["Paris", "What is the capital of France?", "again"])
+    assert [x[:2] for x in found] == [(1, 0), (2, 1), (4, 1)]
+
+
+def windows_plainly(text):
+    """Exact 8-token windows of a lower-cased text, by a regular expression."""
+    import re
+
+    tokens = re.findall(r"\d+(?:[.,]\d+)*|\w+", text.lower())
+    return {tuple(tokens[k : k + 8]) for k in range(len(tokens) - 7)}
+
+
+def test_templates_against_plain_windows(spark):
+    """Items with other numbers and names: each is found where the plain windows of the masked texts meet often enough."""
+    import random
+    import re
+
+    draw, names = random.Random(4), ["Anna", "Boris", "Clara", "David", "Emma", "Felix"]
+    stems = [f"yesterday {{n}} bought {{a}} {w} boxes of pens for {{b}} friends at the {v} market and kept {{c}} of them in the {u} drawer" for w, v, u in zip("red blue green large small".split(), "old new far near main".split(), "top low left right wide".split(), strict=True)]
+
+    def fill(stem):
+        return stem.format(n=draw.choice(names), a=draw.randint(2, 99), b=draw.randint(2, 99), c=draw.randint(2, 99))
+
+    items = [fill(s) for s in stems]
+    texts = [prose(k, 20).lower() + " . " + fill(stems[k % 5]) + " . " + prose(50 + k, 20).lower() if k % 2 else prose(k, 60) for k in range(30)]
+
+    def masked(text):
+        return windows_plainly(re.sub(r"\d+", "0", re.sub("|".join(names), "name", text)))
+
+    expected = [(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if len(masked(t) & masked(item)) >= 0.3 * len(masked(item))]
+    assert len(expected) == 15
+    assert [x[:2] for x in found_in(spark, texts, items)] == expected

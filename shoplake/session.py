@@ -48,13 +48,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return made
 
 
-def clear_scratch(spark: SparkSession) -> list[str]:
-    """Remove the scratch folders that this application made. Frames that were built on them can't be read any more, so call it
-    once results are stored."""
-    folders = _made.pop(spark.sparkContext.applicationId, [])
-    for folder in folders:
+def scratch_made(spark: SparkSession) -> list[str]:
+    """The scratch folders that this application made and has not removed, oldest first."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, folders: list[str] | None = None) -> list[str]:
+    """Remove scratch folders that this application made, all or some of them. Frames that were built on them can't be read any
+    more, so call it once results are stored."""
+    held = scratch_made(spark)
+    gone = [f for f in held if folders is None or f in folders]
+    for folder in gone:
         remove(spark, folder)
-    return folders
+    _made[spark.sparkContext.applicationId] = [f for f in held if f not in gone]
+    return gone
 
 
 def _place(spark: SparkSession, path: str) -> tuple[Any, Any]:

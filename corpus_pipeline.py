@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoplake.llm import chunks, decontaminate, langid, packing, simhash
 from shoplake.llm.common import cut, table
+from shoplake.session import clear_scratch, scratch_made
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. Once a stage's rows are stored, what it and the stage before it stored on the way is removed."""
+    docs, stored = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
+        before = scratch_made(spark)
         docs = cut(stage(spark, docs, sf_dir), name)
+        made = [f for f in scratch_made(spark) if f not in before]
+        clear_scratch(spark, [*stored, *made[:-1]])
+        stored = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)

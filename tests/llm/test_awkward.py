@@ -259,3 +259,57 @@ def test_templates_against_plain_windows(spark):
     expected = [(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if len(masked(t) & masked(item)) >= 0.3 * len(masked(item))]
     assert len(expected) == 15
     assert [x[:2] for x in found_in(spark, texts, items)] == expected
+
+
+# --- the pipeline -------------------------------------------------------------------------------------------------------------
+def test_pipeline_against_its_stages_and_cleans_up(spark):
+    """Every stage's result by a plain rule on its own input, and the packed pieces of what is left."""
+    import corpus_pipeline
+    from shoplake.llm.common import cut, table
+    from shoplake.session import scratch_made
+
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = cut(stage(spark, docs, sf), name)
+        assert made.columns == docs.columns
+        before, after = ({r.doc_id: r.text for r in df.collect()} for df in (docs, made))
+        assert set(after) <= set(before)
+        kept[name] = (before, after)
+        docs = made
+    before, after = kept["language_id"]
+    assert all(not any(c.isalpha() for c in before[d] or "") or len(before[d].split()) < 12 for d in set(before) - set(after))
+    before, after = kept["simhash_near_dedup"]
+    prints = {r.doc_id: (r.fp, r.root) for r in simhash.near_duplicates(spark.createDataFrame([*before.items()], "doc_id long, text string")).collect()}
+    linked = {a: {b for b in prints if bin((prints[a][0] ^ prints[b][0]) & (1 << 64) - 1).count("1") <= 2} for a in prints}
+    roots = {}
+    for d in sorted(prints):  # smallest number that can be reached
+        seen, todo = {d}, [d]
+        while todo:
+            new = linked[todo.pop()] - seen
+            seen |= new
+            todo += new
+        roots[d] = min(seen)
+    assert set(after) == set(roots.values())
+    before, after = kept["substring_dedup"]
+    words = {d: t.split() for d, t in before.items()}
+    places = {}
+    for d in sorted(words):
+        for k in range(len(words[d]) - 49):
+            places.setdefault(tuple(words[d][k : k + 50]), []).append(d)
+    repeats = {g: ds for g, ds in places.items() if len(set(ds)) > 1}
+    joined = {d: " ".join((t or "").split()) for d, t in after.items()}
+    # A passage of 50 words is whole in one document at most; texts without one are as they were.
+    assert all(sum(" ".join(g) in joined.get(d, "") for d in set(ds)) <= 1 for g, ds in repeats.items())
+    before, after = kept["decontamination"]
+    items = [" ".join(r.text.lower().split()) for r in table(spark, sf, "benchmark").collect()]
+    holds = {d for d, t in before.items() if any(i in " ".join(t.lower().split()) for i in items if len(i.split()) >= 8)}
+    assert not holds & set(after)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    start = len(scratch_made(spark))
+    run = corpus_pipeline.run(spark, sf)
+    assert sorted(map(tuple, run.collect())) == sorted(map(tuple, packed))
+    # The last stage's input and what it stored itself are left.
+    left = [f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in scratch_made(spark)[start:]]
+    assert left[0] == "llm-decontamination" and not {"llm-language_id", "llm-chunk-counts", "llm-simhash-rows"} & set(left)

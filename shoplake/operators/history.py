@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shoplake.config import METADATA
 from shoplake.operators.dedup import CHANGED, INGESTED, LOADED, change_time, keep_latest_known, precedence, time_order
-from shoplake.operators.skew import cut_points, heavy_keys, is_any, key_code, slices_of, time_range
+from shoplake.operators.skew import cut_points, heavy_counts, heavy_keys, is_any, key_code, sliced, slices_of, time_range
 
 START, END = "__start_date", "__end_date"
 #: Kept beside a stored history's columns: whether a row opens a version, and whether it no longer counts.
@@ -19,6 +19,8 @@ SHOWN, GONE = "_shown", "_gone"
 MARKS = (START, END, SHOWN, GONE, "_was")
 #: Time ranges of a heavy key: at least so many, and at most as the percentiles behind them can tell apart.
 PIECES, MOST_PIECES = 64, 4096
+#: Versions of a key up to which facts are joined with all of them.
+FEW_VERSIONS = 64
 #: Before any time; rows without a time come first.
 NEVER = dt.datetime(1, 1, 1)
 
@@ -252,20 +254,48 @@ def versions(stored: DataFrame) -> DataFrame:
 def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """Attach to each fact the version that was valid at its time ``at`` (start <= at < end), or NULLs.
 
-    Facts and versions of a key are lined up by time in one shuffle and the last version seen is carried
-    forward, so no pairs are formed. History columns that facts also have (keys excepted) must be renamed first.
+    Facts meet the versions of their key in a join whose range is checked as rows meet; facts of a heavy key are cut into slices. A key with
+    more than ``FEW_VERSIONS`` would form too many pairs: its facts and versions are lined up by time in one sort, and the last
+    version seen is carried forward. Versions of a key must not overlap, as those of ``scd2`` don't. History columns that facts also
+    have (keys excepted) must be renamed first. Two jobs that look for such keys run while the frame is built.
     """
     payload = [c for c in history.columns if c not in keys]
     clash = set(payload) & set(facts.columns)
     if clash:
         raise ValueError(f"columns in both inputs: {sorted(clash)}")
     usable = reduce(Column.__and__, (F.col(k).isNotNull() for k in [*keys, at]))
+    known = history.filter(reduce(Column.__and__, (F.col(k).isNotNull() for k in [*keys, START])))
     key_types = {k: t for k, t in history.dtypes if k in keys}
-    fact_type, version_type = facts.schema.simpleString(), history.select(*payload).schema.simpleString()
+    code = key_code(keys)
+    (many,) = heavy_counts(known, code, min_rows=FEW_VERSIONS)
+    typed = facts.filter(usable).withColumns({k: F.col(k).cast(key_types[k]) for k in keys})
+    found = _met(typed.filter(~is_any(code, list(many))), known.filter(~is_any(code, list(many))), keys, at, payload)
+    if many:
+        found = found.unionByName(_lined_up(typed.filter(is_any(code, list(many))), known.filter(is_any(code, list(many))), keys, at, payload))
+    # Facts without a key or time match nothing and need no shuffle.
+    unmatched = facts.filter(~usable).withColumns({k: F.col(k).cast(key_types[k]) for k in keys}).select(
+        "*", *(F.lit(None).cast(dtype).alias(c) for c, dtype in history.select(*payload).dtypes)
+    )
+    return found.unionByName(unmatched)
 
-    known = history.filter(reduce(Column.__and__, (F.col(k).isNotNull() for k in [*keys, START])))
-    events = facts.filter(usable).select(
-        *(F.col(k).cast(key_types[k]).alias(k) for k in keys),
+
+def _met(facts: DataFrame, known: DataFrame, keys: Sequence[str], at: str, payload: Sequence[str]) -> DataFrame:
+    """Facts joined with the few versions of their key."""
+    code = key_code(keys)
+    left, right = sliced(facts.withColumn("_code", code), known.withColumn("_code", code), "_code", "_slice")
+    right = right.select(*(F.col(c).alias(f"_v_{c}") for c in [*keys, "_slice", *payload]))
+    time, end = F.col(at).cast("timestamp"), F.col(f"_v_{END}").cast("timestamp")
+    match = reduce(Column.__and__, (F.col(c) == F.col(f"_v_{c}") for c in [*keys, "_slice"]))
+    inside = (F.col(f"_v_{START}").cast("timestamp") <= time) & (end.isNull() | (time < end))
+    met = left.join(right, match & inside, "left")
+    return met.select(*facts.columns, *(F.col(f"_v_{c}").alias(c) for c in payload))
+
+
+def _lined_up(facts: DataFrame, known: DataFrame, keys: Sequence[str], at: str, payload: Sequence[str]) -> DataFrame:
+    """Facts and versions of keys with many versions, sorted by time together."""
+    fact_type, version_type = facts.schema.simpleString(), known.select(*payload).schema.simpleString()
+    events = facts.select(
+        *keys,
         F.col(at).cast("timestamp").alias("_at"),
         F.lit(1).alias("_kind"),
         F.struct(*(F.col(c) for c in facts.columns)).alias("_fact"),
@@ -298,9 +328,4 @@ def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str) ->
     end = F.col(f"_valid.{END}").cast("timestamp")
     in_force = F.when(end.isNull() | (F.col("_at") < end), F.col("_valid"))
     found = seen.filter(F.col("_kind") == 1).select("_fact.*", in_force.alias("_valid"))
-    found = found.select(*facts.columns, *(F.col(f"_valid.{c}").alias(c) for c in payload))
-    # Facts without a key or time match nothing and need no shuffle.
-    unmatched = facts.filter(~usable).select(
-        "*", *(F.lit(None).cast(dtype).alias(c) for c, dtype in history.select(*payload).dtypes)
-    )
-    return found.unionByName(unmatched)
+    return found.select(*facts.columns, *(F.col(f"_valid.{c}").alias(c) for c in payload))

@@ -36,24 +36,25 @@ def _setting(df: DataFrame, name: str, default: float) -> float:
     return float(df.sparkSession.conf.get(name, str(default)))
 
 
-def heavy_counts(df: DataFrame, *keys: Column | str) -> list[dict[Any, int]]:
+def heavy_counts(df: DataFrame, *keys: Column | str, min_rows: int | None = None) -> list[dict[Any, int]]:
     """For each key expression, the values (NULL included) that hold too many rows for one task, with about how many they hold.
 
     One job for all keys. A frequent-item sketch keeps a fixed number of entries per key, never underestimates a
     count, and merges without shuffling the keys; at most ``MAX_HEAVY`` values come back. Only statistics are
     gathered here, so a share of the rows is enough: as many as show a key of ``minRows`` rows ``SEEN`` times, give or
-    take half a percent. Missing or adding a borderline key changes the plan, not the result.
+    take half a percent. Missing or adding a borderline key changes the plan, not the result. ``min_rows`` takes the place of the settings.
     """
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     names = [f"_key{i}" for i in range(len(columns))]
     sketches = [F.expr(f"approx_top_k({n}, {MAX_HEAVY}, {SKETCH_ITEMS})").alias(n) for n in names]
-    min_rows = max(_setting(df, MIN_ROWS, 5_000_000), 1)
+    share = 0.0 if min_rows else _setting(df, SHARE, 0)
+    min_rows = min_rows or max(_setting(df, MIN_ROWS, 5_000_000), 1)
     part = min(1.0, SEEN / min_rows)
     picked = df.select(*(c.alias(n) for c, n in zip(columns, names)))
     if part < 1:
         picked = picked.sample(part, seed=7)
     row = picked.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    limit = max(min_rows * part, _setting(df, SHARE, 0) * row["_rows"])
+    limit = max(min_rows * part, share * row["_rows"])
     return [{entry["item"]: ceil(entry["count"] / part) for entry in row[n] or [] if entry["count"] > limit} for n in names]
 
 
@@ -130,6 +131,14 @@ def enrich(left: DataFrame, rights: Sequence[DataFrame], key: str, heavy: Sequen
     return made.drop("_slice")
 
 
+def sliced(left: DataFrame, right: DataFrame, key: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a column ``name`` to join on as well: keys heavy on the left are cut into slices there, and each of their
+    right rows is copied for every slice. Meant for a right side with few rows to a key."""
+    (counts,) = heavy_counts(left, key)
+    ways = slices_of(left, counts)
+    return _cut(left, key, ways, name), _copied(right, key, ways, name)
+
+
 def scatter_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", search: bool = True) -> DataFrame:
     """Left or inner equi-join in which ``key`` may repeat on both sides.
 

@@ -252,3 +252,21 @@ def test_fraud_report_reads_tables_once_with_heavy_keys(spark, monkeypatch):
     plain, expected = scans(made()), rows(made())
     all_heavy(monkeypatch)
     assert scans(made()) == plain and rows(made()) == expected
+
+
+def test_as_of_of_few_versions_is_one_join(spark, monkeypatch):
+    """Facts of heavy keys are sliced; no more exchanges than one for each side, with broadcasts off."""
+    versions = history.scd2(change_log(spark, 3, False), ["k"]).select("k", "a", "b", history.START, history.END).filter("k <> 'hot'")
+    versions = spark.createDataFrame(versions.collect(), versions.schema)
+    facts = spark.range(500).selectExpr("id AS i", "concat('k', id % 45) AS k", "TIMESTAMP '2024-01-01' + make_dt_interval(0, id % 230) AS at")
+    plain = rows(history.as_of(facts, versions, ["k"], "at"))
+    assert len(plain) == 500
+    monkeypatch.setattr(skew, "heavy_counts", lambda df, *keys, min_rows=None: [{} if min_rows else {"k1": 10, "k3": 99} for _ in keys])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = history.as_of(facts, versions, ["k"], "at")
+        plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 2 and "Window" not in plan
+        assert rows(made) == plain
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -92,17 +92,41 @@ def agg_customer_metrics(
     )
 
 
-def agg_product_performance(dim_products: DataFrame, fact_order_items: DataFrame, fact_reviews: DataFrame) -> DataFrame:
-    sold = fact_order_items.groupBy("product_id").agg(
+def _distinct(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Number of distinct values for each key, from one row per pair. Only the two columns are shuffled, and a heavy key's pairs are spread by value."""
+    pairs = rows.select(key, value).distinct()
+    return pairs.groupBy(key).agg(F.count(value).alias(name))
+
+
+def _sold(fact_order_items: DataFrame) -> DataFrame:
+    """Sales of each product, reduced to a row for each of its customers first.
+
+    That row counts a customer once and carries sums that add up, so the second distinct count (of orders) can be one of its
+    own; two of them in one aggregation would copy every line three times before the shuffle.
+    """
+    means = {"avg_selling_price": "unit_price_usd", "avg_discount_percentage": "discount_percentage"}
+    sums = {"total_quantity_sold": "quantity", "total_revenue": "net_revenue_usd", "total_discounts_given": "discount_amount_usd"}
+    by_customer = fact_order_items.groupBy("product_id", "customer_id").agg(
         F.count(F.lit(1)).alias("total_units_sold"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        F.sum("net_revenue_usd").alias("total_revenue"),
-        F.sum("discount_amount_usd").alias("total_discounts_given"),
-        _mean("unit_price_usd").alias("avg_selling_price"),
-        _mean("discount_percentage").alias("avg_discount_percentage"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("order_id").alias("unique_orders"),
+        *(F.sum(c).alias(name) for name, c in sums.items()),
+        *(F.sum(c).alias(f"_sum_{c}") for c in means.values()),
+        *(F.count(c).alias(f"_n_{c}") for c in means.values()),
+    )
+
+    def mean(c: str) -> Column:
+        return F.round(F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_n_{c}"), F.lit(0)), 2)
+
+    return by_customer.groupBy("product_id").agg(
+        F.sum("total_units_sold").alias("total_units_sold"),
+        *(F.sum(name).alias(name) for name in sums),
+        *(mean(c).alias(name) for name, c in means.items()),
+        F.count("customer_id").alias("unique_customers"),
     )
+
+
+def agg_product_performance(dim_products: DataFrame, fact_order_items: DataFrame, fact_reviews: DataFrame) -> DataFrame:
+    sold = _sold(fact_order_items)
+    ordered = _distinct(fact_order_items, "product_id", "order_id", "unique_orders")
     reviewed = fact_reviews.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("review_count"),
         _mean("rating").alias("avg_rating"),
@@ -113,8 +137,12 @@ def agg_product_performance(dim_products: DataFrame, fact_order_items: DataFrame
     rating = F.coalesce(F.col("avg_rating"), F.lit(NEUTRAL_RATING)).cast("decimal(4,2)")
     score = F.round(rating * 10 + quantity.cast("decimal(20,0)") / F.lit(10), 2)
     # The dimension has one row per product, so no key can be heavy in it.
-    return enrich(dim_products, [sold, reviewed], "product_id", heavy=()).select(
-        "*",
+    every = enrich(dim_products, [sold, ordered, reviewed], "product_id", heavy=())
+    return every.select(
+        *dim_products.columns,
+        *(c for c in sold.columns if c != "product_id"),
+        "unique_orders",
+        *(c for c in reviewed.columns if c != "product_id"),
         F.when(quantity > 0, r.ratio(F.col("total_revenue"), quantity)).otherwise(F.lit(0)).alias("revenue_per_unit"),
         F.when(reviews > 0, r.percent(F.col("positive_reviews"), reviews)).otherwise(F.lit(0)).alias("positive_review_rate"),
         score.alias("product_performance_score"),

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import BYTE_CODES, array, cut, joined, mapped, packed_rows, runs, slices, spans_hash, text_key, texts_of
@@ -359,8 +359,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least_words
     give one row. Empty tables give no rows. An item counts as held at a share of all its windows or of those that can be
     compared as templates, or at ``LEAST_RUN`` windows in a row, so a passage of a long item is enough.
 
-    Tasks look each window up in a bit table of fixed size first, so few windows are shuffled; the join decides. Meetings
-    are gathered per document and item, which the two texts' lengths bound.
+    Tasks look each window up in a bit table of fixed size first, so few windows are shuffled; the join decides. It starts from
+    each item's rarer windows (``_by_rarity``). Meetings are gathered per document and item, which the two texts' lengths bound.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("tie"))
     items = cut(mapped(items, lambda b: _windows(b, [size], least_words, None), WINDOWS), "benchmark-windows")
@@ -374,14 +374,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, least_words
         return _windows(batches, sizes, least_words, np.unpackbits(packed).astype(bool))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("tie"))
-    seen = mapped(rows, look, WINDOWS)
-    sizes = items.groupBy(F.col("doc").alias("item_id")).agg(
+    seen = cut(mapped(rows, look, WINDOWS).drop("size", "worded"), "windows-seen")
+    counts = items.groupBy(F.col("doc").alias("item_id")).agg(
         F.count_distinct("place").alias("n_item"), F.count_distinct(F.when(F.col("worded"), F.col("place"))).alias("n_worded")
     )
-    theirs = items.select(F.col("doc").alias("item_id"), "window", F.col("place").alias("at"), F.col("slots").alias("item_slots"), "worded")
-    meets = seen.drop("size", "worded").join(theirs, "window").select("doc", "tie", "item_id", F.struct("place", "at", "slots", "item_slots", "worded").alias("m"))
-    pairs = meets.groupBy("doc", "tie", "item_id").agg(F.collect_list("m").alias("meets")).join(sizes, "item_id")
-    return mapped(pairs.select("doc", "tie", "item_id", "meets", "n_item", "n_worded"), lambda b: _judged(b, share), FOUND)
+    theirs = cut(_by_rarity(items, counts, share), "benchmark-by-rarity")
+    meeting = F.struct("place", "at", "slots", "item_slots", "worded").alias("m")
+    names = ["doc", "tie", "item_id"]
+    telling = cut(seen.join(theirs.filter("NOT shared"), "window").select(*names, meeting), "meetings")
+    pairs = telling.select(*names).distinct().join(theirs.filter("shared"), "item_id")
+    same = F.col("p.doc").eqNullSafe(F.col("s.doc")) & (F.col("p.tie") == F.col("s.tie")) & (F.col("p.window") == F.col("s.window"))
+    meets = telling.unionByName(pairs.alias("p").join(seen.alias("s"), same).select("p.doc", "p.tie", "item_id", meeting))
+    pairs = meets.groupBy(*names).agg(F.collect_list("m").alias("meets")).join(counts, "item_id")
+    return mapped(pairs.select(*names, "meets", "n_item", "n_worded"), lambda b: _judged(b, share), FOUND)
+
+
+def _by_rarity(items: DataFrame, counts: DataFrame, share: float) -> DataFrame:
+    """Windows of the items, with whether a window is ``shared``: left out where documents that may hold the item are looked for.
+
+    A document that holds an item meets it at ``least`` places or more, so it meets one beside the ``least - 1`` places whose windows
+    most items have. Those are joined only to the pairs found by the others, so items with one stem don't each meet all
+    documents with it. Places whose windows no other item has stay, as they form no more pairs than there are copies.
+    """
+    some = F.ceil(F.lit(share) * F.col("n_item")), F.when(F.col("n_worded") > 0, F.ceil(F.lit(share) * F.col("n_worded")))
+    least = counts.select("item_id", F.greatest(F.lit(1), F.least(*some, F.lit(LEAST_RUN))).alias("least"))
+    held = items.groupBy("window").agg(F.count_distinct("doc").alias("n_holders"))
+    windows = items.select(F.col("doc").alias("item_id"), "window", F.col("place").alias("at"), F.col("slots").alias("item_slots"), "worded").join(held, "window")
+    places = windows.groupBy("item_id", "at").agg(F.max("n_holders").alias("most"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("most"), "at"))
+    common = places.withColumn("rank", rank).join(least, "item_id").filter("rank < least AND most > 1").select("item_id", "at", F.lit(True).alias("shared"))
+    return windows.drop("n_holders").join(common, ["item_id", "at"], "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

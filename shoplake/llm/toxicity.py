@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are whole words and word beginnings, so inflected forms share a term; the vocabulary keeps those that differ between the
-two labels beyond chance. The labelled examples are an inverted index whose postings lie in blocks of examples; each block
+Terms are whole words and word beginnings, so inflected forms share a term. All terms of the examples count; their weight is the inverse
+document frequency over all documents times what the label says about them. The labelled examples are an inverted index whose postings lie in
+blocks of examples; each block
 knows the largest weight of each term in it, which bounds every cosine in the block. A query visits blocks in the order of their
 bounds and stops once none can hold a nearer example than the ``NEAREST`` it has: the neighbours are exact. Their votes,
 weighted by similarity and by the label's sampling rate, are calibrated on the examples themselves, each left out in turn.
@@ -9,7 +10,7 @@ weighted by similarity and by the label's sampling rate, are calibrated on the e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import BYTE_CODES, joined, mapped, runs, slices, spans_hash, text_key, texts_of
+from shoplake.llm.common import BYTE_CODES, from_counts, joined, mapped, runs, slices, spans_hash, text_key, texts_of
 from shoplake.llm.decontaminate import lowered
 from shoplake.llm.langid import _LETTER, held_out
 
@@ -26,16 +27,19 @@ EXAMPLES_EACH = 2000
 SAMPLE_CHARS = 20_000
 
 BEGINNINGS = (4, 5)  # bytes of a word's beginning that are a term
-LEAST_EXAMPLES = 4  # examples a term must be in
-LEAST_CHI2 = 24.0
-LEAST_LIFT = 4.0  # how much more often toxic examples have a term: words that longer texts simply have more of stay out
-MOST_TERMS = 2000
+HALF = 24.0  # chi-squared of a term and the label at which the term has a quarter of the greatest weight
+LEAST_WEIGHT = 0.05  # of a term that says nothing about the label, next to one that says all
 BLOCK = 32
+FREQUENT = 1 / 32  # share of the examples from which on a term's postings are a row with a place for each example
+MOST_ROWS = 3072  # but only the most frequent so many terms; the others' postings stay in blocks, and the result is the same
+FIRST_BLOCKS = 6  # visited at once; what they give bounds the rest
+HAIR = 1e-5  # above a bound, for rounding
 NEAREST = 15
 PRIOR = 0.3  # pseudo-votes at the base rate, so that few far neighbours say little
 DECISION = 0.3
+TOGETHER = 64  # texts whose frequent terms are looked up together
 SOME = 100  # texts of the sample that are taken apart at a time
-SLOTS = 20  # bits of the first look-up of terms
+SLOTS = 22  # bits of the first look-up of terms
 
 
 # --- terms --------------------------------------------------------------------------------------------------------------
@@ -56,7 +60,7 @@ def term_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Vocabulary:
     hashes: np.ndarray  # sorted
-    idf: np.ndarray
+    factor: np.ndarray  # of each term: inverse document frequency times what the label says about it
 
     def __post_init__(self) -> None:
         self.first = np.zeros(1 << SLOTS, bool)
@@ -78,7 +82,7 @@ class Vocabulary:
         known = self.hashes[at] == hashes
         key, counts = np.unique(of[known] * len(self.hashes) + at[known], return_counts=True)
         text, term = key // len(self.hashes), key % len(self.hashes)
-        weight = (1.0 + np.log(counts)) * self.idf[term]
+        weight = (1.0 + np.log(counts)) * self.factor[term]
         norm = np.sqrt(np.bincount(text, weight * weight, minlength=len(texts)))
         return text, term, weight / norm[text]
 
@@ -92,28 +96,35 @@ def _present(texts: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
     return (of[new] + first).astype(np.int32), hashes[new]
 
 
-def learn_vocabulary(texts: list[bytes], toxic: np.ndarray, rate: np.ndarray) -> Vocabulary:
-    """Terms whose presence goes with a label by a chi-squared test over the examples; ``rate``: documents each stands for."""
+def terms_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All terms of some texts, sorted, and the text and term number of each that a text has."""
     pairs = [_present(texts[at : at + SOME], at) for at in range(0, len(texts), SOME)]
     of, hashes = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
     terms, term = np.unique(hashes, return_inverse=True)
-    bad = np.bincount(term, toxic[of], len(terms))
-    all_of = np.bincount(term, minlength=len(terms)).astype(float)
-    n, n_bad = float(len(texts)), float(toxic.sum())
-    good, n_good = all_of - bad, n - n_bad
+    return terms, of, term
+
+
+def label_weight(of: np.ndarray, term: np.ndarray, n_terms: int, toxic: np.ndarray) -> np.ndarray:
+    """What a term says about the label, from ``LEAST_WEIGHT`` to 1; no term is left out.
+
+    By a chi-squared test over the examples, with Yates' correction as most terms are in few, of terms that toxic ones have more often.
+    """
+    n, n_bad = float(len(toxic)), float(toxic.sum())
+    bad, all_of = np.bincount(term, toxic[of], n_terms), np.bincount(term, minlength=n_terms).astype(float)
+    ahead = bad * n - all_of * n_bad
     with np.errstate(all="ignore"):
-        chi2 = n * (bad * (n_good - good) - good * (n_bad - bad)) ** 2 / (all_of * (n - all_of) * n_bad * n_good)
-    lifted = (bad + 0.5) * n_good >= LEAST_LIFT * (good + 0.5) * n_bad
-    chosen = np.flatnonzero((all_of >= LEAST_EXAMPLES) & (np.nan_to_num(chi2) >= LEAST_CHI2) & lifted)
-    chosen = np.sort(chosen[np.argsort(-chi2[chosen], kind="stable")[:MOST_TERMS]])
-    documents = rate.sum()
-    idf = np.log(1.0 + documents / (1.0 + np.bincount(term, rate[of], len(terms))[chosen])) if len(chosen) else np.zeros(0)
-    return Vocabulary(terms[chosen], idf)
+        chi2 = n * np.maximum(ahead - n / 2, 0.0) ** 2 / (all_of * (n - all_of) * n_bad * (n - n_bad))
+    chi2 = np.nan_to_num(chi2, posinf=0.0)
+    return LEAST_WEIGHT + (1.0 - LEAST_WEIGHT) * (chi2 / (chi2 + HALF)) ** 2
 
 
 # --- index --------------------------------------------------------------------------------------------------------------
 class BlockMaxIndex:
-    """Postings of the examples' unit vectors in blocks of ``BLOCK`` examples, with each block's largest weight per term."""
+    """Postings of the examples' unit vectors by term, in blocks of ``BLOCK`` examples, with each block's largest weight.
+
+    Terms that a large share of the examples have are full rows, which add up at once for all examples; so their part of a
+    block's bound is the largest sum that it really has.
+    """
 
     def __init__(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n_texts: int, n_terms: int):
         # Examples that share their weightiest term lie together, so blocks are alike inside and their bounds are tight.
@@ -121,37 +132,82 @@ class BlockMaxIndex:
         by_weight = np.lexsort((weight, text))
         leading[text[by_weight]] = term[by_weight]
         self.order = np.lexsort((np.arange(n_texts), leading))
-        place = np.empty(n_texts, np.int64)
-        place[self.order] = np.arange(n_texts)
+        self.place = np.empty(n_texts, np.int64)
+        self.place[self.order] = np.arange(n_texts)
         self.n_blocks = -(-n_texts // BLOCK)
-        at = place[text]
-        postings = np.lexsort((at, term, at // BLOCK))
-        self.at, self.term, self.weight = at[postings], term[postings], weight[postings]
-        self.bounds = np.searchsorted(self.at // BLOCK, np.arange(self.n_blocks + 1))
-        self.most = np.zeros((n_terms, self.n_blocks))
-        np.maximum.at(self.most, (self.term, self.at // BLOCK), self.weight)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
-        """The ``k`` nearest examples with a positive cosine (ties: first in the index), the cosines, and the blocks visited."""
-        query = np.zeros(len(self.most))
-        query[term] = weight
-        bound = weight @ self.most[term]
-        best, cosine, visited = np.zeros(0, np.int64), np.zeros(0), 0
-        for block in np.argsort(-bound, kind="stable"):
-            # A hair above the bound for rounding; ties with the last neighbour may lie in a block of the same bound.
-            if bound[block] <= 0 or (len(best) == k and bound[block] + 1e-12 < cosine[-1]):
-                break
-            a, b = self.bounds[block], self.bounds[block + 1]
-            found = np.bincount(self.at[a:b] - block * BLOCK, query[self.term[a:b]] * self.weight[a:b], BLOCK)
-            hit = np.flatnonzero(found > 0)
-            at = np.concatenate([best, block * BLOCK + hit])
-            value = np.concatenate([cosine, found[hit]])
+        at = self.place[text]
+        held = np.bincount(term, minlength=n_terms)
+        frequent = held >= max(2, FREQUENT * n_texts)
+        frequent[np.argsort(-held, kind="stable")[MOST_ROWS:]] = False
+        self.row = np.where(frequent, np.cumsum(frequent) - 1, -1).astype(np.int32)
+        full = frequent[term]
+        self.rows = np.zeros((int(frequent.sum()), self.n_blocks * BLOCK), np.float32)
+        self.rows[self.row[term[full]], at[full]] = weight[full]
+        at, term, weight = at[~full], term[~full], weight[~full]
+        postings = np.lexsort((at, term))
+        self.at, self.weight = at[postings].astype(np.int32), weight[postings]
+        term, block = term[postings], self.at // BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        self.first = np.append(first, len(term))  # of each block of a term
+        self.block = block[first]
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.blocks_of = np.searchsorted(term[first], np.arange(n_terms + 1))
+
+    def from_rows(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """What frequent terms add to the cosine of each of ``n`` texts and each example."""
+        queries, row = np.zeros((n, len(self.rows)), np.float32), self.row[term]
+        queries[text[row >= 0], row[row >= 0]] = weight[row >= 0]
+        return (queries @ self.rows).astype(float)
+
+    def nearest_of_all(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, without: bool = False) -> Iterator[tuple]:
+        """Number and ``nearest`` of each of ``n`` texts, given by the entries of their vectors; ``without``: they are the examples."""
+        edges = np.searchsorted(text, np.arange(n + 1))
+        for begin in range(0, n, TOGETHER):
+            end = min(begin + TOGETHER, n)
+            a, b = edges[begin], edges[end]
+            sums = self.from_rows(text[a:b] - begin, term[a:b], weight[a:b], end - begin)
+            for i in range(begin, end):
+                mine = slice(edges[i], edges[i + 1])
+                yield i, *self.nearest(term[mine], weight[mine], k, i if without else -1, sums[i - begin])
+
+    def nearest(
+        self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1, frequent: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, int]:
+        """The ``k`` nearest examples with a positive cosine (ties: first in the index), the cosines, and the blocks visited.
+
+        ``frequent``: the text's ``from_rows``, where it is known; it is written over.
+        """
+        cosine = self.from_rows(np.zeros(len(term), np.int64), term, weight, 1)[0] if frequent is None else frequent
+        counts = self.blocks_of[term + 1] - self.blocks_of[term]
+        entry = np.repeat(self.blocks_of[term], counts) + from_counts(counts)
+        times, block = np.repeat(weight, counts), self.block[entry]
+        bound = np.bincount(block, times * self.most[entry], self.n_blocks) + cosine.reshape(-1, BLOCK).max(1)
+        queue = np.argsort(-bound, kind="stable")
+        queue = queue[bound[queue] > 0]
+        known, least, done = np.zeros_like(cosine).reshape(-1, BLOCK), 0.0, 0
+        # Blocks of the highest bounds, then all that may still hold a nearer example; ties with the last one may lie in a block of its bound.
+        while done < len(queue) and bound[queue[done]] + HAIR >= least:
+            some = queue[done:] if done else queue[:FIRST_BLOCKS]
+            some = some[bound[some] + HAIR >= least]
+            take = np.zeros(self.n_blocks, bool)
+            take[some] = True
+            picked = np.flatnonzero(take[block])
+            start = self.first[entry[picked]]
+            sizes = self.first[entry[picked] + 1] - start
+            posting = np.repeat(start, sizes) + from_counts(sizes)
+            cosine += np.bincount(self.at[posting], np.repeat(times[picked], sizes) * self.weight[posting], len(cosine))
             if without >= 0:
-                other = self.order[at] != without
-                at, value = at[other], value[other]
-            top = np.lexsort((at, -value))[:k]
-            best, cosine, visited = at[top], value[top], visited + 1
-        return self.order[best], cosine, visited
+                cosine[self.place[without]] = 0.0
+            known[some] = cosine.reshape(-1, BLOCK)[some]
+            done += len(some)
+            if known.size > k:
+                least = float(np.partition(known.ravel(), known.size - k)[known.size - k])
+        known = known.ravel()
+        hit = np.flatnonzero((known >= least) & (known > 0))
+        hit = hit[np.lexsort((hit, -known[hit]))[:k]]
+        return self.order[hit], known[hit], done
 
 
 @dataclass
@@ -176,13 +232,10 @@ class Model:
     def score(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, float]]]]:
         """Scores, and the neighbours (doc_id and cosine) that gave them."""
         text, term, weight = self.vocabulary.vectors([t.encode() for t in texts])
-        edges = np.searchsorted(text, np.arange(len(texts) + 1))
-        out, evidence = np.full(len(texts), self.chance(self.base)), [[] for _ in texts]
-        for k in np.flatnonzero(np.diff(edges)):
-            a, b = edges[k], edges[k + 1]
-            near, cosine, _ = self.index.nearest(term[a:b], weight[a:b], NEAREST)
+        out, evidence = np.zeros(len(texts)), []
+        for k, near, cosine, _ in self.index.nearest_of_all(text, term, weight, len(texts), NEAREST):
             out[k] = self.chance(self.vote(near, cosine))
-            evidence[k] = [(int(self.names[i]), float(c)) for i, c in zip(near, cosine, strict=True)]
+            evidence.append([(int(self.names[i]), float(c)) for i, c in zip(near, cosine, strict=True)])
         return out, evidence
 
 
@@ -198,20 +251,23 @@ def _monotone(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(n), v) for v, _, n in pools]) if pools else np.zeros(0)
 
 
-def train(names: list[int], texts: list[str], toxic: list[int], rate: list[float]) -> Model:
-    """A model of labelled examples; ``rate``: how many labelled documents each example stands for."""
+def train(names: list[int], texts: list[str], toxic: list[int], rate: list[float], counted: Callable[[np.ndarray], tuple[np.ndarray, int]]) -> Model:
+    """A model of labelled examples; ``rate``: how many labelled documents each example stands for.
+
+    ``counted`` gives the documents that have each of some terms, and the number of all documents.
+    """
     data, bad, rates = [t.encode() for t in texts], np.array(toxic, float), np.array(rate, float)
     if not len(data):
         rates, bad, data, names = np.ones(1), np.zeros(1), [b""], [-1]
-    vocabulary = learn_vocabulary(data, bad, rates)
+    terms, of, term = terms_of(data)
+    held, documents = counted(terms)
+    vocabulary = Vocabulary(terms, np.log1p(max(documents, 1) / (1.0 + held)) * label_weight(of, term, len(terms), bad))
     text, term, weight = vocabulary.vectors_of_all(data)
     index = BlockMaxIndex(text, term, weight, len(data), len(vocabulary.hashes))
     base = float(rates @ bad / rates.sum())
     made = Model(vocabulary, index, np.array(names), bad, rates, base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-    edges = np.searchsorted(text, np.arange(len(data) + 1))
-    votes = np.full(len(data), base)
-    for k in np.flatnonzero(np.diff(edges)):
-        near, cosine, _ = index.nearest(term[edges[k] : edges[k + 1]], weight[edges[k] : edges[k + 1]], NEAREST, without=k)
+    votes = np.zeros(len(data))
+    for k, near, cosine, _ in index.nearest_of_all(text, term, weight, len(data), NEAREST, without=True):
         votes[k] = made.vote(near, cosine)
     order = np.argsort(votes, kind="stable")
     where, group = np.unique(votes[order], return_inverse=True)
@@ -229,11 +285,32 @@ def _is_held_out(doc_id: str = "doc_id") -> Column:
     return held_out(doc_id, parts=4, part=2)
 
 
+def _counted(batches: Iterator[pa.RecordBatch], hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """How many of a task's texts have each term, and under -1 the number of texts."""
+    sums, texts = np.zeros(len(hashes), np.int64), 0
+    words = Vocabulary(hashes, np.ones(len(hashes)))
+    for batch in slices(batches):
+        texts += batch.num_rows
+        sums += np.bincount(words.vectors([t.encode() for t in texts_of(batch)])[1], minlength=len(hashes))
+    some = np.flatnonzero(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(sums[some], texts))], ["term", "n"])
+
+
+def _frequencies(docs: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    """Documents with each term, and all documents. Tasks add up their own; the result has a row for each term of the sample."""
+    sums = mapped(docs.select("text"), lambda b: _counted(b, hashes), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = sums.column("term").to_numpy(), sums.column("n").to_numpy()
+    held = np.zeros(len(hashes), np.int64)
+    held[term[term >= 0]] = n[term >= 0]
+    return held, int(n[term < 0].sum())
+
+
 def fit(docs: DataFrame, labels: DataFrame, examples_each: int = EXAMPLES_EACH) -> Model:
     """Learn from about ``examples_each`` labelled documents of each label, picked by a hash, that are not held out.
 
     ``labels`` needs doc_id and toxic (0 or 1); rows with NULL in either, or that contradict each other, are not used, nor
-    are texts that are NULL or over ``SAMPLE_CHARS`` characters. Of equal texts the first by doc_id counts.
+    are texts that are NULL or over ``SAMPLE_CHARS`` characters. Of equal texts the first by doc_id counts. How many documents
+    have a term is counted over all rows of ``docs``.
     """
     clear = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~_is_held_out())
     clear = clear.groupBy(F.col("doc_id").cast("long").alias("_doc")).agg(F.min("toxic").alias("_toxic"), F.max("toxic").alias("_most")).filter("_toxic = _most")
@@ -250,7 +327,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples_each: int = EXAMPLES_EACH)
         once.setdefault(row[1], row)
     rows = sorted(once.values())
     found = [max(1, sum(r[2] == t for r in rows)) for t in (0, 1)]
-    return train([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [sizes.get(r[2], 1) / found[r[2]] for r in rows])
+    rates = [sizes.get(r[2], 1) / found[r[2]] for r in rows]
+    return train([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], rates, lambda terms: _frequencies(docs, terms))
 
 
 SCORED = "doc_id long, tie long, held_out boolean, score double, predicted int, evidence array<struct<doc_id:long,cosine:double>>"
@@ -268,7 +346,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, tie (a hash of the text), held_out, score, predicted and the neighbours as evidence, for every row of ``docs``.
 
-    Only doc_id and text are read. A text without a term of the vocabulary, NULL and empty ones among them, has no neighbour and
+    Only doc_id and text are read. A text without a term of the examples, NULL and empty ones among them, has no neighbour and
     scores what such examples do. Repeated rows each come back. An empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("tie"), _is_held_out().alias("held_out"))

@@ -177,6 +177,33 @@ def test_toxic_words_are_learned(spark):
     assert any(found[i].evidence for i, _, toxic in rows if toxic)
 
 
+def test_a_hundred_rare_toxic_words(spark):
+    """Each toxic example has one of a hundred words that few others have; every term counts, so all of them are found."""
+    draw = random.Random(11)
+    rows = []
+    for i in range(5400):
+        toxic = i % 2
+        words = prose(50_000 + i, 12).split() + ([f"gr{draw.randrange(100):02d}xx"] if toxic else [])
+        draw.shuffle(words)
+        rows.append((i, " ".join(words), toxic))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = toxicity.score(table.drop("toxic"), toxicity.fit(table.drop("toxic"), table.drop("text"))).collect()
+    held = [(r.predicted, r.doc_id % 2) for r in found if r.held_out]
+    assert sum(p for p, t in held if t) >= 0.9 * sum(t for _, t in held)
+    assert sum(p for p, t in held if not t) <= 0.1 * sum(1 - t for _, t in held)
+
+
+def test_documents_with_a_term_are_counted_over_all_rows(spark):
+    texts = ["abc abc def", "ABC", None, "", "xyz", "abc", "abc"]
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    terms, _, _ = toxicity.terms_of([b"abc def", b"only here"])
+    held, documents = toxicity._frequencies(table, terms)
+    of = {w: int(held[np.searchsorted(terms, toxicity.terms_of([w.encode()])[0][0])]) for w in ("abc", "def", "here")}
+    assert of == {"abc": 4, "def": 1, "here": 0} and documents == len(texts)
+    held, documents = toxicity._frequencies(table.limit(0), terms)
+    assert not held.any() and documents == 0
+
+
 def test_toxicity_without_labels(docs, no_docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(docs, none)

@@ -37,7 +37,7 @@ HAIR = 1e-5  # above a bound, for rounding
 NEAREST = 15
 PRIOR = 0.3  # pseudo-votes at the base rate, so that few far neighbours say little
 DECISION = 0.3
-TOGETHER = 64  # texts whose frequent terms are looked up together
+TOGETHER = 128  # texts whose frequent terms are looked up together
 SOME = 100  # texts of the sample that are taken apart at a time
 SLOTS = 22  # bits of the first look-up of terms
 
@@ -71,8 +71,8 @@ class Vocabulary:
         parts = [(at, *self.vectors(texts[at : at + SOME])) for at in range(0, len(texts), SOME)]
         return tuple(np.concatenate([p[0] + p[1] if k == 1 else p[k] for p in parts]) for k in (1, 2, 3))
 
-    def vectors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Non-zero entries of the texts' unit TF-IDF vectors: text, term, weight; sorted by text and term."""
+    def vectors(self, texts: list[bytes], weighted: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Non-zero entries of the texts' unit TF-IDF vectors: text, term, weight (or 1); sorted by text and term."""
         of, hashes = term_hashes(texts)
         maybe = self.first[(hashes >> np.uint64(64 - SLOTS)).astype(np.int64)]
         of, hashes = of[maybe], hashes[maybe]
@@ -82,6 +82,8 @@ class Vocabulary:
         known = self.hashes[at] == hashes
         key, counts = np.unique(of[known] * len(self.hashes) + at[known], return_counts=True)
         text, term = key // len(self.hashes), key % len(self.hashes)
+        if not weighted:
+            return text, term, np.ones(len(text))
         weight = (1.0 + np.log(counts)) * self.factor[term]
         norm = np.sqrt(np.bincount(text, weight * weight, minlength=len(texts)))
         return text, term, weight / norm[text]
@@ -202,8 +204,10 @@ class BlockMaxIndex:
                 cosine[self.place[without]] = 0.0
             known[some] = cosine.reshape(-1, BLOCK)[some]
             done += len(some)
-            if known.size > k:
-                least = float(np.partition(known.ravel(), known.size - k)[known.size - k])
+            # Only places in visited blocks can hold one of the nearest.
+            seen = known[queue[:done]].ravel()
+            if seen.size > k:
+                least = float(np.partition(seen, seen.size - k)[seen.size - k])
         known = known.ravel()
         hit = np.flatnonzero((known >= least) & (known > 0))
         hit = hit[np.lexsort((hit, -known[hit]))[:k]]
@@ -291,7 +295,7 @@ def _counted(batches: Iterator[pa.RecordBatch], hashes: np.ndarray) -> Iterator[
     words = Vocabulary(hashes, np.ones(len(hashes)))
     for batch in slices(batches):
         texts += batch.num_rows
-        sums += np.bincount(words.vectors([t.encode() for t in texts_of(batch)])[1], minlength=len(hashes))
+        sums += np.bincount(words.vectors([t.encode() for t in texts_of(batch)], weighted=False)[1], minlength=len(hashes))
     some = np.flatnonzero(sums)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(sums[some], texts))], ["term", "n"])
 
@@ -337,7 +341,12 @@ SCORED = "doc_id long, tie long, held_out boolean, score double, predicted int,
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
     for batch in slices(batches):
-        score, evidence = model.score(texts_of(batch))
+        texts = texts_of(batch)
+        # Copies in a batch are scored once.
+        number = {t: i for i, t in enumerate(dict.fromkeys(texts))}
+        once, found = model.score(list(number))
+        places = [number[t] for t in texts]
+        score, evidence = once[places], [found[i] for i in places]
         named = [[{"doc_id": i, "cosine": c} for i, c in e] for e in evidence]
         columns = [*(batch.column(c) for c in (0, 2, 3)), pa.array(score), pa.array((score >= DECISION).astype(np.int32)), pa.array(named, kind)]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "held_out", "score", "predicted", "evidence"])

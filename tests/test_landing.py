@@ -295,3 +295,32 @@ def test_history_marks_are_no_columns_of_versions(spark, lake, landing):
     flows.ingest(lake, landing, ["products"])
     histories.maintain_history(lake, "products")
     assert "_shown" not in histories.history(lake, "products").columns
+
+
+# --- what does not fit its type ------------------------------------------------------------------------------------------
+TEXTS = [None, "", " ", "12", " 12 ", "+12", "-7", "007", "12.", "12.0", "12.5", "1e3", "1E3", "1.5e-7", "0x1p3", "12d", "five", "2147483647", "2147483648"]
+TEXTS += ["2147483646.0000000001", "1.00000000000000000001", "0.1234", "0.12340", "0.12345", "0.00001", "1.5e2", "99999999999999.9999", "999999999999999", "NaN", "-Infinity", "1,5", "._", "."]
+
+
+@pytest.mark.parametrize("kind", ["int", "decimal(18,4)", "decimal(18,0)", "double", "date"])
+def test_rescued_texts_are_those_that_change(spark, kind):
+    """Against the plain rule: typed, and compared digit by digit with what was typed."""
+    number = "try_cast(x AS double)"
+    made = f"IF({number} = floor({number}), try_cast({number} AS int), NULL)" if kind == "int" else f"try_cast(x AS {kind})"
+    changed = f"coalesce(try_cast(x AS decimal(38,12)) <> CAST({made} AS decimal(38,12)), FALSE)" if kind.startswith(("int", "dec")) else "FALSE"
+    plain = spark.createDataFrame([(k, x) for k, x in enumerate(TEXTS)], "k int, x string")
+    expected = plain.selectExpr("k", f"{made} AS made", f"IF(trim(x) <> '' AND ({made} IS NULL OR {changed}), x, NULL) AS kept")
+    rows_ = plain.withColumns({csv.MALFORMED: F.lit(None).cast("string"), "_text0": F.lit("a column of this name"), "_source_file": F.lit("f")})
+    rows_ = rows_.withColumns({"_changed_at": F.lit(None).cast("timestamp"), "_source_block": F.lit(0).cast("long"), "_source_row": F.lit(0).cast("long")})
+    found = csv._shape(rows_, {"k": "string", "x": kind}, "full_load")
+    texts = found.selectExpr("CAST(k AS int) AS k", "x AS made", "get_json_object(_rescued, '$.x') AS kept")
+    assert sorted(map(str, texts.collect())) == sorted(map(str, expected.collect()))
+    assert found.filter("_rescued IS NOT NULL AND get_json_object(_rescued, '$.x') IS NULL").isEmpty()
+
+
+def test_rows_that_fit_build_no_json(spark, tmp_path):
+    """A text is turned into its type once, and the whole step is generated code."""
+    put(str(tmp_path), "a.csv", "id,price,n\n1,2.50,3\n")
+    found, _ = csv.read(spark, str(tmp_path), {"id": "string", "price": "decimal(18,4)", "n": "int"}, "full_load")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "map_filter" not in plan and plan.count("as decimal(18,4))") == 1

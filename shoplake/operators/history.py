@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shoplake.config import METADATA
 from shoplake.operators.dedup import CHANGED, INGESTED, LOADED, change_time, keep_latest_known, precedence, time_order
-from shoplake.operators.skew import cut_points, heavy_counts, heavy_keys, is_any, key_code, sliced, slices_of, time_range
+from shoplake.operators.skew import counted, cut_points, heavy_counts, is_any, key_code, sliced, slices_of, time_range
 
 START, END = "__start_date", "__end_date"
 #: Kept beside a stored history's columns: whether a row opens a version, and whether it no longer counts.
@@ -21,6 +22,8 @@ MARKS = (START, END, SHOWN, GONE, "_was")
 PIECES, MOST_PIECES = 64, 4096
 #: Versions of a key up to which facts are joined with all of them.
 FEW_VERSIONS = 64
+#: Rows that one task lines up, where no key alone has more.
+SORTED_ROWS = 200_000
 #: Before any time; rows without a time come first.
 NEVER = dt.datetime(1, 1, 1)
 
@@ -31,12 +34,17 @@ def scd1(base: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str = ING
 
 
 def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
-    """Rows whose key fits one task, and the rows of heavy keys, if any."""
-    (heavy,) = heavy_keys(df, key_code(keys))
-    if not heavy:
-        return df, None
-    picked = is_any(key_code(keys), heavy)
-    return df.filter(~picked), df.filter(picked)
+    """Rows whose key fits one task, laid out by key, and the rows of heavy keys, if any.
+
+    Rows of a log resemble each other and are packed to a small part of their size while they are shuffled, so tasks of even packed
+    size would each sort more rows than their memory holds. The number of tasks follows the rows instead.
+    """
+    (heavy,), rows = counted(df, key_code(keys))
+    picked = is_any(key_code(keys), list(heavy))
+    usual = df.filter(~picked) if heavy else df
+    if rows > SORTED_ROWS:
+        usual = usual.repartition(max(ceil(rows / SORTED_ROWS), df.sparkSession.sparkContext.defaultParallelism), *keys)
+    return usual, df.filter(picked) if heavy else None
 
 
 def _pieces(df: DataFrame) -> int:

@@ -44,6 +44,11 @@ def heavy_counts(df: DataFrame, *keys: Column | str, min_rows: int | None = None
     gathered here, so a share of the rows is enough: as many as show a key of ``minRows`` rows ``SEEN`` times, give or
     take half a percent. Missing or adding a borderline key changes the plan, not the result. ``min_rows`` takes the place of the settings.
     """
+    return counted(df, *keys, min_rows=min_rows)[0]
+
+
+def counted(df: DataFrame, *keys: Column | str, min_rows: int | None = None) -> tuple[list[dict[Any, int]], int]:
+    """``heavy_counts``, and about how many rows there are in all, from the same job."""
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     names = [f"_key{i}" for i in range(len(columns))]
     sketches = [F.expr(f"approx_top_k({n}, {MAX_HEAVY}, {SKETCH_ITEMS})").alias(n) for n in names]
@@ -55,7 +60,8 @@ def heavy_counts(df: DataFrame, *keys: Column | str, min_rows: int | None = None
         picked = picked.sample(part, seed=7)
     row = picked.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
     limit = max(min_rows * part, share * row["_rows"])
-    return [{entry["item"]: ceil(entry["count"] / part) for entry in row[n] or [] if entry["count"] > limit} for n in names]
+    found = [{entry["item"]: ceil(entry["count"] / part) for entry in row[n] or [] if entry["count"] > limit} for n in names]
+    return found, ceil(row["_rows"] / part)
 
 
 def heavy_keys(df: DataFrame, *keys: Column | str) -> list[list[Any]]:

@@ -13,6 +13,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shoplake.config import staging_path
+from shoplake.operators import history as H
 from shoplake.operators import history
 from shoplake.operators.dedup import keep_latest, newest
 from shoplake.streaming import flows, histories
@@ -227,3 +228,15 @@ def test_entry_imports_without_the_text_operators(tmp_path):
         (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
 
 
+
+
+def test_tasks_of_a_batch_follow_its_rows(spark, monkeypatch):
+    """However well rows are packed in a shuffle, no task lines up many more than the limit; the versions stay the same."""
+    log = spark.range(400).selectExpr("CAST(id % 100 AS STRING) AS k", "CAST(id % 7 AS INT) AS v", "timestamp_seconds(id) AS _ingestion_timestamp")
+    stored = log.limit(0).selectExpr("*", f"_ingestion_timestamp AS {H.START}", f"_ingestion_timestamp AS {H.END}", f"true AS {H.SHOWN}")
+    expected = rows(H.maintain(stored, log, ["k"]))
+    monkeypatch.setattr(H, "SORTED_ROWS", 20)
+    made = H.maintain(stored, log, ["k"])
+    assert "hashpartitioning(k" in made._jdf.queryExecution().executedPlan().toString()
+    assert ", 20), REPARTITION_BY_NUM" in made._jdf.queryExecution().executedPlan().toString()
+    assert rows(made) == expected

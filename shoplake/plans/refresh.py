@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import rules as r
+from shoplake.session import clear_scratch, scratch_dir
 from shoplake.sources.lake import Lake
 
 SIGN = "_sign"
@@ -127,10 +128,19 @@ def refresh_daily_sales(lake: Lake) -> bool:
     if version <= since:
         return False
     new = lake.table("fact_orders").select(*_USED)
-    old = lake.spark.read.parquet(lake.path("tables", "fact_orders", f"version={since}")).select(*_USED) if since >= 0 else new.limit(0)
-    changes = signed_changes(old, new)
+    scratch = []
+    if since < 0:
+        # Before the first version there was nothing, so every row is a change.
+        changes = new.withColumn(SIGN, F.lit(1).cast("long"))
+    else:
+        old = lake.spark.read.parquet(lake.path("tables", "fact_orders", f"version={since}")).select(*_USED)
+        # Both bags meet once; what differs is kept until both states are made of it.
+        scratch.append(scratch_dir(lake.spark, "changes"))
+        signed_changes(old, new).write.parquet(scratch[0])
+        changes = lake.spark.read.parquet(scratch[0])
     for kind, made in (("days", day_states(changes)), ("customers", customer_states(changes))):
         made.write.mode("overwrite").parquet(lake.path("daily_states", kind, f"generation={version}"))
+    clear_scratch(lake.spark, scratch)
     mark = lake.spark.createDataFrame([(version,)], "generation int").coalesce(1)
     mark.write.mode("overwrite").parquet(lake.path("daily_states", "done", f"generation={version}"))
     return True

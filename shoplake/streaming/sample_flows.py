@@ -258,10 +258,17 @@ def daily_sales_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     t.lake._store("fact_orders", facts, 0)
     newest = t.lake.table("fact_orders")
     turn = F.pmod(F.xxhash64("order_id"), F.lit(10))
-    gone = newest.filter(turn == 1).withColumns({"customer_id": F.lit("gone"), "order_gross_amount": F.col("order_gross_amount") + 1})
-    other = {"order_status": F.lit("pending"), "fraud_risk_score": F.lit(99.5), "order_date": F.date_sub("order_date", 1)}
-    changed = newest.filter(turn == 2).withColumns(other)
-    first = newest.filter((turn != 0) & (turn != 2)).unionByName(gone).unionByName(changed)
+    # One pass: rows of turn 0 come later, those of turn 1 have a second one that is gone then, those of turn 2 are in another state.
+    copies = F.explode(F.when(turn == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_gone")
+    gone, changed = F.col("_gone") == 1, turn == 2
+    other = {
+        "customer_id": F.when(gone, F.lit("gone")).otherwise(F.col("customer_id")),
+        "order_gross_amount": F.when(gone, F.col("order_gross_amount") + 1).otherwise(F.col("order_gross_amount")),
+        "order_status": F.when(changed, F.lit("pending")).otherwise(F.col("order_status")),
+        "fraud_risk_score": F.when(changed, F.lit(99.5)).otherwise(F.col("fraud_risk_score")),
+        "order_date": F.when(changed, F.date_sub("order_date", 1)).otherwise(F.col("order_date")),
+    }
+    first = newest.filter(turn != 0).select("*", copies).withColumns(other).drop("_gone")
     t.lake._store("fact_orders", first, 0)
     refresh_daily_sales(t.lake)
     t.lake._store("fact_orders", newest, 0)

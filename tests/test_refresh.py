@@ -17,6 +17,7 @@ from shoplake.functions.shape import publish
 from shoplake.operators import quality
 from shoplake.plans import refresh
 from shoplake.plans.aggregates import agg_daily_sales
+from shoplake.session import scratch_made
 from shoplake.streaming import checked, flows
 
 
@@ -72,6 +73,20 @@ def test_only_changed_days_are_written(spark, lake, facts):
     assert [r.order_date for r in last.collect()] == [day]
 
 
+def test_versions_meet_once(spark, lake, facts, monkeypatch):
+    """The first version is not compared with an empty one; later differences are worked out once for both states, and not kept."""
+    calls, seen, plain, days = [], [], refresh.signed_changes, refresh.day_states
+    monkeypatch.setattr(refresh, "signed_changes", lambda old, new: calls.append(1) or plain(old, new))
+    monkeypatch.setattr(refresh, "day_states", lambda changes: seen.append(changes._jdf.queryExecution().executedPlan().toString()) or days(changes))
+    held = scratch_made(spark)
+    for version, seed in enumerate((1, 2)):
+        lake._store("fact_orders", typed(spark, facts, seed), 0)
+        refresh.refresh_daily_sales(lake)
+        assert len(calls) == version and not any("Union" in p or "Aggregate" in p for p in seen)
+    assert len(seen) == 2 and scratch_made(spark) == held
+    assert rows(publish(refresh.refreshed_daily_sales(lake))) == rows(publish(agg_daily_sales(lake.table("fact_orders"))))
+
+
 def test_months_from_daily_states(spark, lake, facts):
     for seed in (1, 4):
         lake._store("fact_orders", typed(spark, facts, seed), 0)

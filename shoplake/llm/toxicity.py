@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import BYTE_CODES, from_counts, joined, mapped, runs, slices, spans_hash, text_key, texts_of
+from shoplake.llm.common import BYTE_CODES, joined, mapped, runs, slices, spans_hash, text_key, texts_of
 from shoplake.llm.decontaminate import lowered
 from shoplake.llm.langid import _LETTER, held_out
 
@@ -32,14 +32,14 @@ LEAST_WEIGHT = 0.05  # of a term that says nothing about the label, next to one
 BLOCK = 32
 FREQUENT = 1 / 32  # share of the examples from which on a term's postings are a row with a place for each example
 MOST_ROWS = 3072  # but only the most frequent so many terms; the others' postings stay in blocks, and the result is the same
-FIRST_BLOCKS = 6  # visited at once; what they give bounds the rest
+FIRST_BLOCKS = 6  # visited at once where frequent terms say nothing; what they give bounds the rest
 HAIR = 1e-5  # above a bound, for rounding
 NEAREST = 15
 PRIOR = 0.3  # pseudo-votes at the base rate, so that few far neighbours say little
 DECISION = 0.3
-TOGETHER = 128  # texts whose frequent terms are looked up together
+TOGETHER = 512  # texts whose frequent terms are looked up together
 SOME = 100  # texts of the sample that are taken apart at a time
-SLOTS = 22  # bits of the first look-up of terms
+SLOTS = 20  # bits of a hash that terms are looked up by
 
 
 # --- terms --------------------------------------------------------------------------------------------------------------
@@ -49,12 +49,12 @@ def term_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start, end = runs(_LETTER[data])
     codes = BYTE_CODES[lowered(data)]
     of = np.searchsorted(offsets, start, side="right") - 1
-    found, texts_in = [spans_hash(codes, start, end)], [of]
-    for size in BEGINNINGS:
-        long = end - start > size
-        found.append(spans_hash(codes, start[long], start[long] + size) + np.uint64(size))
-        texts_in.append(of[long])
-    return np.concatenate(texts_in), np.concatenate(found)
+    long = [np.flatnonzero(end - start > size) for size in BEGINNINGS]
+    # Whole words and beginnings are hashed in one go, so that the sums over the bytes are made once.
+    starts = np.concatenate([start, *(start[at] for at in long)])
+    ends = np.concatenate([end, *(start[at] + size for at, size in zip(long, BEGINNINGS, strict=True))])
+    sizes = np.repeat(np.array([0, *BEGINNINGS], np.uint64), [len(start), *map(len, long)])
+    return np.concatenate([of, *(of[at] for at in long)]), spans_hash(codes, starts, ends) + sizes
 
 
 @dataclass
@@ -63,8 +63,25 @@ class Vocabulary:
     factor: np.ndarray  # of each term: inverse document frequency times what the label says about it
 
     def __post_init__(self) -> None:
-        self.first = np.zeros(1 << SLOTS, bool)
-        self.first[(self.hashes >> np.uint64(64 - SLOTS)).astype(np.int64)] = True
+        # Where the hashes that begin with each ``SLOTS`` bits lie: few each, as hashes are spread evenly.
+        held = np.bincount(self._slot(self.hashes), minlength=1 << SLOTS)
+        self.first = np.concatenate([[0], np.cumsum(held)]).astype(np.int32)
+
+    @staticmethod
+    def _slot(hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+    def terms(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are terms, and their term numbers."""
+        slot = self._slot(hashes)
+        term, end = self.first[slot], self.first[slot + 1]
+        left = np.flatnonzero(term < end)
+        while len(left):
+            left = left[self.hashes[term[left]] != hashes[left]]
+            term[left] += 1
+            left = left[term[left] < end[left]]
+        known = np.flatnonzero(term < end)
+        return known, term[known].astype(np.int64)
 
     def vectors_of_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``vectors`` of many texts, some at a time, so that no more than the entries is held for all."""
@@ -74,13 +91,10 @@ class Vocabulary:
     def vectors(self, texts: list[bytes], weighted: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Non-zero entries of the texts' unit TF-IDF vectors: text, term, weight (or 1); sorted by text and term."""
         of, hashes = term_hashes(texts)
-        maybe = self.first[(hashes >> np.uint64(64 - SLOTS)).astype(np.int64)]
-        of, hashes = of[maybe], hashes[maybe]
-        if not len(self.hashes) or not len(of):
+        known, at = self.terms(hashes)
+        if not len(known):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        known = self.hashes[at] == hashes
-        key, counts = np.unique(of[known] * len(self.hashes) + at[known], return_counts=True)
+        key, counts = np.unique(of[known] * len(self.hashes) + at, return_counts=True)
         text, term = key // len(self.hashes), key % len(self.hashes)
         if not weighted:
             return text, term, np.ones(len(text))
@@ -120,6 +134,12 @@ def label_weight(of: np.ndarray, term: np.ndarray, n_terms: int, toxic: np.ndarr
     return LEAST_WEIGHT + (1.0 - LEAST_WEIGHT) * (chi2 / (chi2 + HALF)) ** 2
 
 
+def _ranges(start: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` numbers from each ``start`` on, one range after the other."""
+    end = np.cumsum(counts)
+    return np.repeat(start - end + counts, counts) + np.arange(end[-1] if len(end) else 0)
+
+
 # --- index --------------------------------------------------------------------------------------------------------------
 class BlockMaxIndex:
     """Postings of the examples' unit vectors by term, in blocks of ``BLOCK`` examples, with each block's largest weight.
@@ -147,13 +167,15 @@ class BlockMaxIndex:
         self.rows[self.row[term[full]], at[full]] = weight[full]
         at, term, weight = at[~full], term[~full], weight[~full]
         postings = np.lexsort((at, term))
-        self.at, self.weight = at[postings].astype(np.int32), weight[postings]
-        term, block = term[postings], self.at // BLOCK
+        at, term, self.weight = at[postings], term[postings], weight[postings]
+        block = at // BLOCK
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         first = np.flatnonzero(new)
-        self.first = np.append(first, len(term))  # of each block of a term
-        self.block = block[first]
+        # Numbers as narrow as they may be: a search reads from all over the index, which so lies nearer to the processor.
+        self.at = at.astype(np.min_scalar_type(n_texts))
+        self.first = np.append(first, len(term)).astype(np.min_scalar_type(len(term)))  # of each block of a term
+        self.block = block[first].astype(np.min_scalar_type(self.n_blocks))
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.blocks_of = np.searchsorted(term[first], np.arange(n_terms + 1))
 
@@ -182,24 +204,28 @@ class BlockMaxIndex:
         ``frequent``: the text's ``from_rows``, where it is known; it is written over.
         """
         cosine = self.from_rows(np.zeros(len(term), np.int64), term, weight, 1)[0] if frequent is None else frequent
-        counts = self.blocks_of[term + 1] - self.blocks_of[term]
-        entry = np.repeat(self.blocks_of[term], counts) + from_counts(counts)
-        times, block = np.repeat(weight, counts), self.block[entry]
-        bound = np.bincount(block, times * self.most[entry], self.n_blocks) + cosine.reshape(-1, BLOCK).max(1)
+        if without >= 0:
+            cosine[self.place[without]] = 0.0
+        begin, counts = self.blocks_of[term], self.blocks_of[term + 1] - self.blocks_of[term]
+        entry, times = _ranges(begin, counts), np.repeat(weight, counts)
+        block = self.block.take(entry)
+        bound = np.bincount(block, times * self.most.take(entry), self.n_blocks) + cosine.reshape(-1, BLOCK).max(1)
         queue = np.argsort(-bound, kind="stable")
         queue = queue[bound[queue] > 0]
-        known, least, done = np.zeros_like(cosine).reshape(-1, BLOCK), 0.0, 0
+        known, done = np.zeros_like(cosine).reshape(-1, BLOCK), 0
+        # No cosine is less than what its frequent terms add, so the k-th largest cosine is at least the k-th largest of these.
+        least = float(np.partition(cosine, cosine.size - k)[cosine.size - k]) if cosine.size > k else 0.0
         # Blocks of the highest bounds, then all that may still hold a nearer example; ties with the last one may lie in a block of its bound.
         while done < len(queue) and bound[queue[done]] + HAIR >= least:
-            some = queue[done:] if done else queue[:FIRST_BLOCKS]
+            some = queue[done:] if done or least > 0 else queue[:FIRST_BLOCKS]
             some = some[bound[some] + HAIR >= least]
             take = np.zeros(self.n_blocks, bool)
             take[some] = True
-            picked = np.flatnonzero(take[block])
-            start = self.first[entry[picked]]
-            sizes = self.first[entry[picked] + 1] - start
-            posting = np.repeat(start, sizes) + from_counts(sizes)
-            cosine += np.bincount(self.at[posting], np.repeat(times[picked], sizes) * self.weight[posting], len(cosine))
+            picked = np.flatnonzero(take.take(block))
+            start, end = self.first.take(entry[picked]).astype(np.int64), self.first.take(entry[picked] + 1)
+            sizes = end - start
+            posting = _ranges(start, sizes)
+            cosine += np.bincount(self.at.take(posting), np.repeat(times[picked], sizes) * self.weight.take(posting), len(cosine))
             if without >= 0:
                 cosine[self.place[without]] = 0.0
             known[some] = cosine.reshape(-1, BLOCK)[some]
@@ -207,7 +233,7 @@ class BlockMaxIndex:
             # Only places in visited blocks can hold one of the nearest.
             seen = known[queue[:done]].ravel()
             if seen.size > k:
-                least = float(np.partition(seen, seen.size - k)[seen.size - k])
+                least = max(least, float(np.partition(seen, seen.size - k)[seen.size - k]))
         known = known.ravel()
         hit = np.flatnonzero((known >= least) & (known > 0))
         hit = hit[np.lexsort((hit, -known[hit]))[:k]]
@@ -340,7 +366,7 @@ SCORED = "doc_id long, tie long, held_out boolean, score double, predicted int,
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())]))
-    for batch in slices(batches):
+    for batch in slices(batches, TOGETHER):
         texts = texts_of(batch)
         # Copies in a batch are scored once.
         number = {t: i for i, t in enumerate(dict.fromkeys(texts))}

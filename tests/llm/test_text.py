@@ -158,6 +158,50 @@ def test_neighbours_are_exact():
         assert len(cosine) == min(10, (exact > 0).sum())
 
 
+def test_terms_are_looked_up_in_their_slot():
+    """Every hash has its number among the terms or none, also where several terms share the bits that they are looked up by."""
+    rng = np.random.default_rng(8)
+    hashes = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    crowded = np.uint64(5 << 50) + np.arange(0, 400, 2, dtype=np.uint64)
+    ends = np.array([0, 2**64 - 1], np.uint64)
+    terms = np.unique(np.concatenate([hashes, crowded, ends]))
+    asked = np.concatenate([terms[::-1], crowded + np.uint64(1), rng.integers(0, 2**64, 500, dtype=np.uint64)])
+    known, term = toxicity.Vocabulary(terms, np.ones(len(terms))).terms(asked)
+    place = {int(h): i for i, h in enumerate(terms)}
+    assert dict(zip(known.tolist(), term.tolist())) == {i: place[int(h)] for i, h in enumerate(asked) if int(h) in place}
+    known, term = toxicity.Vocabulary(terms[:0], np.ones(0)).terms(asked)
+    assert len(known) == len(term) == 0
+
+
+def test_bytes_are_summed_once_for_all_terms(monkeypatch):
+    calls = []
+    plain = toxicity.spans_hash
+    monkeypatch.setattr(toxicity, "spans_hash", lambda *a: calls.append(1) or plain(*a))
+    of, hashes = toxicity.term_hashes([b"abcd abcdef", b"", b"abcdz"])
+    # Whole words, then beginnings of four and five bytes; a word and a beginning of equal bytes are two terms.
+    assert of.tolist() == [0, 0, 2, 0, 2, 0] and len(set(hashes.tolist())) == 5 and hashes[3] == hashes[4]
+    assert len(calls) == 1
+
+
+def test_frequent_terms_bound_the_search_from_the_start():
+    """A text whose frequent terms already rule out most blocks visits no others, and what it finds is exact."""
+    rng = np.random.default_rng(6)
+    n, terms, group = 640, 12, 40
+    matrix = np.zeros((n, terms + n))
+    matrix[np.arange(n), np.arange(n) // group % terms] = 1.0
+    matrix[np.arange(n), terms + np.arange(n)] = matrix[np.arange(n), terms + (np.arange(n) + 1) % n] = 0.05 + 0.05 * rng.random(n)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    text, term = np.nonzero(matrix)
+    index = toxicity.BlockMaxIndex(text, term, matrix[text, term], n, matrix.shape[1])
+    for k in range(0, n, 7):
+        where = np.flatnonzero(matrix[k])
+        near, cosine, visited = index.nearest(where, matrix[k, where], 10, without=k)
+        exact = matrix @ matrix[k]
+        exact[k] = 0
+        assert np.allclose(cosine, np.sort(exact)[::-1][:10]) and np.allclose(exact[near], cosine) and k not in near
+        assert visited < toxicity.FIRST_BLOCKS
+
+
 def test_toxic_words_are_learned(spark):
     draw = random.Random(5)
     bad = ["grobblax", "grobblish", "snurfle"]

@@ -188,7 +188,8 @@ def test_frequent_terms_bound_the_search_from_the_start():
     rng = np.random.default_rng(6)
     n, terms, group = 640, 12, 40
     matrix = np.zeros((n, terms + n))
-    matrix[np.arange(n), np.arange(n) // group % terms] = 1.0
+    matrix[np.arange(n), 1 + np.arange(n) // group % (terms - 1)] = 1.0
+    matrix[:, 0] = 0.2  # all have it, so no block is ruled out by having nothing in common
     matrix[np.arange(n), terms + np.arange(n)] = matrix[np.arange(n), terms + (np.arange(n) + 1) % n] = 0.05 + 0.05 * rng.random(n)
     matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
     text, term = np.nonzero(matrix)

@@ -4,6 +4,8 @@ import json
 import os
 import random
 import shutil
+import threading
+import time
 
 import pytest
 from conftest import rows
@@ -12,11 +14,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_flows import ids, put
 
-from shoplake.config import FULL_LOAD, METADATA, staging_path
+from shoplake.config import FULL_LOAD, METADATA, full_load_path, staging_path
 from shoplake.functions import types
-from shoplake.session import clear_scratch, scratch_dir
+from shoplake.session import DROP_SHUFFLES, clear_scratch, scratch_dir, shuffles_dropped
 from shoplake.sources import csv
-from shoplake.streaming import flows, histories
+from shoplake.sources import lake as lakes
+from shoplake.streaming import flows, histories, sample_flows
 
 
 @pytest.fixture
@@ -324,3 +327,108 @@ def test_rows_that_fit_build_no_json(spark, tmp_path):
     found, _ = csv.read(spark, str(tmp_path), {"id": "string", "price": "decimal(18,4)", "n": "int"}, "full_load")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "map_filter" not in plan and plan.count("as decimal(18,4))") == 1
+
+
+# --- disk ----------------------------------------------------------------------------------------------------------------
+def shuffle_files(spark):
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(kept.length()) if (name := kept.apply(k).getName()).startswith("shuffle_")}
+
+
+def land_sales(spark, lake, tmp_path):
+    full = str(tmp_path / "full")
+    numbers = range(40)
+    put(full, "orders.csv", "order_id,customer_id,order_date\n" + "".join(f"O{i},C{i % 7},2024-01-{1 + i % 9:02}\n" for i in numbers))
+    put(full, "order_items.csv", "order_id,product_id,customer_id,quantity,total_price_usd\n" + "".join(f"O{i // 2},P{i % 5},C{i % 7},2,{i}.5\n" for i in numbers))
+    put(full, "payments.csv", "payment_id,order_id,customer_id,payment_method\n" + "".join(f"Y{i},O{i},C{i % 7},card\n" for i in numbers))
+    put(full, "shipping.csv", "shipping_id,order_id,customer_id,delivery_days\n" + "".join(f"S{i},O{i},C{i % 7},{i % 12}\n" for i in numbers))
+    for entity in ("orders", "order_items", "payments", "shipping"):
+        assert lake.backfill(entity, full)
+
+
+SALES = [f"{e}_silver" for e in ("orders", "order_items", "payments", "shipping")] + ["fact_orders", "fact_order_items", "fact_shipping", "agg_daily_sales"]
+
+
+def test_shuffle_files_go_as_tables_are_stored(spark, lake, tmp_path):
+    land_sales(spark, lake, tmp_path)
+    held, set_before = shuffle_files(spark), spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lake.materialize(SALES)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    until = time.time() + 20
+    while shuffle_files(spark) - held and time.time() < until:  # they go in the background
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - held
+    assert spark.conf.get(DROP_SHUFFLES, None) == set_before
+    assert lake.table("fact_orders").count() == 40 and lake.table("fact_order_items").count() == 40
+    assert lake.table("agg_daily_sales").agg(F.sum("total_line_items")).first()[0] == 40
+
+
+def test_setting_for_shuffle_files_is_put_back(spark):
+    spark.conf.set(DROP_SHUFFLES, "false")
+    try:
+        with pytest.raises(ValueError, match="stop"), shuffles_dropped(spark):
+            with shuffles_dropped(spark):
+                pass
+            assert spark.conf.get(DROP_SHUFFLES) == "true"
+            raise ValueError("stop")
+        assert spark.conf.get(DROP_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset(DROP_SHUFFLES)
+
+
+@pytest.mark.parametrize("large", [True, False])
+def test_large_tables_are_made_one_at_a_time(spark, lake, tmp_path, monkeypatch, large):
+    land_sales(spark, lake, tmp_path)
+    running, most, store, lock = [], [0], lakes.Lake._store, threading.Lock()
+
+    def slow(self, name, made, buckets):
+        with lock:
+            running.append(name)
+            most[0] = max(most[0], len(running))
+        time.sleep(0.5)
+        store(self, name, made, buckets)
+        with lock:
+            running.remove(name)
+
+    monkeypatch.setattr(lakes.Lake, "_store", slow)
+    monkeypatch.setattr(lakes, "ALONE_FROM", 0 if large else 1 << 40)
+    lake.materialize(SALES)
+    assert (most[0] == 1) == large
+    assert lake.table("fact_orders").count() == 40
+
+
+def test_lake_files_are_packed(spark, lake, tmp_path):
+    land_sales(spark, lake, tmp_path)
+    put(staging_path(str(tmp_path / "in"), "orders"), "a.csv", "order_id\nO99\n")
+    flows.ingest(lake, str(tmp_path / "in"), ["orders"])
+    lake.materialize(["orders_silver"])
+    for part in ("bronze/orders/full", "bronze/orders/incremental/batch_id=0", "staging/orders/batch_id=0", "tables/orders_silver/version=0"):
+        names = [n for n in os.listdir(lake.path(*part.split("/"))) if n.endswith(".parquet")]
+        assert names and all(n.endswith(".zstd.parquet") for n in names)
+    assert len(ids(lake.table("orders_silver"))) == 41
+
+
+def test_sample_files_are_packed_and_full_ones_dropped_once_loaded(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sample_flows.PACKED, "maxRecordsPerFile", "30")
+    t = sample_flows.Trial(spark, str(tmp_path))
+    sent = spark.range(0, 100, 1, 1).selectExpr("CAST(id AS STRING) AS payment_id", "' blank ' AS payment_method", "IF(id % 10 = 0, NULL, id) AS order_id")
+    t.send_full("payments", sent)
+    t.send("payments", sent.limit(3))
+    folder = full_load_path(t.full, "payments")
+    files = [n for n in os.listdir(folder) if n.startswith("part-")]
+    assert len(files) == 4 and all(n.endswith(".csv.gz") for n in files)
+    t.load_full("payments")
+    assert not os.path.exists(folder)
+    t.load_full("payments")
+    flows.ingest(t.lake, t.landing, ["payments"])
+    assert [n for n in os.listdir(staging_path(t.landing, "payments")) if n.startswith("part-")]
+    landed = t.lake.bronze("payments")
+    assert landed.groupBy("_load_type").count().orderBy("count").collect() == [("incremental", 3), ("full_load", 100)]
+    found = landed.filter("_load_type = 'full_load'")
+    assert rows(found.select(*sent.columns)) == rows(sent.withColumn("order_id", F.col("order_id").cast("string")))
+    # Files and rows keep the order in which rows were sent.
+    placed = found.orderBy(F.length("_source_file"), "_source_file", "_source_block", "_source_row")
+    assert [int(r[0]) for r in placed.select("payment_id").collect()] == list(range(100))

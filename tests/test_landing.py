@@ -1,5 +1,6 @@
 """Headers, inferred types, compaction and clearing up."""
 
+import datetime as dt
 import json
 import os
 import random
@@ -16,7 +17,7 @@ from test_flows import ids, put
 
 from shoplake.config import FULL_LOAD, METADATA, full_load_path, staging_path
 from shoplake.functions import types
-from shoplake.session import DROP_SHUFFLES, clear_scratch, scratch_dir, shuffles_dropped
+from shoplake.session import DROP_SHUFFLES, clear_scratch, scratch_dir, scratch_made, shuffles_dropped
 from shoplake.sources import csv
 from shoplake.sources import lake as lakes
 from shoplake.streaming import flows, histories, sample_flows
@@ -432,3 +433,25 @@ def test_sample_files_are_packed_and_full_ones_dropped_once_loaded(spark, tmp_pa
     # Files and rows keep the order in which rows were sent.
     placed = found.orderBy(F.length("_source_file"), "_source_file", "_source_block", "_source_row")
     assert [int(r[0]) for r in placed.select("payment_id").collect()] == list(range(100))
+
+
+def test_stored_daily_sales_keeps_no_full_file_and_no_shuffle(spark, tmp_path):
+    day, money = "DATE '1997-01-01' + CAST(id % 5 AS INT)", "CAST(100 + id AS DECIMAL(15,2))"
+    made = {
+        "orders": f"id AS o_orderkey, id % 7 AS o_custkey, 'F' AS o_orderstatus, {money} AS o_totalprice, {day} AS o_orderdate, '1-URGENT' AS o_orderpriority",
+        "lineitem": f"id % 30 AS l_orderkey, id % 4 AS l_partkey, 1 + id % 4 AS l_linenumber, 5 AS l_quantity, {money} AS l_extendedprice, 0.05 AS l_discount, 0.02 AS l_tax, 'A' AS l_returnflag, 'F' AS l_linestatus",
+        "part": "id AS p_partkey, 'name' AS p_name, 'type' AS p_type, 'brand' AS p_brand, CAST(1 + id AS INT) AS p_size, CAST(9 AS DECIMAL(15,2)) AS p_retailprice",
+    }
+    for name, columns in made.items():
+        number = {"orders": 30, "lineitem": 90, "part": 4}[name]
+        spark.range(number).selectExpr(f"struct({columns}) AS r").select("r.*").write.parquet(str(tmp_path / f"{name}.parquet"))
+    held, folders = shuffle_files(spark), set(scratch_made(spark))
+    sold = sample_flows.stored_daily_sales(spark, str(tmp_path))
+    left = lambda: {name.split("_")[1] for name in shuffle_files(spark) - held}
+    until = time.time() + 20
+    while len(left()) > 1 and time.time() < until:
+        time.sleep(0.2)
+    assert len(left()) <= 1  # that of the result's version, which is looked up last
+    (base,) = {f for f in scratch_made(spark) if "/flow-" in f} - folders
+    assert os.listdir(f"{base}/full") == []
+    assert rows(sold.select("order_date", "total_orders", "total_line_items")) == [str((dt.date(1997, 1, 1 + d), 18, 6)) for d in range(5)]

@@ -39,7 +39,7 @@ def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | N
     Rows of a log resemble each other and are packed to a small part of their size while they are shuffled, so tasks of even packed
     size would each sort more rows than their memory holds. The number of tasks follows the rows instead.
     """
-    (heavy,), rows = counted(df, key_code(keys))
+    (heavy,), rows = counted(df, key_code(keys), exact=True)
     picked = is_any(key_code(keys), list(heavy))
     usual = df.filter(~picked) if heavy else df
     if rows > SORTED_ROWS:

@@ -47,8 +47,9 @@ def heavy_counts(df: DataFrame, *keys: Column | str, min_rows: int | None = None
     return counted(df, *keys, min_rows=min_rows)[0]
 
 
-def counted(df: DataFrame, *keys: Column | str, min_rows: int | None = None) -> tuple[list[dict[Any, int]], int]:
-    """``heavy_counts``, and about how many rows there are in all, from the same job."""
+def counted(df: DataFrame, *keys: Column | str, min_rows: int | None = None, exact: bool = False) -> tuple[list[dict[Any, int]], int]:
+    """``heavy_counts``, and about how many rows there are in all, from the same job. With ``exact`` it counts all rows, and only the
+    sketches see a share."""
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     names = [f"_key{i}" for i in range(len(columns))]
     sketches = [F.expr(f"approx_top_k({n}, {MAX_HEAVY}, {SKETCH_ITEMS})").alias(n) for n in names]
@@ -56,12 +57,18 @@ def counted(df: DataFrame, *keys: Column | str, min_rows: int | None = None) ->
     min_rows = min_rows or max(_setting(df, MIN_ROWS, 5_000_000), 1)
     part = min(1.0, SEEN / min_rows)
     picked = df.select(*(c.alias(n) for c, n in zip(columns, names)))
-    if part < 1:
+    if exact and part < 1:
+        picked = picked.withColumn("_dice", F.rand(7))
+        sketches = [F.expr(f"approx_top_k({n}, {MAX_HEAVY}, {SKETCH_ITEMS}) FILTER (WHERE _dice < {part})").alias(n) for n in names]
+    elif part < 1:
         picked = picked.sample(part, seed=7)
     row = picked.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    limit = max(min_rows * part, share * row["_rows"])
+    if exact:
+        limit = max(min_rows * part, share * row["_rows"] * part)
+    else:
+        limit = max(min_rows * part, share * row["_rows"])
     found = [{entry["item"]: ceil(entry["count"] / part) for entry in row[n] or [] if entry["count"] > limit} for n in names]
-    return found, ceil(row["_rows"] / part)
+    return found, row["_rows"] if exact else ceil(row["_rows"] / part)
 
 
 def heavy_keys(df: DataFrame, *keys: Column | str) -> list[list[Any]]:
